@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -70,3 +70,11 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 def key_counts(lines: DataFrame, column: str = "value") -> DataFrame:
     """How often each value occurs; partial counts are combined before the shuffle."""
     return lines.groupBy(column).agg(F.count("*").alias("count"))
+
+
+def named_table_counts(spark: SparkSession, names: list[str]) -> DataFrame:
+    """One row per catalog table or view, by name: (table, rows)."""
+    counts = [
+        spark.sql("SELECT :name AS table, count(*) AS rows FROM IDENTIFIER(:name)", args={"name": name}) for name in names
+    ]
+    return reduce(DataFrame.unionByName, counts)

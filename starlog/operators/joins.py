@@ -48,28 +48,20 @@ def first_label_containing(terms: DataFrame, term: str, labels: DataFrame) -> Da
     """For each distinct term the code of the first label (by `ordinal`) that contains it, in any case.
 
     `labels` has columns ordinal (long), code and label. Returns (term, code), code NULL where no
-    label contains the term. The labels' substrings up to the longest term are indexed with the
-    lowest ordinal holding each, which turns the containment test into an equi-join.
+    label contains the term. The labels' substrings, of the lengths that terms have, are indexed
+    with the lowest ordinal holding each; that turns the containment test into an equi-join.
     """
-    wanted = terms.select(F.col(term)).where(F.col(term).isNotNull()).distinct()
-    wanted = wanted.withColumn("_term", F.lower(F.col(term)))
-    longest = wanted.select(F.max(F.length("_term"))).scalar()
-    text = F.lower(F.col("label"))
-    spans = labels.where(F.col("label").isNotNull()).select(
-        "ordinal",
-        text.alias("_text"),
-        F.explode(F.sequence(F.lit(0), F.least(F.length(text), F.coalesce(longest, F.lit(0))))).alias("_len"),
-    )
-    pieces = spans.select(
-        "ordinal",
-        "_text",
-        "_len",
-        F.explode(F.sequence(F.lit(1), F.length("_text") - F.col("_len") + 1)).alias("_from"),
-    )
+    given = terms.select(F.col(term), F.lower(F.col(term)).alias("_term")).where(F.col(term).isNotNull())
+    lengths = given.select(F.collect_set(F.length("_term"))).scalar()
+    texts = labels.where(F.col("label").isNotNull()).select("ordinal", F.lower("label").alias("_text"))
+    fitting = F.array_intersect(lengths, F.sequence(F.lit(0), F.length("_text")))
+    spans = texts.select("ordinal", "_text", F.explode(fitting).alias("_len"))
+    starts = F.sequence(F.lit(1), F.length("_text") - F.col("_len") + 1)
+    pieces = spans.select("ordinal", "_text", "_len", F.explode(starts).alias("_from"))
     index = pieces.groupBy(F.substring("_text", F.col("_from"), F.col("_len")).alias("_term")).agg(
         F.min("ordinal").alias("ordinal")
     )
-    found = wanted.join(index, "_term", "left")
+    found = given.distinct().join(index, "_term", "left")
     return found.join(labels.select("ordinal", "code"), "ordinal", "left").select(term, "code")
 
 

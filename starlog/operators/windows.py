@@ -74,12 +74,16 @@ def running_totals(
     group = Window.partitionBy(*keys)
     before = group.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     carry = per_block.withColumns(
-        {f"_run_{name}": F.sum(f"_run_{name}").over(before) for name in totals}
+        {"_seq": F.row_number().over(group.orderBy(BLOCK))}
+        | {f"_run_{name}": F.sum(f"_run_{name}").over(before) for name in totals}
         | {f"_whole_{name}": F.sum(f"_all_{name}").over(group) for name in whole}
     )
+    if not whole:  # a group's first block has nothing to carry
+        carry = carry.where("_seq > 1")
 
     upto = _block_window(keys, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = _behind_carry(blocks.drop(*[f"_all_{name}" for name in whole]), carry.drop(*[f"_all_{n}" for n in whole]))
+    spent = ["_seq", *[f"_all_{name}" for name in whole]]
+    rows = _behind_carry(blocks.drop(*spent), carry.drop(*spent))
     return (
         rows.withColumns(
             {name: F.sum(f"_run_{name}").over(upto) for name in totals}

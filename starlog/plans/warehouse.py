@@ -12,7 +12,7 @@ from starlog.operators import quality
 from starlog.plans import star
 from starlog.schemas import conform
 from starlog.sinks.files import load_dimension, stage
-from starlog.sinks.tables import append_new
+from starlog.sinks.tables import append_new, read_or_empty
 
 
 def load_star(spark: SparkSession, log: DataFrame, song_data: DataFrame, out: str, run_time: datetime) -> DataFrame:
@@ -28,13 +28,13 @@ def load_star(spark: SparkSession, log: DataFrame, song_data: DataFrame, out: st
     plays = conform(star.plays_scheduled(log, song_data), schemas.SCHEDULED_PLAYS)
     plays = plays.withColumns({"year": F.year("start_time"), "month": F.month("start_time")})
     append_new(plays, f"{out}/songplays", ["playid"], by=("year", "month"))
-    fact = spark.read.parquet(f"{out}/songplays")
+    fact = read_or_empty(spark, f"{out}/songplays", plays)
 
     load_dimension(star.users(log, "distinct", numeric_id=True), f"{out}/users", clear=True)
     load_dimension(star.songs(song_data, "distinct"), f"{out}/songs", clear=True)
     load_dimension(star.renamed_artists(star.artists(song_data, "distinct")), f"{out}/artists", clear=True)
     load_dimension(star.time_scheduled(fact), f"{out}/time", clear=True)
 
-    names = ["songplays", "users", "songs", "artists", "time"]
-    checks = [quality.row_count(name, spark.read.parquet(f"{out}/{name}")) for name in names]
+    tables = {name: spark.read.parquet(f"{out}/{name}") for name in ("users", "songs", "artists", "time")}
+    checks = [quality.row_count(name, table) for name, table in {"songplays": fact, **tables}.items()]
     return quality.require(quality.run_checks(checks))

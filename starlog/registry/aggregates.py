@@ -116,3 +116,11 @@ _SEVEN = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 @query(" UNION ALL ".join(f"SELECT '{t}' AS \"table\", COUNT(*) AS rows FROM {t}" for t in _SEVEN))
 def union_all_counts(spark, d):
     return agg.table_counts({name: read_table(spark, d, name) for name in _SEVEN})
+
+
+@query("SELECT 'named_orders' AS \"table\", COUNT(*) AS rows FROM orders UNION ALL SELECT 'named_events', COUNT(*) FROM events")
+def named_table_counts(spark, d):
+    """Views counted by name."""
+    read_table(spark, d, "orders").createOrReplaceTempView("named_orders")
+    read_table(spark, d, "events").createOrReplaceTempView("named_events")
+    return agg.named_table_counts(spark, ["named_orders", "named_events"])

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from starlog.plans import immigration as imm
 from starlog.registry import query
 from starlog.registry import standins as std
+from starlog.session import scratch_path
 
 _ARRIVALS = f"""{std.ARRIVAL_RECORDS}, {std.PORT_LIST}, arrivals AS (
   SELECT make_date(CAST(i94yr AS INT), CAST(i94mon AS INT), 1) AS dt, i94addr, substr(i94port, 1, 3) AS i94port FROM records
@@ -48,3 +47,39 @@ def fact_left_2key(spark, d):
 FROM arrivals a LEFT JOIN temps t ON a.i94port = t.i94port AND month(a.dt) = month(t.dt)""")
 def fact_month_of_year(spark, d):
     return std.iso(imm.arrival_facts(_arrivals(spark, d), _temperatures(spark, d), "month_of_year"))
+
+
+_FACT_ROWS = "SELECT COUNT(*) FROM arrivals a LEFT JOIN temps t ON a.i94port = t.i94port AND {on}"
+
+
+def _gate(check, subject, measured, comparison, expected, test):
+    return (
+        f"SELECT '{check}' AS \"check\", '{subject}' AS subject, measured, '{comparison}' AS comparison, "
+        f"CAST({expected} AS BIGINT) AS expected, {test} AS passed FROM (SELECT CAST(({measured}) AS BIGINT) AS measured)"
+    )
+
+
+def _gates(on):
+    fact = _FACT_ROWS.format(on=on)
+    arrived = "(SELECT COUNT(*) FROM arrivals)"
+    return " UNION ALL ".join([
+        _gate("row_count", "immigration", "SELECT COUNT(*) FROM arrivals", ">", 0, "measured > 0"),
+        _gate("row_count", "temperature", "SELECT COUNT(*) FROM temps", ">", 0, "measured > 0"),
+        _gate("row_count", "fact", fact, ">", 0, "measured > 0"),
+        _gate("same_count", "fact and immigration", fact, "=", arrived, f"measured = {arrived}"),
+        _gate("no_nulls", "fact(dt, i94port)", "SELECT 0", "=", 0, "measured = 0"),
+    ])
+
+
+@query(f"WITH {_ARRIVALS}, {_TEMPERATURES} {_gates('a.dt = t.dt')}")
+def immigration_load(spark, d):
+    """The three tables written by port, with the checks on what was written."""
+    out = scratch_path(spark, "immigration")
+    return imm.write_arrivals(spark, _arrivals(spark, d), _temperatures(spark, d), out)
+
+
+@query(f"WITH {_ARRIVALS}, {_TEMPERATURES} {_gates('month(a.dt) = month(t.dt)')}")
+def immigration_load_fan_out(spark, d):
+    """The same matched by month of year, where the count check finds the repeated arrivals."""
+    out = scratch_path(spark, "immigration")
+    return imm.write_arrivals(spark, _arrivals(spark, d), _temperatures(spark, d), out, align="month_of_year")

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from starlog.plans import star
+from starlog.operators import quality as dq
+from starlog.operators.aggregates import table_counts
+from starlog.plans import lake, star
 from starlog.registry import query
 from starlog.registry import standins as std
+from starlog.schemas import PLAYS, conform
+from starlog.session import scratch_path
 
 _DIM_SONG = "song_id, title, artist_id, CAST(year AS BIGINT) AS year, duration"
 _DIM_ARTIST = "artist_id, artist_name, artist_location, artist_latitude, artist_longitude"
@@ -170,3 +174,46 @@ def songplays_at_most_one(spark, d):
     songs = std.songs(spark, d)
     lookup = star.song_lookup(star.songs(songs), star.artists(songs))
     return std.longs(star.with_serial(star.plays_relational(std.log(spark, d, with_songs=True), lookup)))
+
+
+_LAKE = f"""WITH {std.SONG_LOG}, {std.SONGS}, newest AS (SELECT userId, MAX(ts) AS ts FROM log WHERE page = 'NextSong' GROUP BY userId)
+SELECT 'songs' AS "table", COUNT(DISTINCT song_id) AS rows FROM songs
+UNION ALL SELECT 'artists', COUNT(DISTINCT artist_id) FROM songs
+UNION ALL SELECT 'users', COUNT(*) FROM (SELECT DISTINCT log.userId, firstName, lastName, gender, level FROM log
+  JOIN newest ON log.userId = newest.userId AND log.ts = newest.ts WHERE page = 'NextSong')
+UNION ALL SELECT 'time', COUNT(DISTINCT ts) FROM log WHERE page = 'NextSong'
+UNION ALL SELECT 'songplay', COUNT(*) FROM log JOIN songs ON log.artist = songs.artist_name WHERE page = 'NextSong'"""
+
+
+@query(_LAKE)
+def lake_load(spark, d):
+    """The five lake tables written as parquet, counted from what was written."""
+    out = scratch_path(spark, "lake")
+    lake.write_lake(spark, std.log(spark, d, with_songs=True), std.songs(spark, d), out, songs_layout="year")
+    names = ["songs", "artists", "users", "time", "songplay"]
+    return table_counts({name: spark.read.parquet(f"{out}/{name}") for name in names})
+
+
+@query(f"""WITH {std.SONG_LOG}, {std.SONGS}, plays AS (SELECT log.*, (SELECT MIN(song_id) FROM songs s JOIN
+      (SELECT artist_id, MIN(artist_name) AS name FROM songs GROUP BY artist_id) a ON s.artist_id = a.artist_id
+      WHERE s.title = log.song AND a.name = log.artist AND s.duration = log.length) AS song_id FROM log WHERE page = 'NextSong')
+SELECT 'no_nulls' AS "check", 'songplays(songplay_id)' AS subject, CAST(0 AS BIGINT) AS measured, '=' AS comparison,
+  CAST(0 AS BIGINT) AS expected, TRUE AS passed
+UNION ALL SELECT 'unique_key', 'songplays(songplay_id)', 0, '=', 0, TRUE
+UNION ALL SELECT 'no_orphans', 'songplays(start_time)', 0, '=', 0, TRUE
+UNION ALL SELECT 'no_orphans', 'songplays(user_id)', COUNT(*), '=', 0, COUNT(*) = 0 FROM plays p WHERE NOT EXISTS
+  (SELECT 1 FROM log WHERE page = 'NextSong' AND level = 'paid' AND log.userId = p.userId)
+UNION ALL SELECT 'no_orphans', 'songplays(song_id)', 0, '=', 0, TRUE
+UNION ALL SELECT 'no_orphans', 'songplays(artist_id)', 0, '=', 0, TRUE""")
+def dq_star_contract(spark, d):
+    """What the plays table's contract declares, against its dimensions; users holds paid ones only."""
+    log, songs = std.log(spark, d, with_songs=True), std.songs(spark, d)
+    song_table, artist_table = star.songs(songs), star.artists(songs)
+    plays = star.plays_relational(log, star.song_lookup(song_table, artist_table))
+    parents = {
+        "time": (star.time_relational(log), "start_time"),
+        "users": (star.users(log.where("level = 'paid'"), "upserted", numeric_id=True), "user_id"),
+        "songs": (song_table, "song_id"),
+        "artists": (artist_table, "artist_id"),
+    }
+    return dq.run_checks(dq.contract_checks(conform(star.with_serial(plays), PLAYS), PLAYS, parents))

@@ -33,33 +33,54 @@ class VersionedTable:
     """A parquet table replaced as a whole: each version is a directory, the newest finished one counts.
 
     A reader keeps the version it started with, and a failed write leaves the table as it was.
+    The `keep` newest versions stay on disk for such readers.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, keep: int = 3):
         self.spark = spark
         self.path = path
+        self.keep = keep
 
-    def _newest(self) -> int:
+    def _version_path(self, number: int) -> str:
+        return f"{self.path}/v{number:08d}"
+
+    def versions(self) -> list[int]:
+        """Numbers of the finished versions, oldest first."""
         fs, location = _folder(self.spark, self.path)
         if not fs.exists(location):
-            return 0
-        names = [status.getPath() for status in fs.listStatus(location)]
-        done = [p for p in names if fs.exists(_folder(self.spark, f"{p.toString()}/_SUCCESS")[1])]
-        return max((int(p.getName().removeprefix("v")) for p in done), default=0)
+            return []
+        numbers = sorted(int(status.getPath().getName().removeprefix("v")) for status in fs.listStatus(location))
+        return [n for n in numbers if path_exists(self.spark, f"{self._version_path(n)}/_SUCCESS")]
 
     def exists(self) -> bool:
-        return self._newest() > 0
+        return bool(self.versions())
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/v{self._newest():08d}")
+        return self.spark.read.parquet(self._version_path(self.versions()[-1]))
 
     def replace(self, df: DataFrame) -> None:
-        write_parquet(df, f"{self.path}/v{self._newest() + 1:08d}")
+        done = self.versions()
+        write_parquet(df, self._version_path(done[-1] + 1 if done else 1))
+        for number in done[: -self.keep + 1] if self.keep > 1 else done:
+            fs, location = _folder(self.spark, self._version_path(number))
+            fs.delete(location, True)
 
 
 def _touched(target: DataFrame, batch: DataFrame, within: tuple[str, ...]) -> DataFrame:
-    """The target partitions that hold any of the batch's partition values."""
-    return target.join(batch.select(*within).distinct(), list(within), "left_semi") if within else target
+    """The target partitions in the range of the batch's partition values.
+
+    One row of bounds reaches the driver, so that the partitions are pruned when files are listed.
+    """
+    if not within:
+        return target
+    bounds = batch.agg(
+        *[F.min(c).alias(f"min_{c}") for c in within],
+        *[F.max(c).alias(f"max_{c}") for c in within],
+    ).first()
+    for c in within:
+        low, high = bounds[f"min_{c}"], bounds[f"max_{c}"]
+        target = target.where(F.col(c).between(F.lit(low), F.lit(high)) | F.col(c).isNull())
+    return target
 
 
 def rows_with_new_keys(

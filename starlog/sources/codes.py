@@ -8,10 +8,8 @@ from pyspark.sql import functions as F
 from starlog.functions.values import strip
 from starlog.sources.files import ARRIVAL, with_arrival_order
 
-# Line forms of the code lists (fixed values).
+# Line form of the port list (fixed value).
 PORT_LINE = r"'(.*)'\s=\s'(.*)'"
-ADDRESS_LINE = r"'(.*)'\s*:\s*'(.*)'"
-LABEL_LINE = r"^\s*'?([^'=]*?)'?\s*=\s*'(.*)'"
 
 # Valid address codes with their names (fixed values).
 ADDRESS_CODES = {
