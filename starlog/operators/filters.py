@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def on_page(log: DataFrame, page: str = "NextSong") -> DataFrame:
+PLAY_PAGE = "NextSong"
+
+
+def on_page(log: DataFrame, page: str = PLAY_PAGE) -> DataFrame:
     return log.where(F.col("page") == page)
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starlog.operators.dedupe import first_row_per_key
+from starlog.session import materialise
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
@@ -49,10 +50,12 @@ def first_label_containing(terms: DataFrame, term: str, labels: DataFrame) -> Da
 
     `labels` has columns ordinal (long), code and label. Returns (term, code), code NULL where no
     label contains the term. The labels' substrings, of the lengths that terms have, are indexed
-    with the lowest ordinal holding each; that turns the containment test into an equi-join.
+    with the lowest ordinal holding each; that turns the containment test into an equi-join. The
+    distinct terms are stored once, as they are read for their lengths and for the join.
     """
-    given = terms.select(F.col(term), F.lower(F.col(term)).alias("_term")).where(F.col(term).isNotNull())
-    lengths = given.select(F.collect_set(F.length("_term"))).scalar()
+    wanted = materialise(terms.select(term).where(F.col(term).isNotNull()).distinct())
+    wanted = wanted.withColumn("_term", F.lower(F.col(term)))
+    lengths = wanted.select(F.collect_set(F.length("_term"))).scalar()
     texts = labels.where(F.col("label").isNotNull()).select("ordinal", F.lower("label").alias("_text"))
     fitting = F.array_intersect(lengths, F.sequence(F.lit(0), F.length("_text")))
     spans = texts.select("ordinal", "_text", F.explode(fitting).alias("_len"))
@@ -61,7 +64,7 @@ def first_label_containing(terms: DataFrame, term: str, labels: DataFrame) -> Da
     index = pieces.groupBy(F.substring("_text", F.col("_from"), F.col("_len")).alias("_term")).agg(
         F.min("ordinal").alias("ordinal")
     )
-    found = given.distinct().join(index, "_term", "left")
+    found = wanted.join(index, "_term", "left")
     return found.join(labels.select("ordinal", "code"), "ordinal", "left").select(term, "code")
 
 

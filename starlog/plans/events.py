@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from starlog.functions.calendar import from_epoch_ms
 from starlog.functions.values import event_flag
-from starlog.operators.filters import complete, non_empty, on_page
+from starlog.operators.filters import PLAY_PAGE, complete, non_empty, on_page
 from starlog.operators.windows import phases
 from starlog.schemas import COMPACT_EVENT_FIELDS
 
@@ -43,9 +43,9 @@ def valid_log(log: DataFrame) -> DataFrame:
     return non_empty(complete(log, ["userId", "sessionId"]), "userId")
 
 
-def plays_per_hour(log: DataFrame) -> DataFrame:
+def plays_per_hour(log: DataFrame, page: str = PLAY_PAGE) -> DataFrame:
     """Plays by hour of day, in hour order."""
-    hours = on_page(log).select(F.hour(from_epoch_ms(F.col("ts"))).alias("hour"))
+    hours = on_page(log, page).select(F.hour(from_epoch_ms(F.col("ts"))).alias("hour"))
     return hours.groupBy("hour").agg(F.count("*").alias("count")).orderBy("hour")
 
 

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from starlog.operators.filters import PLAY_PAGE
 from starlog.plans import star
 from starlog.sinks.files import write_parquet
 from starlog.sources.files import parquet_copy
@@ -13,7 +13,12 @@ LAYOUTS = {"year_and_artist": ("year", "artist_id"), "year": ("year",)}
 
 
 def write_lake(
-    spark: SparkSession, log: DataFrame, song_data: DataFrame, out: str, songs_layout: str = "year_and_artist"
+    spark: SparkSession,
+    log: DataFrame,
+    song_data: DataFrame,
+    out: str,
+    songs_layout: str = "year_and_artist",
+    page: str = PLAY_PAGE,
 ) -> None:
     """Write songs, artists, users, time and songplay below `out`.
 
@@ -24,6 +29,6 @@ def write_lake(
     song_data = parquet_copy(spark, song_data, f"{out}/staging/songs")
     write_parquet(star.songs(song_data), f"{out}/songs", by=LAYOUTS[songs_layout])
     write_parquet(star.artists(song_data), f"{out}/artists")
-    write_parquet(star.users(log), f"{out}/users")
-    write_parquet(star.time_lake(log), f"{out}/time", by=("year", "month"))
-    write_parquet(star.plays_by_artist(log, song_data), f"{out}/songplay", by=("year", "month"))
+    write_parquet(star.users(log, page=page), f"{out}/users")
+    write_parquet(star.time_lake(log, page), f"{out}/time", by=("year", "month"))
+    write_parquet(star.plays_by_artist(log, song_data, page=page), f"{out}/songplay", by=("year", "month"))

@@ -19,7 +19,7 @@ from starlog.functions.calendar import (
 )
 from starlog.functions.values import drop_fraction, md5_key, user_number
 from starlog.operators.dedupe import first_and_last, first_row_per_key, latest_rows
-from starlog.operators.filters import on_page
+from starlog.operators.filters import PLAY_PAGE, on_page
 from starlog.operators.joins import lookup_at_most_one
 from starlog.operators.windows import number_rows
 
@@ -58,14 +58,20 @@ def renamed_artists(table: DataFrame) -> DataFrame:
     return table.withColumnsRenamed({c: c.removeprefix("artist_") for c in ARTIST_COLUMNS[1:]})
 
 
-def users(log: DataFrame, rule: str = "latest", numeric_id: bool = False, order: list[str] | None = None) -> DataFrame:
+def users(
+    log: DataFrame,
+    rule: str = "latest",
+    numeric_id: bool = False,
+    order: list[str] | None = None,
+    page: str = PLAY_PAGE,
+) -> DataFrame:
     """Users who played: rows at each user's `latest` play, `distinct` profiles, or `upserted`.
 
     `upserted` keeps the names as first seen along `order` and the level as last seen.
     """
     user_id = user_number(F.col("userId")) if numeric_id else F.col("userId")
     order = order or ["ts"]
-    plays = on_page(log).select(
+    plays = on_page(log, page).select(
         user_id.alias("user_id"),
         F.col("firstName").alias("first_name"),
         F.col("lastName").alias("last_name"),
@@ -83,25 +89,25 @@ def users(log: DataFrame, rule: str = "latest", numeric_id: bool = False, order:
     raise ValueError(f"unknown rule {rule!r}")
 
 
-def time_lake(log: DataFrame) -> DataFrame:
+def time_lake(log: DataFrame, page: str = PLAY_PAGE) -> DataFrame:
     """One row per distinct play timestamp, with its date; weekday 0 is Monday."""
-    stamps = on_page(log).select(from_epoch_ms(F.col("ts")).alias("time_stamp"))
+    stamps = on_page(log, page).select(from_epoch_ms(F.col("ts")).alias("time_stamp"))
     stamps = stamps.where(F.col("time_stamp").isNotNull()).distinct()
     ts = F.col("time_stamp")
     return stamps.select(ts, F.to_date(ts).alias("date"), *[c.alias(n) for n, c in calendar_parts(ts).items()])
 
 
-def time_relational(log: DataFrame) -> DataFrame:
+def time_relational(log: DataFrame, page: str = PLAY_PAGE) -> DataFrame:
     """One row per play time in epoch ms; weekday 0 is Monday."""
     ts = from_epoch_ms(F.col("start_time"))
-    times = on_page(log).select(F.col("ts").alias("start_time")).where(F.col("start_time").isNotNull()).distinct()
+    times = on_page(log, page).select(F.col("ts").alias("start_time")).where(F.col("start_time").isNotNull()).distinct()
     return times.select("start_time", *[c.alias(n) for n, c in calendar_parts(ts).items()])
 
 
-def time_warehouse(log: DataFrame) -> DataFrame:
+def time_warehouse(log: DataFrame, page: str = PLAY_PAGE) -> DataFrame:
     """One row per play time in epoch ms, parts taken from its whole second; weekday 0 is Sunday."""
     ts = from_epoch_ms_whole_seconds(F.col("start_time"))
-    times = on_page(log).select(F.col("ts").alias("start_time")).distinct()
+    times = on_page(log, page).select(F.col("ts").alias("start_time")).distinct()
     return times.select("start_time", *[c.alias(n) for n, c in calendar_parts(ts, "sunday").items()])
 
 
@@ -113,9 +119,11 @@ def time_scheduled(plays: DataFrame) -> DataFrame:
     return plays.select(ts, *[c.alias(n) for n, c in parts.items()])
 
 
-def plays_by_artist(log: DataFrame, song_data: DataFrame, numeric_id: bool = False) -> DataFrame:
+def plays_by_artist(
+    log: DataFrame, song_data: DataFrame, numeric_id: bool = False, page: str = PLAY_PAGE
+) -> DataFrame:
     """Plays of catalogued artists: one row per play and song of the artist, with month and year."""
-    plays = on_page(log)
+    plays = on_page(log, page)
     catalogue = song_data.select("song_id", "artist_id", F.col("artist_name").alias("artist"))
     ts = from_epoch_ms(F.col("ts"))
     return plays.join(catalogue, "artist").select(
@@ -132,12 +140,14 @@ def plays_by_artist(log: DataFrame, song_data: DataFrame, numeric_id: bool = Fal
     )
 
 
-def plays_scheduled(log: DataFrame, song_data: DataFrame, fraction: str = "truncate") -> DataFrame:
+def plays_scheduled(
+    log: DataFrame, song_data: DataFrame, fraction: str = "truncate", page: str = PLAY_PAGE
+) -> DataFrame:
     """All plays with the songs of equal title, artist and whole-second length, keyed by md5.
 
     `fraction` says how lengths lose their fraction: `truncate` or `round`.
     """
-    plays = on_page(log).select(
+    plays = on_page(log, page).select(
         "*",
         from_epoch_ms_whole_seconds(F.col("ts")).alias("start_time"),
         drop_fraction(F.col("length"), fraction).alias("_length"),
@@ -174,9 +184,9 @@ def exact_length(number: Column) -> Column:
     return number.cast("decimal(18,5)")
 
 
-def plays_relational(log: DataFrame, lookup: DataFrame) -> DataFrame:
+def plays_relational(log: DataFrame, lookup: DataFrame, page: str = PLAY_PAGE) -> DataFrame:
     """All plays, each with at most one song of equal title, artist and length (lowest song_id)."""
-    plays = on_page(log).withColumn("_length", exact_length(F.col("length")))
+    plays = on_page(log, page).withColumn("_length", exact_length(F.col("length")))
     keyed = lookup.select(
         F.col("title").alias("song"),
         F.col("name").alias("artist"),

@@ -9,13 +9,16 @@ from pyspark.sql import functions as F
 
 from starlog import schemas
 from starlog.operators import quality
+from starlog.operators.filters import PLAY_PAGE
 from starlog.plans import star
 from starlog.schemas import conform
 from starlog.sinks.files import load_dimension, stage
 from starlog.sinks.tables import append_new, read_or_empty
 
 
-def load_star(spark: SparkSession, log: DataFrame, song_data: DataFrame, out: str, run_time: datetime) -> DataFrame:
+def load_star(
+    spark: SparkSession, log: DataFrame, song_data: DataFrame, out: str, run_time: datetime, page: str = PLAY_PAGE
+) -> DataFrame:
     """Load the scheduled star schema below `out` and return the passed quality results.
 
     Sources are staged once and read back, the fact is appended by play key, the dimensions are
@@ -25,12 +28,12 @@ def load_star(spark: SparkSession, log: DataFrame, song_data: DataFrame, out: st
     log = spark.read.parquet(stage(log, template, run_time, table="events"))
     song_data = spark.read.parquet(stage(song_data, template, run_time, table="songs"))
 
-    plays = conform(star.plays_scheduled(log, song_data), schemas.SCHEDULED_PLAYS)
+    plays = conform(star.plays_scheduled(log, song_data, page=page), schemas.SCHEDULED_PLAYS)
     plays = plays.withColumns({"year": F.year("start_time"), "month": F.month("start_time")})
     append_new(plays, f"{out}/songplays", ["playid"], by=("year", "month"))
     fact = read_or_empty(spark, f"{out}/songplays", plays)
 
-    load_dimension(star.users(log, "distinct", numeric_id=True), f"{out}/users", clear=True)
+    load_dimension(star.users(log, "distinct", numeric_id=True, page=page), f"{out}/users", clear=True)
     load_dimension(star.songs(song_data, "distinct"), f"{out}/songs", clear=True)
     load_dimension(star.renamed_artists(star.artists(song_data, "distinct")), f"{out}/artists", clear=True)
     load_dimension(star.time_scheduled(fact), f"{out}/time", clear=True)

@@ -27,9 +27,9 @@ def count_nulls(spark, d):
     return agg.count_nulls(frame, ["event_type", "tenth"])
 
 
-@query(f"WITH {std.LOG} SELECT userId, MAX(ts) AS ts FROM log WHERE page = 'NextSong' GROUP BY userId")
+@query(f"WITH {std.LOG} SELECT userId, MAX(ts) AS ts FROM log WHERE page = 'view' GROUP BY userId")
 def group_max(spark, d):
-    plays = std.log(spark, d).where("page = 'NextSong'")
+    plays = std.log(spark, d).where("page = 'view'")
     return plays.groupBy("userId").agg(F.max("ts").alias("ts"))
 
 
@@ -53,7 +53,7 @@ def group_count(spark, d):
 
 @query("SELECT hour(ts) AS hour, COUNT(*) AS count FROM events WHERE event_type = 'view' GROUP BY 1")
 def plays_per_hour(spark, d):
-    return std.longs(event_jobs.plays_per_hour(std.log(spark, d)))
+    return std.longs(event_jobs.plays_per_hour(std.log(spark, d), std.PLAY))
 
 
 @query("""SELECT word AS value, COUNT(*) AS count FROM

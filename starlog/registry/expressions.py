@@ -30,9 +30,9 @@ def derive_columns(spark, d):
     return lines.withColumn("net_price", F.round(net, 2).cast("double")).drop("l_extendedprice", "l_discount")
 
 
-@query(f"WITH {std.LOG} SELECT event_id, userId, sessionId, ts FROM log WHERE page = 'NextSong'")
+@query(f"WITH {std.LOG} SELECT event_id, userId, sessionId, ts FROM log WHERE page = 'view'")
 def filter_event(spark, d):
-    return filters.on_page(std.log(spark, d)).select("event_id", "userId", "sessionId", "ts")
+    return filters.on_page(std.log(spark, d), std.PLAY).select("event_id", "userId", "sessionId", "ts")
 
 
 @query("SELECT event_id, user_id FROM events WHERE event_type = 'error' AND value > 10")
@@ -186,9 +186,9 @@ def drop_fraction_modes(spark, d):
     )
 
 
-@query(f"WITH {std.LOG} SELECT event_id, CASE WHEN page = 'Submit Downgrade' THEN 1 ELSE 0 END AS downgrade FROM log")
+@query(f"WITH {std.LOG} SELECT event_id, CASE WHEN page = 'error' THEN 1 ELSE 0 END AS downgrade FROM log")
 def flag_event(spark, d):
-    return std.log(spark, d).select("event_id", val.event_flag(F.col("page"), "Submit Downgrade").alias("downgrade"))
+    return std.log(spark, d).select("event_id", val.event_flag(F.col("page"), std.DOWNGRADE).alias("downgrade"))
 
 
 @query("SELECT c_custkey, c_name, row_number() OVER (ORDER BY c_acctbal, c_custkey) - 1 AS user_key FROM customer")

@@ -50,7 +50,7 @@ def insert_if_absent_partitioned(spark, d):
     path = scratch_path(spark, "times")
     times = std.log(spark, d).select(F.timestamp_millis("ts").alias("start_time"), "page")
     times = times.withColumn("date", F.to_date("start_time"))
-    for batch in (times.where("page <> 'Home'"), times.where("page <> 'Login'")):
+    for batch in (times.where("page <> 'click'"), times.where("page <> 'signup'")):
         tables.insert_if_absent(batch.drop("page"), path, ["start_time"], [], by=("date",))
     stored = spark.read.parquet(path)
     return std.longs(std.iso(stored.groupBy("date", F.hour("start_time").alias("hour")).agg(F.count("*").alias("times"))))
@@ -76,18 +76,18 @@ _GATE = """SELECT 'row_count' AS "check", '{t}' AS subject, ({n}) AS measured, '
 
 @query(f"WITH {std.SONG_LOG}, {std.SONGS} " + " UNION ALL ".join([
     _GATE.format(t="songplays", n="""SELECT COUNT(*) FROM log LEFT JOIN songs ON log.song = songs.title AND log.artist = songs.artist_name
-      AND trunc(log.length) = trunc(songs.duration) WHERE page = 'NextSong'"""),
-    _GATE.format(t="users", n="SELECT COUNT(*) FROM (SELECT DISTINCT userId, firstName, lastName, gender, level FROM log WHERE page = 'NextSong')"),
+      AND trunc(log.length) = trunc(songs.duration) WHERE page = 'view'"""),
+    _GATE.format(t="users", n="SELECT COUNT(*) FROM (SELECT DISTINCT userId, firstName, lastName, gender, level FROM log WHERE page = 'view')"),
     _GATE.format(t="songs", n="SELECT COUNT(*) FROM (SELECT DISTINCT song_id, title, artist_id, year, duration FROM songs)"),
     _GATE.format(t="artists", n="SELECT COUNT(*) FROM (SELECT DISTINCT artist_id, artist_name, artist_location, artist_latitude, artist_longitude FROM songs)"),
     _GATE.format(t="time", n="""SELECT COUNT(*) FROM log LEFT JOIN songs ON log.song = songs.title AND log.artist = songs.artist_name
-      AND trunc(log.length) = trunc(songs.duration) WHERE page = 'NextSong'"""),
+      AND trunc(log.length) = trunc(songs.duration) WHERE page = 'view'"""),
 ]))
 def scheduled_load(spark, d):
     """The scheduled load run twice for one hour, with its quality gate."""
     out = scratch_path(spark, "star")
     for _ in range(2):
-        passed = warehouse.load_star(spark, std.log(spark, d, with_songs=True), std.songs(spark, d), out, datetime(2018, 11, 2, 5))
+        passed = warehouse.load_star(spark, std.log(spark, d, with_songs=True), std.songs(spark, d), out, datetime(2018, 11, 2, 5), std.PLAY)
     return passed
 
 
@@ -107,14 +107,14 @@ def _ingest(spark, d):
     lookup = spark.read.parquet(f"{out}/lookup")
     for number, delivery in enumerate(_deliveries(spark, d)):
         delivery.write.json(f"{source}/{number}")
-        ingest_log(spark, source, out, lookup)
-    ingest_log(spark, source, out, lookup)
+        ingest_log(spark, source, out, lookup, page=std.PLAY)
+    ingest_log(spark, source, out, lookup, page=std.PLAY)
     return out
 
 
 @query(f"""WITH {std.LOG} SELECT CAST(userId AS BIGINT) AS user_id, arg_min(firstName, (ts, event_id)) AS first_name,
   arg_min(lastName, (ts, event_id)) AS last_name, arg_min(gender, (ts, event_id)) AS gender, arg_max(level, (ts, event_id)) AS level
-FROM log WHERE page = 'NextSong' GROUP BY userId""")
+FROM log WHERE page = 'view' GROUP BY userId""")
 def stream_users(spark, d):
     """Users after incremental ingest of three deliveries."""
     return std.longs(tables.VersionedTable(spark, f"{_ingest(spark, d)}/users").read())
@@ -122,7 +122,7 @@ def stream_users(spark, d):
 
 @query(f"""WITH {std.SONG_LOG}, {std.SONGS}, plays AS (SELECT ts AS start_time, CAST(userId AS BIGINT) AS user_id, level,
     (SELECT MIN(song_id) FROM songs s WHERE s.title = log.song AND s.artist_name = log.artist AND s.duration = log.length) AS song_id,
-    sessionId AS session_id, location FROM log WHERE page = 'NextSong')
+    sessionId AS session_id, location FROM log WHERE page = 'view')
 SELECT start_time, user_id, level, plays.song_id, artist_id, session_id, location, hour(t) AS hour, isodow(t) - 1 AS weekday
 FROM (SELECT *, make_timestamp(start_time * 1000) AS t FROM plays) plays LEFT JOIN songs ON songs.song_id = plays.song_id""")
 def stream_plays(spark, d):

@@ -31,19 +31,17 @@ def longs(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(n).cast("bigint").alias(n) if t in ("int", "smallint", "tinyint") else F.col(n) for n, t in df.dtypes])
 
 
-PAGES = {"view": "NextSong", "click": "Home", "purchase": "Submit Upgrade", "signup": "Login"}
+# The event types that stand for the play and the downgrade page.
+PLAY, DOWNGRADE = "view", "error"
 
 
 def log(spark: SparkSession, sf_dir: str, with_songs: bool = False) -> DataFrame:
     """`events` as an activity log; with songs, a play's song is the part its value points at."""
     events = read_table(spark, sf_dir, "events")
     user, kind = F.col("user_id"), F.col("event_type")
-    page = F.lit("Submit Downgrade")
-    for event_type, name in PAGES.items():
-        page = F.when(kind == event_type, name).otherwise(page)
     columns = {
         "event_id": F.col("event_id"),
-        "page": page,
+        "page": kind,
         "userId": F.when(kind == "signup", "").otherwise(user.cast("string")),
         "firstName": text("First", user % 7),
         "lastName": text("Last", user % 11),
@@ -58,7 +56,7 @@ def log(spark: SparkSession, sf_dir: str, with_songs: bool = False) -> DataFrame
     if with_songs:
         part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
         events = events.join(part, F.round(F.col("value") * 100).cast("bigint") == F.col("p_partkey"), "left")
-        played = kind == "view"
+        played = kind == PLAY
         later = F.col("p_retailprice").cast("decimal(12,2)") + (F.col("event_id") % 3).cast("decimal(12,2)") * F.lit(0.25).cast("decimal(3,2)")
         columns |= {
             "song": F.when(played, F.col("p_name")),
@@ -68,9 +66,7 @@ def log(spark: SparkSession, sf_dir: str, with_songs: bool = False) -> DataFrame
     return events.select(*[c.alias(n) for n, c in columns.items()])
 
 
-_LOG_COLUMNS = """event_id,
-    CASE event_type WHEN 'view' THEN 'NextSong' WHEN 'click' THEN 'Home' WHEN 'purchase' THEN 'Submit Upgrade'
-         WHEN 'signup' THEN 'Login' ELSE 'Submit Downgrade' END AS page,
+_LOG_COLUMNS = """event_id, event_type AS page,
     CASE WHEN event_type = 'signup' THEN '' ELSE CAST(user_id AS VARCHAR) END AS userId,
     'First' || (user_id % 7) AS firstName, 'Last' || (user_id % 11) AS lastName,
     CASE WHEN user_id % 2 = 0 THEN 'F' ELSE 'M' END AS gender,

@@ -66,37 +66,37 @@ def dim_artists_first_seen(spark, d):
 _PROFILE = "firstName AS first_name, lastName AS last_name, gender"
 
 
-@query(f"""WITH {std.LOG}, newest AS (SELECT userId, MAX(ts) AS ts FROM log WHERE userId IS NOT NULL AND page = 'NextSong' GROUP BY userId)
+@query(f"""WITH {std.LOG}, newest AS (SELECT userId, MAX(ts) AS ts FROM log WHERE userId IS NOT NULL AND page = 'view' GROUP BY userId)
 SELECT DISTINCT log.userId AS user_id, {_PROFILE}, level FROM log JOIN newest ON log.userId = newest.userId AND log.ts = newest.ts
-WHERE page = 'NextSong'""")
+WHERE page = 'view'""")
 def users_latest(spark, d):
     """Users as of their latest play."""
-    return star.users(std.log(spark, d))
+    return star.users(std.log(spark, d), page=std.PLAY)
 
 
 _DAY_LOG = f"{std.LOG}, daily AS (SELECT * REPLACE (ts // 86400000 * 86400000 AS ts) FROM log)"
 
 
-@query(f"""WITH {_DAY_LOG}, newest AS (SELECT userId, MAX(ts) AS ts FROM daily WHERE userId IS NOT NULL AND page = 'NextSong' GROUP BY userId)
+@query(f"""WITH {_DAY_LOG}, newest AS (SELECT userId, MAX(ts) AS ts FROM daily WHERE userId IS NOT NULL AND page = 'view' GROUP BY userId)
 SELECT DISTINCT CAST(daily.userId AS BIGINT) AS user_id, {_PROFILE}, level FROM daily
-  JOIN newest ON daily.userId = newest.userId AND daily.ts = newest.ts WHERE page = 'NextSong'""")
+  JOIN newest ON daily.userId = newest.userId AND daily.ts = newest.ts WHERE page = 'view'""")
 def users_latest_ties(spark, d):
     """Users as of their latest play day: both levels stay when the last day has both."""
     daily = std.log(spark, d).withColumn("ts", std.idiv(F.col("ts"), 86400000) * 86400000)
-    return std.longs(star.users(daily, "latest", numeric_id=True))
+    return std.longs(star.users(daily, "latest", numeric_id=True, page=std.PLAY))
 
 
-@query(f"WITH {std.LOG} SELECT DISTINCT CAST(userId AS BIGINT) AS user_id, {_PROFILE}, level FROM log WHERE page = 'NextSong'")
+@query(f"WITH {std.LOG} SELECT DISTINCT CAST(userId AS BIGINT) AS user_id, {_PROFILE}, level FROM log WHERE page = 'view'")
 def users_distinct(spark, d):
-    return std.longs(star.users(std.log(spark, d), "distinct", numeric_id=True))
+    return std.longs(star.users(std.log(spark, d), "distinct", numeric_id=True, page=std.PLAY))
 
 
 @query(f"""WITH {std.LOG} SELECT CAST(userId AS BIGINT) AS user_id, arg_min(firstName, (ts, event_id)) AS first_name,
   arg_min(lastName, (ts, event_id)) AS last_name, arg_min(gender, (ts, event_id)) AS gender, arg_max(level, (ts, event_id)) AS level
-FROM log WHERE page = 'NextSong' GROUP BY userId""")
+FROM log WHERE page = 'view' GROUP BY userId""")
 def users_upserted(spark, d):
     """Users by the conflict rule: names as first seen, level as last seen."""
-    return std.longs(star.users(std.log(spark, d), "upserted", numeric_id=True, order=["ts", "event_id"]))
+    return std.longs(star.users(std.log(spark, d), "upserted", numeric_id=True, order=["ts", "event_id"], page=std.PLAY))
 
 
 _STAMP = "make_timestamp(epoch_us(ts) // 1000 * 1000)"
@@ -106,26 +106,26 @@ _PARTS = "hour(t) AS hour, day(t) AS day, week(t) AS week, month(t) AS month, ye
 @query(f"""SELECT DISTINCT CAST(t AS VARCHAR) AS time_stamp, CAST(CAST(t AS DATE) AS VARCHAR) AS date, {_PARTS}, isodow(t) - 1 AS weekday
 FROM (SELECT {_STAMP} AS t FROM events WHERE event_type = 'view')""")
 def time_dim(spark, d):
-    return std.longs(std.iso(star.time_lake(std.log(spark, d))))
+    return std.longs(std.iso(star.time_lake(std.log(spark, d), std.PLAY)))
 
 
 @query(f"""SELECT DISTINCT epoch_us(t) // 1000 AS start_time, {_PARTS}, isodow(t) - 1 AS weekday
 FROM (SELECT {_STAMP} AS t FROM events WHERE event_type = 'view')""")
 def time_dim_relational(spark, d):
-    return std.longs(star.time_relational(std.log(spark, d)))
+    return std.longs(star.time_relational(std.log(spark, d), std.PLAY))
 
 
 @query(f"""SELECT DISTINCT epoch_us(t) // 1000 AS start_time, {_PARTS}, dayofweek(t) AS weekday
 FROM (SELECT {_STAMP} AS t FROM events WHERE event_type = 'view')""")
 def time_dim_dow0(spark, d):
-    return std.longs(star.time_warehouse(std.log(spark, d)))
+    return std.longs(star.time_warehouse(std.log(spark, d), std.PLAY))
 
 
 _SCHEDULED = f"""plays AS (SELECT md5(CAST(sessionId AS VARCHAR) || CAST(make_timestamp(ts // 1000 * 1000000) AS VARCHAR)) AS playid,
     make_timestamp(ts // 1000 * 1000000) AS start_time, CAST(userId AS BIGINT) AS userid, level, song_id AS songid, songs.artist_id AS artistid,
     sessionId AS sessionid, location, userAgent AS user_agent
   FROM log LEFT JOIN songs ON log.song = songs.title AND log.artist = songs.artist_name AND trunc(log.length) = trunc(songs.duration)
-  WHERE page = 'NextSong')"""
+  WHERE page = 'view')"""
 
 
 @query(f"""WITH {std.SONG_LOG}, {std.SONGS}, {_SCHEDULED} SELECT CAST(t AS VARCHAR) AS start_time, hour(t) AS hour, day(t) AS day,
@@ -133,32 +133,32 @@ _SCHEDULED = f"""plays AS (SELECT md5(CAST(sessionId AS VARCHAR) || CAST(make_ti
 FROM (SELECT start_time AS t FROM plays)""")
 def time_dim_scheduled(spark, d):
     """Time rows of the fact table, one per play."""
-    plays = star.plays_scheduled(std.log(spark, d, with_songs=True), std.songs(spark, d))
+    plays = star.plays_scheduled(std.log(spark, d, with_songs=True), std.songs(spark, d), page=std.PLAY)
     return std.longs(std.iso(star.time_scheduled(plays)))
 
 
 @query(f"""WITH {std.SONG_LOG}, {std.SONGS} SELECT ts AS start_time, month(t) AS month, year(t) AS year, userId AS user_id, level, song_id,
   artist_id, sessionId AS session_id, location, userAgent AS user_agent
-FROM (SELECT *, make_timestamp(ts * 1000) AS t FROM log) l JOIN songs ON l.artist = songs.artist_name WHERE page = 'NextSong'""")
+FROM (SELECT *, make_timestamp(ts * 1000) AS t FROM log) l JOIN songs ON l.artist = songs.artist_name WHERE page = 'view'""")
 def songplays_inner_artist(spark, d):
     """Plays joined on the artist's name, repeated for each of the artist's songs."""
-    return std.longs(star.plays_by_artist(std.log(spark, d, with_songs=True), std.songs(spark, d)))
+    return std.longs(star.plays_by_artist(std.log(spark, d, with_songs=True), std.songs(spark, d), page=std.PLAY))
 
 
 @query(f"WITH {std.SONG_LOG}, {std.SONGS}, {_SCHEDULED} SELECT * REPLACE (CAST(start_time AS VARCHAR) AS start_time) FROM plays")
 def songplays_left_3key(spark, d):
     """All plays with songs of the same title, artist and whole-second length."""
-    plays = star.plays_scheduled(std.log(spark, d, with_songs=True), std.songs(spark, d))
+    plays = star.plays_scheduled(std.log(spark, d, with_songs=True), std.songs(spark, d), page=std.PLAY)
     return std.longs(std.iso(plays))
 
 
 @query(f"""WITH {std.SONG_LOG}, {std.SONGS} SELECT CAST(userId AS BIGINT) AS userid, sessionId AS sessionid, song_id AS songid,
   CAST(make_timestamp(ts // 1000 * 1000000) AS VARCHAR) AS start_time
 FROM log LEFT JOIN songs ON log.song = songs.title AND log.artist = songs.artist_name
-  AND CAST(log.length AS DECIMAL(18,0)) = CAST(songs.duration AS DECIMAL(18,0)) WHERE page = 'NextSong'""")
+  AND CAST(log.length AS DECIMAL(18,0)) = CAST(songs.duration AS DECIMAL(18,0)) WHERE page = 'view'""")
 def songplays_left_3key_rounded(spark, d):
     """The same with lengths rounded instead of cut."""
-    plays = star.plays_scheduled(std.log(spark, d, with_songs=True), std.songs(spark, d), fraction="round")
+    plays = star.plays_scheduled(std.log(spark, d, with_songs=True), std.songs(spark, d), fraction="round", page=std.PLAY)
     return std.longs(std.iso(plays.select("userid", "sessionid", "songid", "start_time")))
 
 
@@ -166,53 +166,53 @@ def songplays_left_3key_rounded(spark, d):
   plays AS (SELECT ts AS start_time, CAST(userId AS BIGINT) AS user_id, level,
     (SELECT MIN(song_id) FROM songs s JOIN first_artist a ON s.artist_id = a.artist_id
       WHERE s.title = log.song AND a.name = log.artist AND s.duration = log.length) AS song_id,
-    sessionId AS session_id, location, userAgent AS user_agent, itemInSession AS item FROM log WHERE page = 'NextSong')
+    sessionId AS session_id, location, userAgent AS user_agent, itemInSession AS item FROM log WHERE page = 'view')
 SELECT row_number() OVER (ORDER BY start_time, session_id, item, user_id, plays.song_id NULLS FIRST) AS songplay_id, start_time, user_id, level,
   plays.song_id, artist_id, session_id, location, user_agent FROM plays LEFT JOIN songs ON songs.song_id = plays.song_id""")
 def songplays_at_most_one(spark, d):
     """All plays, each with at most one song, numbered in time order."""
     songs = std.songs(spark, d)
     lookup = star.song_lookup(star.songs(songs), star.artists(songs))
-    return std.longs(star.with_serial(star.plays_relational(std.log(spark, d, with_songs=True), lookup)))
+    return std.longs(star.with_serial(star.plays_relational(std.log(spark, d, with_songs=True), lookup, std.PLAY)))
 
 
-_LAKE = f"""WITH {std.SONG_LOG}, {std.SONGS}, newest AS (SELECT userId, MAX(ts) AS ts FROM log WHERE page = 'NextSong' GROUP BY userId)
+_LAKE = f"""WITH {std.SONG_LOG}, {std.SONGS}, newest AS (SELECT userId, MAX(ts) AS ts FROM log WHERE page = 'view' GROUP BY userId)
 SELECT 'songs' AS "table", COUNT(DISTINCT song_id) AS rows FROM songs
 UNION ALL SELECT 'artists', COUNT(DISTINCT artist_id) FROM songs
 UNION ALL SELECT 'users', COUNT(*) FROM (SELECT DISTINCT log.userId, firstName, lastName, gender, level FROM log
-  JOIN newest ON log.userId = newest.userId AND log.ts = newest.ts WHERE page = 'NextSong')
-UNION ALL SELECT 'time', COUNT(DISTINCT ts) FROM log WHERE page = 'NextSong'
-UNION ALL SELECT 'songplay', COUNT(*) FROM log JOIN songs ON log.artist = songs.artist_name WHERE page = 'NextSong'"""
+  JOIN newest ON log.userId = newest.userId AND log.ts = newest.ts WHERE page = 'view')
+UNION ALL SELECT 'time', COUNT(DISTINCT ts) FROM log WHERE page = 'view'
+UNION ALL SELECT 'songplay', COUNT(*) FROM log JOIN songs ON log.artist = songs.artist_name WHERE page = 'view'"""
 
 
 @query(_LAKE)
 def lake_load(spark, d):
     """The five lake tables written as parquet, counted from what was written."""
     out = scratch_path(spark, "lake")
-    lake.write_lake(spark, std.log(spark, d, with_songs=True), std.songs(spark, d), out, songs_layout="year")
+    lake.write_lake(spark, std.log(spark, d, with_songs=True), std.songs(spark, d), out, songs_layout="year", page=std.PLAY)
     names = ["songs", "artists", "users", "time", "songplay"]
     return table_counts({name: spark.read.parquet(f"{out}/{name}") for name in names})
 
 
 @query(f"""WITH {std.SONG_LOG}, {std.SONGS}, plays AS (SELECT log.*, (SELECT MIN(song_id) FROM songs s JOIN
       (SELECT artist_id, MIN(artist_name) AS name FROM songs GROUP BY artist_id) a ON s.artist_id = a.artist_id
-      WHERE s.title = log.song AND a.name = log.artist AND s.duration = log.length) AS song_id FROM log WHERE page = 'NextSong')
+      WHERE s.title = log.song AND a.name = log.artist AND s.duration = log.length) AS song_id FROM log WHERE page = 'view')
 SELECT 'no_nulls' AS "check", 'songplays(songplay_id)' AS subject, CAST(0 AS BIGINT) AS measured, '=' AS comparison,
   CAST(0 AS BIGINT) AS expected, TRUE AS passed
 UNION ALL SELECT 'unique_key', 'songplays(songplay_id)', 0, '=', 0, TRUE
 UNION ALL SELECT 'no_orphans', 'songplays(start_time)', 0, '=', 0, TRUE
 UNION ALL SELECT 'no_orphans', 'songplays(user_id)', COUNT(*), '=', 0, COUNT(*) = 0 FROM plays p WHERE NOT EXISTS
-  (SELECT 1 FROM log WHERE page = 'NextSong' AND level = 'paid' AND log.userId = p.userId)
+  (SELECT 1 FROM log WHERE page = 'view' AND level = 'paid' AND log.userId = p.userId)
 UNION ALL SELECT 'no_orphans', 'songplays(song_id)', 0, '=', 0, TRUE
 UNION ALL SELECT 'no_orphans', 'songplays(artist_id)', 0, '=', 0, TRUE""")
 def dq_star_contract(spark, d):
     """What the plays table's contract declares, against its dimensions; users holds paid ones only."""
     log, songs = std.log(spark, d, with_songs=True), std.songs(spark, d)
     song_table, artist_table = star.songs(songs), star.artists(songs)
-    plays = star.plays_relational(log, star.song_lookup(song_table, artist_table))
+    plays = star.plays_relational(log, star.song_lookup(song_table, artist_table), std.PLAY)
     parents = {
-        "time": (star.time_relational(log), "start_time"),
-        "users": (star.users(log.where("level = 'paid'"), "upserted", numeric_id=True), "user_id"),
+        "time": (star.time_relational(log, std.PLAY), "start_time"),
+        "users": (star.users(log.where("level = 'paid'"), "upserted", numeric_id=True, page=std.PLAY), "user_id"),
         "songs": (song_table, "song_id"),
         "artists": (artist_table, "artist_id"),
     }

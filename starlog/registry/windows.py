@@ -71,9 +71,9 @@ def win_lag_diff(spark, d):
     return win.difference_to_previous(std.employees(spark, d), ["dept"], ["salary", "id"], "salary")
 
 
-@query(f"""WITH {std.LOG} SELECT event_id, userId, ts, CASE WHEN page = 'Submit Downgrade' THEN 1 ELSE 0 END AS downgrade,
-  CAST(SUM(CASE WHEN page = 'Submit Downgrade' THEN 1 ELSE 0 END) OVER
+@query(f"""WITH {std.LOG} SELECT event_id, userId, ts, CASE WHEN page = 'error' THEN 1 ELSE 0 END AS downgrade,
+  CAST(SUM(CASE WHEN page = 'error' THEN 1 ELSE 0 END) OVER
     (PARTITION BY userId ORDER BY ts DESC RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS phase
 FROM log WHERE userId <> '' AND sessionId IS NOT NULL""")
 def phase_from_downgrade(spark, d):
-    return event_jobs.downgrade_phases(std.log(spark, d)).select("event_id", "userId", "ts", "downgrade", "phase")
+    return event_jobs.downgrade_phases(std.log(spark, d), std.DOWNGRADE).select("event_id", "userId", "ts", "downgrade", "phase")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starlog.operators.filters import on_page
+from starlog.operators.filters import PLAY_PAGE, on_page
 from starlog.plans import star
 from starlog.schemas import LOG
 from starlog.sinks.files import write_parquet
@@ -14,16 +14,16 @@ from starlog.sinks.tables import VersionedTable, insert_if_absent, upsert
 EVENT_ORDER = ["ts", "sessionId", "itemInSession"]
 
 
-def load_batch(batch: DataFrame, batch_id: int, out: str, lookup: DataFrame) -> None:
+def load_batch(batch: DataFrame, batch_id: int, out: str, lookup: DataFrame, page: str = PLAY_PAGE) -> None:
     """Load one batch of log rows; loading the same batch again changes nothing.
 
     Time rows are inserted if absent, users upserted (level replaced, later batches win), and the
     batch's plays fill a directory of their own that a repeat overwrites.
     """
     spark = batch.sparkSession
-    plays = on_page(batch).persist()
+    plays = on_page(batch, page).persist()
     try:
-        insert_if_absent(star.time_relational(plays), f"{out}/time", ["start_time"], [])
+        insert_if_absent(star.time_relational(plays, page), f"{out}/time", ["start_time"], [])
         profiles = plays.select(
             F.col("userId").try_cast("int").alias("user_id"),
             F.col("firstName").alias("first_name"),
@@ -33,14 +33,19 @@ def load_batch(batch: DataFrame, batch_id: int, out: str, lookup: DataFrame) ->
             *EVENT_ORDER,
         )
         upsert(profiles, VersionedTable(spark, f"{out}/users"), "user_id", EVENT_ORDER, ["level"])
-        facts = star.plays_relational(plays, lookup).drop("_item")
+        facts = star.plays_relational(plays, lookup, page).drop("_item")
         write_parquet(facts, f"{out}/songplays/batch={batch_id}")
     finally:
         plays.unpersist()
 
 
 def ingest_log(
-    spark: SparkSession, source: str, out: str, lookup: DataFrame, files_per_batch: int | None = None
+    spark: SparkSession,
+    source: str,
+    out: str,
+    lookup: DataFrame,
+    files_per_batch: int | None = None,
+    page: str = PLAY_PAGE,
 ) -> None:
     """Load the log files that arrived since the last run, then stop.
 
@@ -53,7 +58,7 @@ def ingest_log(
         reader.json(source)
         .writeStream.option("checkpointLocation", f"{out}/_progress")
         .trigger(availableNow=True)
-        .foreachBatch(lambda batch, batch_id: load_batch(batch, batch_id, out, lookup))
+        .foreachBatch(lambda batch, batch_id: load_batch(batch, batch_id, out, lookup, page))
         .start()
     )
     query.awaitTermination()
