@@ -7,6 +7,8 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starlog.session import fit_shuffles
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -18,6 +20,7 @@ def query(sql: str | None = None):
         @wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
+            fit_shuffles(spark, sf_dir)
             return fn(spark, sf_dir)
 
         QUERIES[fn.__name__] = run

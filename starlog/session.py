@@ -13,7 +13,6 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
 }
 
@@ -49,14 +48,47 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[app]
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/starlog-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system that holds the path, and the path in its form."""
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), location
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application stored in the shared folder; its DataFrames are of no use after."""
+    fs, location = file_system(spark, _scratch_root(spark))
+    fs.delete(location, True)
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Compute `df` once into the shared folder and cut its lineage."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager=True)
+    """Compute `df` once, as a table in the shared folder, and cut its lineage.
+
+    Unlike a cached copy the table survives lost executors, and later steps read only the columns
+    they use.
+    """
+    path = scratch_path(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def fit_shuffles(spark: SparkSession, path: str, growth: int = 4, partition_bytes: int = 128 << 20) -> int:
+    """Raise `spark.sql.shuffle.partitions` to suit the size of the input below `path`.
+
+    Files grow by about `growth` when decoded; adaptive execution merges what turns out too small.
+    A larger setting is left alone. Returns the setting in force.
+    """
+    fs, location = file_system(spark, path)
+    needed = min(fs.getContentSummary(location).getLength() * growth // partition_bytes, 100_000)
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if needed > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(needed))
+    return max(needed, current)

@@ -7,18 +7,12 @@ from pyspark.sql import functions as F
 
 from starlog.operators.dedupe import first_and_last, first_row_per_key
 from starlog.operators.joins import join_null_safe
+from starlog.session import file_system
 from starlog.sinks.files import write_parquet
 
 
-def _folder(spark: SparkSession, path: str):
-    """The path's file system and path, over whatever storage holds it."""
-    jvm = spark.sparkContext._jvm
-    location = jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), location
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, location = _folder(spark, path)
+    fs, location = file_system(spark, path)
     return fs.exists(location)
 
 
@@ -46,7 +40,7 @@ class VersionedTable:
 
     def versions(self) -> list[int]:
         """Numbers of the finished versions, oldest first."""
-        fs, location = _folder(self.spark, self.path)
+        fs, location = file_system(self.spark, self.path)
         if not fs.exists(location):
             return []
         numbers = sorted(int(status.getPath().getName().removeprefix("v")) for status in fs.listStatus(location))
@@ -62,7 +56,7 @@ class VersionedTable:
         done = self.versions()
         write_parquet(df, self._version_path(done[-1] + 1 if done else 1))
         for number in done[: -self.keep + 1] if self.keep > 1 else done:
-            fs, location = _folder(self.spark, self._version_path(number))
+            fs, location = file_system(self.spark, self._version_path(number))
             fs.delete(location, True)
 
 

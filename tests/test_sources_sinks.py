@@ -2,11 +2,12 @@ import json
 import os
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from starlog import schemas
 from starlog.schemas import conform, create_table, drop_table
-from starlog.session import shared_folder
+from starlog.session import fit_shuffles, materialise, scratch_path, shared_folder
 from starlog.sinks import files as sinks
 from starlog.sinks import tables
 from starlog.sources import codes
@@ -166,5 +167,47 @@ def test_unfinished_version_is_ignored(spark, path):
     assert table.read().count() == 5
 
 
-def test_shared_folder_follows_the_setting(spark, monkeypatch):
+def test_shared_folder_follows_the_setting(spark, path):
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.checkpoint.dir": path}.get(key, default)
+
+    class Session:
+        conf = Conf()
+        sparkContext = spark.sparkContext
+
+    assert shared_folder(Session()) == path
+    assert scratch_path(Session(), "x").startswith(path + "/")
     assert shared_folder(spark) == shared_folder(spark)
+
+
+def test_no_local_folder_on_a_cluster():
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf = {}
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError):
+        shared_folder(Session())
+
+
+def test_materialised_step_keeps_rows_and_types(spark):
+    frame = spark.createDataFrame([(1, None, "a"), (2, 2.5, None)], "i int, d double, s string")
+    step = materialise(frame.withColumn("r", F.rand()))
+    assert sorted(step.select("i", "r").collect()) == sorted(step.select("i", "r").collect())
+    assert step.drop("r").schema == frame.schema
+
+
+def test_shuffle_partitions_follow_the_input_size(spark, path):
+    spark.range(50_000).write.parquet(path)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert fit_shuffles(spark, path) == int(before)
+        assert fit_shuffles(spark, path, partition_bytes=10_000) > int(before)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
