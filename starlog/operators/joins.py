@@ -2,7 +2,9 @@
 
 No join carries a broadcast hint: Spark broadcasts a side whose known size is below
 `spark.sql.autoBroadcastJoinThreshold` and otherwise sorts and merges, with adaptive
-execution splitting skewed partitions.
+execution splitting skewed partitions. It can split only where both sides are shuffled for the
+join itself. A side that was grouped by the join key before is not, so such sides are joined
+with `join_null_safe` or `join_resplit`, whose keys call for a shuffle of their own.
 """
 
 from __future__ import annotations
@@ -23,17 +25,22 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str)
     return left.join(renamed, same, how).drop(*[f"_right_{key}" for key in keys])
 
 
+def join_resplit(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Plain equi-join (NULL matches nothing) with a right side that was grouped by the keys."""
+    return join_null_safe(left, right.dropna(subset=keys), keys, how)
+
+
 def lookup_at_most_one(
     rows: DataFrame, lookup: DataFrame, keys: list[str], order: list[Column], wanted: list[str]
 ) -> DataFrame:
     """Left lookup that never multiplies rows: the first match by `order` wins, NULLs if none."""
     single = first_row_per_key(lookup, keys, order).select(*keys, *wanted)
-    return rows.join(single, keys, "left")
+    return join_resplit(rows, single, keys, "left")
 
 
 def keep_listed(rows: DataFrame, codes: DataFrame, column: str, code: str = "code") -> DataFrame:
     """Rows whose column is one of the listed codes (semi-join)."""
-    return rows.join(codes.select(F.col(code).alias(column)).distinct(), column, "left_semi")
+    return join_resplit(rows, codes.select(F.col(code).alias(column)), [column], "left_semi")
 
 
 def orphans(rows: DataFrame, column: str, parent: DataFrame, parent_key: str) -> DataFrame:
@@ -56,7 +63,10 @@ def first_label_containing(terms: DataFrame, term: str, labels: DataFrame) -> Da
     wanted = materialise(terms.select(term).where(F.col(term).isNotNull()).distinct())
     wanted = wanted.withColumn("_term", F.lower(F.col(term)))
     lengths = wanted.select(F.collect_set(F.length("_term"))).scalar()
+    # a label list is small but its substrings are not, so they are cut on all cores
+    cores = labels.sparkSession.sparkContext.defaultParallelism
     texts = labels.where(F.col("label").isNotNull()).select("ordinal", F.lower("label").alias("_text"))
+    texts = texts.repartition(cores, "ordinal")
     fitting = F.array_intersect(lengths, F.sequence(F.lit(0), F.length("_text")))
     spans = texts.select("ordinal", "_text", F.explode(fitting).alias("_len"))
     starts = F.sequence(F.lit(1), F.length("_text") - F.col("_len") + 1)

@@ -20,7 +20,7 @@ from starlog.functions.calendar import (
 from starlog.functions.values import drop_fraction, md5_key, user_number
 from starlog.operators.dedupe import first_and_last, first_row_per_key, latest_rows
 from starlog.operators.filters import PLAY_PAGE, on_page
-from starlog.operators.joins import lookup_at_most_one
+from starlog.operators.joins import join_resplit, lookup_at_most_one
 from starlog.operators.windows import number_rows
 
 SONG_COLUMNS = ["song_id", "title", "artist_id", "year", "duration"]
@@ -174,9 +174,8 @@ def plays_scheduled(
 
 def song_lookup(song_table: DataFrame, artist_table: DataFrame) -> DataFrame:
     """Songs joined with their artists, as searched by play lookups."""
-    return song_table.select("song_id", "title", "duration", "artist_id").join(
-        artist_table.select("artist_id", F.col("artist_name").alias("name")), "artist_id"
-    )
+    names = artist_table.select("artist_id", F.col("artist_name").alias("name"))
+    return join_resplit(song_table.select("song_id", "title", "duration", "artist_id"), names, ["artist_id"], "inner")
 
 
 def exact_length(number: Column) -> Column:

@@ -50,12 +50,14 @@ def win_moving_rows(spark, d):
     return moved.withColumn("list", F.concat_ws(",", F.col("list").cast("array<string>")))
 
 
-@query(f"""WITH {std.EMPLOYEES} SELECT dept, string_agg(CAST(salary AS VARCHAR), ',' ORDER BY n) AS list FROM
+@query(f"""WITH {std.EMPLOYEES} SELECT dept, string_agg(CAST(salary AS VARCHAR), ',' ORDER BY n) AS list,
+  MAX(CASE WHEN n = 3 THEN salary END) AS third FROM
   (SELECT *, row_number() OVER (PARTITION BY dept ORDER BY salary, id) AS n, COUNT(*) OVER (PARTITION BY dept) AS c FROM emp)
 WHERE n <= 4 AND c >= 4 GROUP BY dept""")
 def win_frame_list(spark, d):
-    """The running salary list as it stands at the fourth row of each department."""
+    """The running salary list as it stands at the fourth row of each department, and its third element."""
     lists = win.frame_list_at(std.employees(spark, d), ["dept"], ["salary", "id"], "salary", 4)
+    lists = lists.withColumn("third", F.element_at("list", 3))
     return lists.withColumn("list", F.concat_ws(",", F.col("list").cast("array<string>")))
 
 
