@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from starlog.operators.filters import PLAY_PAGE
 from starlog.plans import star
-from starlog.sinks.files import write_parquet
-from starlog.sources.files import parquet_copy
+from starlog.sinks.files import materialise_as, write_parquet
 
 LAYOUTS = {"year_and_artist": ("year", "artist_id"), "year": ("year",)}
 
 
 def write_lake(
-    spark: SparkSession,
     log: DataFrame,
     song_data: DataFrame,
     out: str,
@@ -25,8 +23,10 @@ def write_lake(
     The sources are converted to parquet once, so that the five tables parse no JSON and read only
     their own columns. `songs_layout="year"` avoids the small files of one directory per artist.
     """
-    log = parquet_copy(spark, log, f"{out}/staging/log")
-    song_data = parquet_copy(spark, song_data, f"{out}/staging/songs")
+    log, song_data = (
+        materialise_as(source, f"{out}/staging/{name}", f"staged_{name}")
+        for name, source in (("log", log), ("songs", song_data))
+    )
     write_parquet(star.songs(song_data), f"{out}/songs", by=LAYOUTS[songs_layout])
     write_parquet(star.artists(song_data), f"{out}/artists")
     write_parquet(star.users(log, page=page), f"{out}/users")

@@ -13,7 +13,7 @@ from starlog.operators.filters import PLAY_PAGE
 from starlog.plans import star
 from starlog.schemas import conform
 from starlog.sinks.files import load_dimension, stage
-from starlog.sinks.tables import append_new, read_or_empty
+from starlog.sinks.tables import append_new
 
 
 def load_star(
@@ -31,7 +31,7 @@ def load_star(
     plays = conform(star.plays_scheduled(log, song_data, page=page), schemas.SCHEDULED_PLAYS)
     plays = plays.withColumns({"year": F.year("start_time"), "month": F.month("start_time")})
     append_new(plays, f"{out}/songplays", ["playid"], by=("year", "month"))
-    fact = read_or_empty(spark, f"{out}/songplays", plays)
+    fact = spark.read.schema(plays.schema).parquet(f"{out}/songplays")
 
     load_dimension(star.users(log, "distinct", numeric_id=True, page=page), f"{out}/users", clear=True)
     load_dimension(star.songs(song_data, "distinct"), f"{out}/songs", clear=True)

@@ -189,7 +189,7 @@ UNION ALL SELECT 'songplay', COUNT(*) FROM log JOIN songs ON log.artist = songs.
 def lake_load(spark, d):
     """The five lake tables written as parquet, counted from what was written."""
     out = scratch_path(spark, "lake")
-    lake.write_lake(spark, std.log(spark, d, with_songs=True), std.songs(spark, d), out, songs_layout="year", page=std.PLAY)
+    lake.write_lake(std.log(spark, d, with_songs=True), std.songs(spark, d), out, songs_layout="year", page=std.PLAY)
     names = ["songs", "artists", "users", "time", "songplay"]
     return table_counts({name: spark.read.parquet(f"{out}/{name}") for name in names})
 

@@ -16,11 +16,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(location)
 
 
-def read_or_empty(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
-    """The table at the path, or no rows of the given shape when there is none yet."""
+def _held(batch: DataFrame, path: str) -> DataFrame | None:
+    """The table in the batch's columns, None when there is no table yet."""
+    spark = batch.sparkSession
     if path_exists(spark, f"{path}/_SUCCESS"):
-        return spark.read.schema(like.schema).parquet(path)
-    return spark.createDataFrame([], like.schema)
+        return spark.read.schema(batch.schema).parquet(path)
+    return None
 
 
 class VersionedTable:
@@ -89,25 +90,28 @@ def rows_with_new_keys(
 
 
 def first_rows_with_new_keys(
-    batch: DataFrame, target: DataFrame, keys: list[str], order: list[Column], within: tuple[str, ...] = ()
+    batch: DataFrame, target: DataFrame | None, keys: list[str], order: list[Column], within: tuple[str, ...] = ()
 ) -> DataFrame:
     """As `rows_with_new_keys`, with one row per key, the first by `order`; NULL keys are dropped."""
     first = first_row_per_key(batch.dropna(subset=keys), keys, order)
+    if target is None:
+        return first
     return first.join(_touched(target, batch, within).select(*keys), keys, "left_anti")
 
 
 def append_new(batch: DataFrame, path: str, keys: list[str], by: tuple[str, ...] = ()) -> None:
     """Append the rows whose key the table lacks, so a batch that is loaded again adds nothing."""
-    held = read_or_empty(batch.sparkSession, path, batch)
-    write_parquet(rows_with_new_keys(batch, held, keys, by), path, by, mode="append")
+    held = _held(batch, path)
+    fresh = batch if held is None else rows_with_new_keys(batch, held, keys, by)
+    write_parquet(fresh, path, by, mode="append")
 
 
 def insert_if_absent(
     batch: DataFrame, path: str, keys: list[str], order: list[Column], by: tuple[str, ...] = ()
 ) -> None:
     """Append one row per key the table lacks, the first by `order`."""
-    held = read_or_empty(batch.sparkSession, path, batch)
-    write_parquet(first_rows_with_new_keys(batch, held, keys, order, by), path, by, mode="append")
+    fresh = first_rows_with_new_keys(batch, _held(batch, path), keys, order, by)
+    write_parquet(fresh, path, by, mode="append")
 
 
 def upserted(batch: DataFrame, target: DataFrame | None, key: str, order: list[str], replaced: list[str]) -> DataFrame:

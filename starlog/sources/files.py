@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starlog.schemas import EVENT_CSV, LOG, SONG, Contract, conform
+from starlog.schemas import EVENT_CSV, LOG, SONG, Contract
 from starlog.sinks.files import write_once
 
 BAD_RECORD = "_bad_record"
@@ -16,7 +16,10 @@ ARRIVAL = ["_file", "_block_start", "_line"]
 
 
 def read_json(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None) -> DataFrame:
-    """JSON lines below `path` at any depth; types are inferred without a schema."""
+    """JSON lines below `path` at any depth.
+
+    Without a schema the types are inferred, which takes a pass over all files.
+    """
     reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
     return (reader.schema(schema) if schema is not None else reader).json(path)
 
@@ -62,8 +65,18 @@ def read_log(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def read_by_name(spark: SparkSession, path: str | list[str], contract: Contract) -> DataFrame:
-    """JSON whose fields go to the contract's columns of the same name in any case."""
-    return conform(read_json(spark, path), contract)
+    """JSON whose fields go to the contract's columns of the same name in any case.
+
+    The lines are parsed once, without a pass to infer types; values that do not fit become NULL.
+    """
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(path)
+    fields = F.transform_keys(F.from_json("value", "map<string,string>"), lambda name, _: F.lower(name))
+    return lines.where(F.trim("value") != "").select(fields.alias("_fields")).select(
+        *[
+            F.col("_fields")[f.name.lower()].try_cast(f.dataType).alias(f.name)
+            for f in contract.schema.fields
+        ]
+    )
 
 
 def read_path_mapping(spark: SparkSession, path: str) -> list[str]:

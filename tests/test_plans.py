@@ -114,7 +114,7 @@ def test_downgrade_phases(spark):
 
 
 def test_lake_tables(spark, log, song_data, path):
-    lake.write_lake(spark, log, song_data, path)
+    lake.write_lake(log, song_data, path)
     songs = spark.read.parquet(f"{path}/songs")
     assert songs.where("year = 1999 AND artist_id = 'A1'").count() == 1
     assert spark.read.parquet(f"{path}/songplay").where("month = 11").count() == 8
