@@ -10,6 +10,7 @@ from starlog.functions.values import event_flag
 from starlog.operators.filters import PLAY_PAGE, complete, non_empty, on_page
 from starlog.operators.windows import phases
 from starlog.schemas import COMPACT_EVENT_FIELDS
+from starlog.sinks.files import write_sorted
 
 
 def compact(events: DataFrame) -> DataFrame:
@@ -38,6 +39,20 @@ def song_listeners(events: DataFrame, song: str) -> DataFrame:
     return events.where(F.col("song") == song).select("userId", "firstName", "lastName").distinct()
 
 
+# One stored copy per question asked of the events, sorted by what the question names.
+ACCESS_ORDERS = {
+    "by_session": ["sessionId", "itemInSession"],
+    "by_user": ["userId", "sessionId", "itemInSession"],
+    "by_song": ["song", "userId", "sessionId", "itemInSession"],
+}
+
+
+def write_access_tables(events: DataFrame, out: str) -> None:
+    """Store the events once per access pattern, for `session_item`, `session_playlist` and `song_listeners`."""
+    for name, order in ACCESS_ORDERS.items():
+        write_sorted(events, f"{out}/{name}", order)
+
+
 def valid_log(log: DataFrame) -> DataFrame:
     """Rows with a user and a session."""
     return non_empty(complete(log, ["userId", "sessionId"]), "userId")

@@ -10,6 +10,7 @@ from starlog import schemas
 from starlog.operators.aggregates import key_counts
 from starlog.operators.dedupe import first_row_per_key
 from starlog.plans import events as event_jobs
+from starlog.plans import star
 from starlog.registry import query
 from starlog.registry import standins as std
 from starlog.session import scratch_path
@@ -19,9 +20,9 @@ from starlog.sources.codes import PORT_LINE, parse_codes
 from starlog.sources.files import read_table
 
 
-@query("SELECT r_regionkey, r_name FROM region")
+@query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def scan_parquet(spark, d):
-    return read_table(spark, d, "region")
+    return read_table(spark, d, "customer")
 
 
 def _as_log(frame):
@@ -193,15 +194,36 @@ def dimension_load_modes(spark, d):
     return counts[0].unionByName(counts[1])
 
 
-@query("""SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey""")
+@query(f"""WITH {std.SONGS} SELECT song_id, title, duration, artist_id, name FROM songs
+  JOIN (SELECT artist_id, MIN(artist_name) AS name FROM songs GROUP BY artist_id) USING (artist_id)""")
 def denormalise_join(spark, d):
-    """A join result stored as a named table, replacing the one before."""
-    path = scratch_path(spark, "nation-region")
-    nation, region = read_table(spark, d, "nation"), read_table(spark, d, "region")
-    joined = nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "n_name", "r_name")
+    """Songs joined with their artists, stored as a named table that replaces the one before."""
+    path = scratch_path(spark, "song-artist")
+    songs = std.songs(spark, d)
+    joined = star.song_lookup(star.songs(songs), star.artists(songs))
     for _ in range(2):
-        table = sinks.materialise_as(joined, path, "nation_region")
-    return table
+        sinks.materialise_as(joined, path, "song_artist")
+    return spark.table("song_artist")
+
+
+_STORED = f"""WITH {std.SONG_LOG} SELECT 'listener' AS question, userId AS answer FROM (SELECT DISTINCT userId FROM log WHERE song = 'small ring')
+UNION ALL SELECT 'playlist', CAST(itemInSession AS VARCHAR) FROM log WHERE userId = '8' AND sessionId = 801 AND artist <> ''
+UNION ALL SELECT 'rows', CAST(COUNT(*) AS VARCHAR) FROM log WHERE artist <> ''"""
+
+
+@query(_STORED)
+def access_tables(spark, d):
+    """The compacted events stored once per access pattern, and asked there."""
+    path = scratch_path(spark, "access")
+    event_jobs.write_access_tables(event_jobs.compact(_as_log(std.log(spark, d, with_songs=True))), path)
+    by_session, by_user, by_song = (spark.read.parquet(f"{path}/{name}") for name in event_jobs.ACCESS_ORDERS)
+    answers = {
+        "listener": event_jobs.song_listeners(by_song, "small ring").select("userId"),
+        "playlist": event_jobs.session_playlist(by_user, "8", 801).select(F.col("itemInSession").cast("string")),
+        "rows": by_session.agg(F.count("*").cast("string")),
+    }
+    frames = [df.toDF("answer").select(F.lit(name).alias("question"), "answer") for name, df in answers.items()]
+    return frames[0].unionByName(frames[1]).unionByName(frames[2])
 
 
 @query(r"""SELECT code, MAX_BY(label, p_partkey) AS label, MIN(p_partkey) AS first_line

@@ -19,6 +19,14 @@ def write_parquet(df: DataFrame, path: str, by: tuple[str, ...] = (), mode: str
         df.write.mode(mode).parquet(path)
 
 
+def write_sorted(df: DataFrame, path: str, order: list[str]) -> None:
+    """Write parquet in the given order over all files, so that a look-up reads few of them.
+
+    Make the order long enough to cut the rows of a hot leading value apart.
+    """
+    df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+
+
 def write_once(df: DataFrame, path: str) -> None:
     """Write parquet unless the path already holds data."""
     df.write.mode("ignore").parquet(path)

@@ -23,7 +23,8 @@ def load_batch(batch: DataFrame, batch_id: int, out: str, lookup: DataFrame, pag
     spark = batch.sparkSession
     plays = on_page(batch, page).persist()
     try:
-        insert_if_absent(star.time_relational(plays, page), f"{out}/time", ["start_time"], [])
+        times = star.time_relational(plays, page)
+        insert_if_absent(times, f"{out}/time", ["start_time"], [], by=("year", "month"))
         profiles = plays.select(
             F.col("userId").try_cast("int").alias("user_id"),
             F.col("firstName").alias("first_name"),

@@ -104,6 +104,16 @@ def test_event_lookups(log):
     assert [tuple(r) for r in events.plays_per_hour(log).collect()] == [(20, 3)]
 
 
+def test_access_tables_are_sorted_over_files(spark, log, path):
+    events.write_access_tables(log, path)
+    by_user = spark.read.parquet(f"{path}/by_user")
+    assert [r.song for r in events.session_playlist(by_user, "8", 5).collect()] == ["One", "Two"]
+    assert spark.read.parquet(f"{path}/by_song").where("song = 'One'").count() == 2
+    per_file = by_user.select("userId", F.input_file_name().alias("f")).groupBy("f").agg(F.min("userId").alias("lo"), F.max("userId").alias("hi"))
+    spans = sorted((r.lo, r.hi) for r in per_file.collect())
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+
+
 def test_downgrade_phases(spark):
     log = log_frame(spark, *[
         (user, "free", page, ts, 1, ts, None, None, None)
