@@ -40,7 +40,3 @@ def event_flag(column: Column, value: str) -> Column:
 
 def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(BLANKS))
-
-
-def contains_ignoring_case(text: Column, term: Column) -> Column:
-    return F.contains(F.lower(text), F.lower(term))

@@ -10,6 +10,7 @@ from starlog.functions.values import varchar
 from starlog.operators import quality
 from starlog.operators.filters import complete, date_range
 from starlog.operators.joins import add_first_label, keep_listed
+from starlog.schemas import ARRIVAL_FACTS, ARRIVALS, TEMPERATURES, conform
 from starlog.sinks.files import write_parquet
 
 
@@ -67,28 +68,28 @@ def arrival_facts(arrived: DataFrame, temps: DataFrame, align: str = "date") ->
 
 
 def write_arrivals(
-    spark: SparkSession, arrived: DataFrame, temps: DataFrame, out: str, align: str = "date", name_all: bool = True
+    spark: SparkSession, arrived: DataFrame, temps: DataFrame, out: str, align: str = "date"
 ) -> DataFrame:
     """Write immigration, temperature and fact tables by port, then check them and return the results.
 
     The checks read the written tables: none is empty, the fact holds one row per arrival, and its
-    key columns hold no NULL. With `name_all` the tables are also named as views for SQL.
+    key columns hold no NULL. The tables are also named as views for SQL.
     """
+    arrived, temps = conform(arrived, ARRIVALS), conform(temps, TEMPERATURES)
     write_parquet(arrived, f"{out}/immigration", by=("i94port",))
     write_parquet(temps, f"{out}/temperature", by=("i94port",))
     immigration = spark.read.schema(arrived.schema).parquet(f"{out}/immigration")
     temperature = spark.read.schema(temps.schema).parquet(f"{out}/temperature")
-    facts = arrival_facts(immigration, temperature, align)
+    facts = conform(arrival_facts(immigration, temperature, align), ARRIVAL_FACTS)
     write_parquet(facts, f"{out}/fact", by=("i94port",))
     fact = spark.read.schema(facts.schema).parquet(f"{out}/fact")
     tables = {"immigration": immigration, "temperature": temperature, "fact": fact}
-    if name_all:
-        for name, table in tables.items():
-            table.createOrReplaceTempView(name)
+    for name, table in tables.items():
+        table.createOrReplaceTempView(name)
     return quality.run_checks(
         [
             *[quality.row_count(name, table) for name, table in tables.items()],
             quality.same_count("fact and immigration", fact, immigration),
-            quality.no_nulls("fact", fact, ["dt", "i94port"]),
+            quality.no_nulls("fact", fact, ARRIVAL_FACTS.required),
         ]
     )

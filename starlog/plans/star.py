@@ -18,10 +18,12 @@ from starlog.functions.calendar import (
     from_epoch_ms_whole_seconds,
 )
 from starlog.functions.values import drop_fraction, md5_key, user_number
+from starlog.operators import quality
 from starlog.operators.dedupe import first_and_last, first_row_per_key, latest_rows
 from starlog.operators.filters import PLAY_PAGE, on_page
 from starlog.operators.joins import join_resplit, lookup_at_most_one
 from starlog.operators.windows import number_rows
+from starlog.schemas import ARTISTS, PLAYS, SONGS, TIME, USERS, conform
 
 SONG_COLUMNS = ["song_id", "title", "artist_id", "year", "duration"]
 ARTIST_COLUMNS = ["artist_id", "artist_name", "artist_location", "artist_latitude", "artist_longitude"]
@@ -209,6 +211,31 @@ def plays_relational(log: DataFrame, lookup: DataFrame, page: str = PLAY_PAGE) -
     )
 
 
+def relational_star(log: DataFrame, song_data: DataFrame, page: str = PLAY_PAGE) -> dict[str, DataFrame]:
+    """The five tables under the relational rules, in the shape of their contracts."""
+    song_table, artist_table = songs(song_data), artists(song_data)
+    plays = plays_relational(log, song_lookup(song_table, artist_table), page)
+    return {
+        "users": conform(users(log, "upserted", numeric_id=True, page=page), USERS),
+        "songs": conform(song_table, SONGS),
+        "artists": conform(renamed_artists(artist_table), ARTISTS),
+        "time": conform(time_relational(log, page), TIME),
+        "songplays": conform(with_serial(plays), PLAYS),
+    }
+
+
+def star_checks(tables: dict[str, DataFrame]) -> DataFrame:
+    """The NOT NULL, key and reference checks that the tables' contracts declare.
+
+    Every check reads its table, so pass tables that are stored.
+    """
+    contracts = {c.name: c for c in (USERS, SONGS, ARTISTS, TIME, PLAYS)}
+    parents = {name: (table, contracts[name].key[0]) for name, table in tables.items()}
+    return quality.run_checks(
+        [check for name, table in tables.items() for check in quality.contract_checks(table, contracts[name], parents)]
+    )
+
+
 def with_serial(plays: DataFrame, start: int = 1) -> DataFrame:
     """Number the plays by time, session and item; the item column leaves the table."""
     numbered = number_rows(plays, ["start_time", "session_id", "_item", "user_id", "song_id"], "songplay_id", start)

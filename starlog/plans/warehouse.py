@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starlog import schemas
+from starlog.functions.values import drop_fraction
 from starlog.operators import quality
 from starlog.operators.filters import PLAY_PAGE
 from starlog.plans import star
@@ -15,29 +16,53 @@ from starlog.schemas import conform
 from starlog.sinks.files import load_dimension, stage
 from starlog.sinks.tables import append_new
 
+# Column names of the scheduled tables, by their names in the sources (fixed values).
+NAMES = {
+    "user_id": "userid",
+    "song_id": "songid",
+    "artist_id": "artistid",
+    "artist_name": "name",
+    "artist_location": "location",
+    "artist_latitude": "lattitude",
+    "artist_longitude": "longitude",
+}
+
 
 def load_star(
-    spark: SparkSession, log: DataFrame, song_data: DataFrame, out: str, run_time: datetime, page: str = PLAY_PAGE
+    spark: SparkSession,
+    log: DataFrame,
+    song_data: DataFrame,
+    out: str,
+    run_time: datetime,
+    page: str = PLAY_PAGE,
+    fraction: str = "truncate",
 ) -> DataFrame:
     """Load the scheduled star schema below `out` and return the passed quality results.
 
     Sources are staged once and read back, the fact is appended by play key, the dimensions are
-    refreshed in full, and every table must hold rows. Running it again adds no fact twice.
+    refreshed in full, and every table must hold rows. Running it again adds no fact twice. The
+    staged lengths and coordinates lose their fraction as `fraction` says.
     """
     template = f"{out}/staging/{{table}}/{{execution_date:%Y-%m-%d-%H}}"
     log = spark.read.parquet(stage(log, template, run_time, table="events"))
-    song_data = spark.read.parquet(stage(song_data, template, run_time, table="songs"))
+    whole = {c: drop_fraction(F.col(c), fraction) for c in ("duration", "artist_latitude", "artist_longitude")}
+    song_data = spark.read.parquet(stage(song_data.withColumns(whole), template, run_time, table="songs"))
 
-    plays = conform(star.plays_scheduled(log, song_data, page=page), schemas.SCHEDULED_PLAYS)
+    plays = conform(star.plays_scheduled(log, song_data, fraction, page), schemas.SCHEDULED_PLAYS)
     plays = plays.withColumns({"year": F.year("start_time"), "month": F.month("start_time")})
     append_new(plays, f"{out}/songplays", ["playid"], by=("year", "month"))
     fact = spark.read.schema(plays.schema).parquet(f"{out}/songplays")
 
-    load_dimension(star.users(log, "distinct", numeric_id=True, page=page), f"{out}/users", clear=True)
-    load_dimension(star.songs(song_data, "distinct"), f"{out}/songs", clear=True)
-    load_dimension(star.renamed_artists(star.artists(song_data, "distinct")), f"{out}/artists", clear=True)
-    load_dimension(star.time_scheduled(fact), f"{out}/time", clear=True)
+    users = star.users(log, "distinct", numeric_id=True, page=page)
+    dimensions = {
+        "users": conform(users.withColumnsRenamed(NAMES), schemas.SCHEDULED_USERS),
+        "songs": conform(star.songs(song_data, "distinct").withColumnsRenamed(NAMES), schemas.SCHEDULED_SONGS),
+        "artists": conform(star.artists(song_data, "distinct").withColumnsRenamed(NAMES), schemas.SCHEDULED_ARTISTS),
+        "time": conform(star.time_scheduled(fact), schemas.SCHEDULED_TIME),
+    }
+    for name, table in dimensions.items():
+        load_dimension(table, f"{out}/{name}", clear=True)
 
-    tables = {name: spark.read.parquet(f"{out}/{name}") for name in ("users", "songs", "artists", "time")}
+    tables = {name: spark.read.parquet(f"{out}/{name}") for name in dimensions}
     checks = [quality.row_count(name, table) for name, table in {"songplays": fact, **tables}.items()]
     return quality.require(quality.run_checks(checks))

@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from starlog.operators import quality as dq
 from starlog.operators.aggregates import table_counts
 from starlog.plans import lake, star
 from starlog.registry import query
 from starlog.registry import standins as std
-from starlog.schemas import PLAYS, conform
-from starlog.session import scratch_path
+from starlog.session import materialise, scratch_path
 
 _DIM_SONG = "song_id, title, artist_id, CAST(year AS BIGINT) AS year, duration"
 _DIM_ARTIST = "artist_id, artist_name, artist_location, artist_latitude, artist_longitude"
@@ -194,26 +192,25 @@ def lake_load(spark, d):
     return table_counts({name: spark.read.parquet(f"{out}/{name}") for name in names})
 
 
-@query(f"""WITH {std.SONG_LOG}, {std.SONGS}, plays AS (SELECT log.*, (SELECT MIN(song_id) FROM songs s JOIN
-      (SELECT artist_id, MIN(artist_name) AS name FROM songs GROUP BY artist_id) a ON s.artist_id = a.artist_id
-      WHERE s.title = log.song AND a.name = log.artist AND s.duration = log.length) AS song_id FROM log WHERE page = 'view')
-SELECT 'no_nulls' AS "check", 'songplays(songplay_id)' AS subject, CAST(0 AS BIGINT) AS measured, '=' AS comparison,
-  CAST(0 AS BIGINT) AS expected, TRUE AS passed
-UNION ALL SELECT 'unique_key', 'songplays(songplay_id)', 0, '=', 0, TRUE
-UNION ALL SELECT 'no_orphans', 'songplays(start_time)', 0, '=', 0, TRUE
-UNION ALL SELECT 'no_orphans', 'songplays(user_id)', COUNT(*), '=', 0, COUNT(*) = 0 FROM plays p WHERE NOT EXISTS
-  (SELECT 1 FROM log WHERE page = 'view' AND level = 'paid' AND log.userId = p.userId)
-UNION ALL SELECT 'no_orphans', 'songplays(song_id)', 0, '=', 0, TRUE
-UNION ALL SELECT 'no_orphans', 'songplays(artist_id)', 0, '=', 0, TRUE""")
+def _passed(check, *subjects):
+    return [
+        f"SELECT '{check}' AS \"check\", '{s}' AS subject, CAST(0 AS BIGINT) AS measured, '=' AS comparison, "
+        "CAST(0 AS BIGINT) AS expected, TRUE AS passed" for s in subjects
+    ]
+
+
+_KEYS = ["users(user_id)", "songs(song_id)", "artists(artist_id)", "time(start_time)", "songplays(songplay_id)"]
+_UNPAID = f"""SELECT 'no_orphans', 'songplays(user_id)', COUNT(*), '=', 0, COUNT(*) = 0 FROM log p WHERE page = 'view' AND NOT EXISTS
+  (SELECT 1 FROM log WHERE page = 'view' AND level = 'paid' AND log.userId = p.userId)"""
+
+
+@query(f"WITH {std.LOG} " + " UNION ALL ".join([
+    *_passed("no_nulls", *_KEYS), *_passed("unique_key", *_KEYS),
+    *_passed("no_orphans", "songs(artist_id)", "songplays(start_time)", "songplays(song_id)", "songplays(artist_id)"), _UNPAID,
+]))
 def dq_star_contract(spark, d):
-    """What the plays table's contract declares, against its dimensions; users holds paid ones only."""
+    """What the contracts of the relational star declare, where users is built from paid plays only."""
     log, songs = std.log(spark, d, with_songs=True), std.songs(spark, d)
-    song_table, artist_table = star.songs(songs), star.artists(songs)
-    plays = star.plays_relational(log, star.song_lookup(song_table, artist_table), std.PLAY)
-    parents = {
-        "time": (star.time_relational(log, std.PLAY), "start_time"),
-        "users": (star.users(log.where("level = 'paid'"), "upserted", numeric_id=True, page=std.PLAY), "user_id"),
-        "songs": (song_table, "song_id"),
-        "artists": (artist_table, "artist_id"),
-    }
-    return dq.run_checks(dq.contract_checks(conform(star.with_serial(plays), PLAYS), PLAYS, parents))
+    tables = star.relational_star(log, songs, std.PLAY)
+    tables["users"] = star.relational_star(log.where("level = 'paid'"), songs, std.PLAY)["users"]
+    return star.star_checks({name: materialise(table) for name, table in tables.items()})

@@ -203,6 +203,15 @@ def test_materialised_step_keeps_rows_and_types(spark):
     assert step.drop("r").schema == frame.schema
 
 
+def test_scratch_can_be_cleared(spark):
+    from starlog.session import clear_scratch
+
+    step = materialise(spark.range(3))
+    assert len(step.inputFiles()) > 0 and os.path.exists(step.inputFiles()[0].removeprefix("file://"))
+    clear_scratch(spark)
+    assert not os.path.exists(step.inputFiles()[0].removeprefix("file://"))
+
+
 def test_shuffle_partitions_follow_the_input_size(spark, path):
     spark.range(50_000).write.parquet(path)
     before = spark.conf.get("spark.sql.shuffle.partitions")

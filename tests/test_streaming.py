@@ -1,7 +1,5 @@
 """Incremental ingest equals the batch result and can be repeated."""
 
-from pyspark.sql import functions as F
-
 from starlog.plans import star
 from starlog.sinks.tables import VersionedTable
 from starlog.streaming.ingest import ingest_log, load_batch
