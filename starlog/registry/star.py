@@ -8,6 +8,7 @@ from starlog.operators.aggregates import table_counts
 from starlog.plans import lake, star
 from starlog.registry import query
 from starlog.registry import standins as std
+from starlog.schemas import USERS, conform
 from starlog.session import materialise, scratch_path
 
 _DIM_SONG = "song_id, title, artist_id, CAST(year AS BIGINT) AS year, duration"
@@ -212,5 +213,6 @@ def dq_star_contract(spark, d):
     """What the contracts of the relational star declare, where users is built from paid plays only."""
     log, songs = std.log(spark, d, with_songs=True), std.songs(spark, d)
     tables = star.relational_star(log, songs, std.PLAY)
-    tables["users"] = star.relational_star(log.where("level = 'paid'"), songs, std.PLAY)["users"]
+    paid = star.users(log.where("level = 'paid'"), "upserted", numeric_id=True, page=std.PLAY)
+    tables["users"] = conform(paid, USERS)
     return star.star_checks({name: materialise(table) for name, table in tables.items()})
