@@ -69,7 +69,13 @@ def running_totals(
     added = {f"_run_{name}": value for name, value in totals.items()}
     added |= {f"_all_{name}": value for name, value in whole.items()}
     blocks = ordered_blocks(df.withColumns(added), keys, order)
+    frame = _block_window(keys, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return _summed(blocks, keys, frame, list(totals), list(whole)).select(*df.columns, *totals, *whole)
 
+
+def _summed(blocks: DataFrame, keys: list[str], frame, totals: list[str], whole: list[str]) -> DataFrame:
+    """Sum the `_run_` columns over the frame within blocks, on top of the blocks before."""
+    added = [*[f"_run_{name}" for name in totals], *[f"_all_{name}" for name in whole]]
     per_block = blocks.groupBy(*keys, BLOCK).agg(*[F.sum(name).alias(name) for name in added])
     group = Window.partitionBy(*keys)
     before = group.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
@@ -80,18 +86,12 @@ def running_totals(
     )
     if not whole:  # a group's first block has nothing to carry
         carry = carry.where("_seq > 1")
-
-    upto = _block_window(keys, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     spent = ["_seq", *[f"_all_{name}" for name in whole]]
     rows = _behind_carry(blocks.drop(*spent), carry.drop(*spent))
-    return (
-        rows.withColumns(
-            {name: F.sum(f"_run_{name}").over(upto) for name in totals}
-            | {name: F.max(f"_whole_{name}").over(upto) for name in whole}
-        )
-        .where(~F.col(CARRY))
-        .select(*df.columns, *totals, *whole)
-    )
+    return rows.withColumns(
+        {name: F.sum(f"_run_{name}").over(frame) for name in totals}
+        | {name: F.max(f"_whole_{name}").over(frame) for name in whole}
+    ).where(~F.col(CARRY))
 
 
 def number_rows(
@@ -117,6 +117,7 @@ def running_range(df: DataFrame, keys: list[str], by: str, totals: Mapping[str,
     """Running sums in which rows equal in `by` share one value (RANGE unbounded..current).
 
     Rows of one (group, `by`) are summed first, so ties of any size shrink before the shuffle.
+    Meant for values that repeat; where most differ, `running_range_cut` moves less data.
     """
     at = by.lstrip("-")
     steps = df.groupBy(*keys, at).agg(*[F.sum(value).alias(f"_step_{name}") for name, value in totals.items()])
@@ -124,6 +125,40 @@ def running_range(df: DataFrame, keys: list[str], by: str, totals: Mapping[str,
     return join_null_safe(df, run.select(*keys, at, *totals), [*keys, at], "left")
 
 
+def running_range_cut(
+    df: DataFrame, keys: list[str], at: str, ties: list[str], totals: Mapping[str, Column]
+) -> DataFrame:
+    """As `running_range` in ascending order of `at`, without summing equal rows first.
+
+    `ties` orders rows of one (group, `at`) so that many of them can be cut into blocks. Only the
+    rows at the end of one block and the start of the next can then miss equals; these groups, at
+    most one per cut, are found and their sums in later blocks added.
+    """
+    blocks = ordered_blocks(
+        df.withColumns({f"_run_{name}": value for name, value in totals.items()}), keys, [at, *ties]
+    )
+    frame = _block_window(keys, [at]).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = _summed(blocks, keys, frame, list(totals), [])
+
+    place = F.struct(*keys, at)
+    ends = blocks.groupBy(BLOCK).agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    touched = ends.select(F.explode(F.array_distinct(F.array("first", "last"))).alias("place"))
+    cut = touched.groupBy("place").count().where("count > 1").select("place.*")
+    # no more rows than there are blocks, so both sides below are safe to broadcast
+    group = [*keys, at]
+    parts = (
+        join_null_safe(blocks, F.broadcast(cut), group, "left_semi")
+        .groupBy(*group, BLOCK)
+        .agg(*[F.sum(f"_run_{name}").alias(f"_run_{name}") for name in totals])
+    )
+    after = Window.partitionBy(*group).orderBy(BLOCK).rowsBetween(1, Window.unboundedFollowing)
+    later = parts.select(*group, BLOCK, *[F.sum(f"_run_{name}").over(after).alias(f"_later_{name}") for name in totals])
+    out = join_null_safe(rows, F.broadcast(later), [*group, BLOCK], "left")
+    return out.withColumns(
+        {name: F.coalesce(F.col(name) + F.col(f"_later_{name}"), F.col(name), F.col(f"_later_{name}")) for name in totals}
+    ).select(*df.columns, *totals)
+
+
 def running_range_stats(df: DataFrame, keys: list[str], by: str, value: str) -> DataFrame:
     """Running total and average with ties sharing a value."""
     out = running_range(
@@ -206,9 +241,13 @@ def moving_pair(df: DataFrame, keys: list[str], order: list[str], value: str) ->
     )
 
 
-def phases(df: DataFrame, key: str, ts: str, flag: str, name: str = "phase") -> DataFrame:
-    """Number the phases of each key: flagged events at this time or later."""
-    return running_range(df, [key], f"-{ts}", {name: F.col(flag)})
+def phases(df: DataFrame, key: str, ts: str, flag: str, ties: list[str], name: str = "phase") -> DataFrame:
+    """Number the phases of each key: flagged events at this time or later.
+
+    `ts` is a number; `ties` orders events of one time.
+    """
+    backwards = df.withColumn("_back", -F.col(ts))
+    return running_range_cut(backwards, [key], "_back", ties, {name: F.col(flag)}).drop("_back")
 
 
 def group_totals(df: DataFrame, keys: list[str], value: str) -> DataFrame:

@@ -67,4 +67,4 @@ def plays_per_hour(log: DataFrame, page: str = PLAY_PAGE) -> DataFrame:
 def downgrade_phases(log: DataFrame, page: str = "Submit Downgrade") -> DataFrame:
     """Valid rows with the downgrade flag and the number of downgrades at or after each."""
     flagged = valid_log(log).withColumn("downgrade", event_flag(F.col("page"), page))
-    return phases(flagged, "userId", "ts", "downgrade")
+    return phases(flagged, "userId", "ts", "downgrade", ["sessionId", "itemInSession"])

@@ -66,6 +66,25 @@ def test_running_range_shares_ties(frame, rows):
             assert got[row[0]] == (*total([m[2] for m in upto]), len(upto))
 
 
+def test_running_range_cut_shares_ties_over_blocks(frame, rows):
+    values = {"total": F.col("salary"), "rows": F.lit(1)}
+    out = win.running_range_cut(frame, ["dept"], "salary", ["id"], values)
+    blocks = win.ordered_blocks(frame.where("dept = 'big' AND salary = 100"), ["dept"], ["salary", "id"])
+    assert blocks.select("_block").distinct().count() > 2
+    assert out.columns == ["id", "dept", "salary", "total", "rows"]
+    got = {r.id: (r.total, r.rows) for r in out.collect()}
+    for members in groups(rows).values():
+        for row in members:
+            upto = [m for m in members if m[2] is None or (row[2] is not None and m[2] <= row[2])]
+            assert got[row[0]] == (total([m[2] for m in upto])[0], len(upto))
+    assert len(got) == len(rows)
+
+
+def test_running_range_cut_with_one_value_everywhere(spark):
+    out = win.running_range_cut(spark.range(500).withColumn("v", F.lit(1)), [], "v", ["id"], {"n": F.lit(1)})
+    assert out.select("n").distinct().collect()[0].n == 500 and out.count() == 500
+
+
 def test_ranks(frame, rows):
     got = {r.id: (r["rank"], r.dense_rank, r.percent_rank) for r in win.ranks(frame, ["dept"], "salary").collect()}
     for members in groups(rows).values():
@@ -132,7 +151,7 @@ def test_number_rows_without_groups(frame, rows):
 
 def test_phases_count_flags_at_or_after(spark):
     rows = [("u", t, 1 if t in (3, 5, 5, 9) else 0, i) for i, t in enumerate([1, 2, 3, 4, 5, 5, 6, 9, 10])] + [("v", 1, 0, 99)]
-    out = win.phases(spark.createDataFrame(rows, "user string, ts bigint, flag int, id int"), "user", "ts", "flag")
+    out = win.phases(spark.createDataFrame(rows, "user string, ts bigint, flag int, id int"), "user", "ts", "flag", ["id"])
     got = {r.id: r.phase for r in out.collect()}
     assert got == {0: 4, 1: 4, 2: 4, 3: 3, 4: 3, 5: 3, 6: 1, 7: 1, 8: 0, 99: 0}
 
