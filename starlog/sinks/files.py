@@ -60,8 +60,8 @@ def write_tsv(df: DataFrame, path: str) -> None:
 
 
 def write_quoted_csv(df: DataFrame, path: str) -> None:
-    """CSV with header and every field quoted."""
-    df.write.mode("overwrite").option("header", True).option("quoteAll", True).csv(path)
+    """CSV with header, every field quoted and quotes inside a field doubled."""
+    df.write.mode("overwrite").option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
 
 
 def materialise_as(df: DataFrame, path: str, view: str) -> DataFrame:

@@ -11,6 +11,9 @@ from starlog.session import file_system
 from starlog.sinks.files import write_parquet
 
 
+FINISHED = "_FINISHED"
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, location = file_system(spark, path)
     return fs.exists(location)
@@ -19,7 +22,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def _held(batch: DataFrame, path: str) -> DataFrame | None:
     """The table in the batch's columns, None when there is no table yet."""
     spark = batch.sparkSession
-    if path_exists(spark, f"{path}/_SUCCESS"):
+    if path_exists(spark, path):
         return spark.read.schema(batch.schema).parquet(path)
     return None
 
@@ -45,7 +48,7 @@ class VersionedTable:
         if not fs.exists(location):
             return []
         numbers = sorted(int(status.getPath().getName().removeprefix("v")) for status in fs.listStatus(location))
-        return [n for n in numbers if path_exists(self.spark, f"{self._version_path(n)}/_SUCCESS")]
+        return [n for n in numbers if path_exists(self.spark, f"{self._version_path(n)}/{FINISHED}")]
 
     def exists(self) -> bool:
         return bool(self.versions())
@@ -55,7 +58,10 @@ class VersionedTable:
 
     def replace(self, df: DataFrame) -> None:
         done = self.versions()
-        write_parquet(df, self._version_path(done[-1] + 1 if done else 1))
+        path = self._version_path(done[-1] + 1 if done else 1)
+        write_parquet(df, path)
+        fs, marker = file_system(self.spark, f"{path}/{FINISHED}")
+        fs.create(marker).close()
         for number in done[: -self.keep + 1] if self.keep > 1 else done:
             fs, location = file_system(self.spark, self._version_path(number))
             fs.delete(location, True)

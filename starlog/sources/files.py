@@ -99,16 +99,21 @@ def read_mapped(spark: SparkSession, path: str | list[str], fields: list[str], c
     )
 
 
-def read_csv_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """CSV with header, every column as text."""
-    return spark.read.option("header", True).csv(path)
+def read_csv_text(spark: SparkSession, path: str | list[str], multiline: bool = False) -> DataFrame:
+    """CSV with header, every column as text; a quote inside a field is doubled.
+
+    `multiline` allows line ends inside quoted fields, at the price of one task per file.
+    """
+    return spark.read.option("header", True).option("escape", '"').option("multiLine", multiline).csv(path)
 
 
-def read_event_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_event_csv(spark: SparkSession, path: str | list[str], multiline: bool = False) -> DataFrame:
     """All event files below the given directories as one set of text rows."""
     return (
         spark.read.schema(EVENT_CSV)
         .option("header", True)
+        .option("escape", '"')
+        .option("multiLine", multiline)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.csv")
         .csv(path)

@@ -110,6 +110,13 @@ def test_tsv_round_trip_with_nulls_and_tabs(spark, path):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, frame.collect()))
 
 
+def test_quoted_csv_round_trip(spark, path):
+    frame = spark.createDataFrame([('say "x", twice', "a\nb"), ("back\\slash", None)], "t string, u string")
+    sinks.write_quoted_csv(frame, path)
+    back = sources.read_csv_text(spark, path, multiline=True)
+    assert sorted(back.fillna("").collect()) == sorted(frame.fillna("").collect())
+
+
 def test_write_once_and_stage(spark, path):
     assert sources.parquet_copy(spark, spark.range(3), path).count() == 3
     assert sources.parquet_copy(spark, spark.range(9), path).count() == 3
