@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starlog.functions.calendar import month_start, parse_date
-from starlog.functions.values import varchar
 from starlog.operators import quality
 from starlog.operators.filters import complete, date_range
 from starlog.operators.joins import add_first_label, keep_listed
@@ -20,8 +19,8 @@ def arrivals(records: DataFrame, ports: DataFrame, addresses: DataFrame) -> Data
     known = keep_listed(keep_listed(known, ports, "i94port"), addresses, "i94addr")
     return known.select(
         month_start(F.col("i94yr"), F.col("i94mon")).alias("dt"),
-        varchar(F.col("i94addr"), 2).alias("i94addr"),
-        varchar(F.col("i94port"), 3).alias("i94port"),
+        "i94addr",
+        "i94port",
     )
 
 
@@ -43,10 +42,10 @@ def temperatures(rows: DataFrame, ports: DataFrame) -> DataFrame:
     located = add_first_label(rows, "City", ports, "i94port")
     return complete(located, ["dt", "Country", "City", "AverageTemperature", "i94port"]).select(
         "dt",
-        varchar(F.col("Country"), 13).alias("Country"),
+        "Country",
         "City",
         F.round("AverageTemperature", 2).alias("AverageTemperature"),
-        varchar(F.col("i94port"), 3).alias("i94port"),
+        "i94port",
     )
 
 

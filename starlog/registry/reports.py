@@ -8,7 +8,7 @@ from starlog.registry import standins as std
 from starlog.session import scratch_path
 
 _ARRIVALS = f"""{std.ARRIVAL_RECORDS}, {std.PORT_LIST}, arrivals AS (
-  SELECT make_date(CAST(i94yr AS INT), CAST(i94mon AS INT), 1) AS dt, i94addr, substr(i94port, 1, 3) AS i94port FROM records
+  SELECT make_date(CAST(i94yr AS INT), CAST(i94mon AS INT), 1) AS dt, i94addr, i94port FROM records
   WHERE i94addr IN (SELECT o_orderstatus FROM orders) AND i94port IN (SELECT code FROM ports))"""
 
 _TEMPERATURES = f"""{std.TEMPERATURE_RECORDS}, temps AS (
