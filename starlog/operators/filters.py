@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -28,6 +30,11 @@ def in_list(df: DataFrame, column: str, values: list) -> DataFrame:
     return df.where(F.col(column).isin(values))
 
 
+def without_nulls(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows without a NULL in the columns; the condition reaches the file scan."""
+    return df.where(reduce(Column.__and__, [F.col(c).isNotNull() for c in columns]))
+
+
 def complete(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows without a NULL in the columns."""
-    return df.dropna(how="any", subset=columns)
+    """Rows without a NULL or NaN in the columns."""
+    return without_nulls(df, columns).dropna(how="any", subset=columns)

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starlog.operators.dedupe import first_row_per_key
+from starlog.operators.filters import without_nulls
 from starlog.session import materialise
 
 
@@ -27,7 +28,7 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str)
 
 def join_resplit(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
     """Plain equi-join (NULL matches nothing) with a right side that was grouped by the keys."""
-    return join_null_safe(left, right.dropna(subset=keys), keys, how)
+    return join_null_safe(left, without_nulls(right, keys), keys, how)
 
 
 def lookup_at_most_one(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starlog.operators.dedupe import first_and_last, first_row_per_key
+from starlog.operators.filters import without_nulls
 from starlog.operators.joins import join_null_safe
 from starlog.session import file_system
 from starlog.sinks.files import write_parquet
@@ -99,7 +100,7 @@ def first_rows_with_new_keys(
     batch: DataFrame, target: DataFrame | None, keys: list[str], order: list[Column], within: tuple[str, ...] = ()
 ) -> DataFrame:
     """As `rows_with_new_keys`, with one row per key, the first by `order`; NULL keys are dropped."""
-    first = first_row_per_key(batch.dropna(subset=keys), keys, order)
+    first = first_row_per_key(without_nulls(batch, keys), keys, order)
     if target is None:
         return first
     return first.join(_touched(target, batch, within).select(*keys), keys, "left_anti")
