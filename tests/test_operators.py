@@ -62,6 +62,13 @@ def test_added_label_keeps_every_row(spark):
     assert sorted((r.id, r.port) for r in out.collect()) == [(1, "A"), (2, "A"), (3, None), (4, None), (5, "B")]
 
 
+def test_no_terms_or_no_labels(spark):
+    labels = spark.createDataFrame([(1, "A", "Alpha")], "ordinal bigint, code string, label string")
+    terms = spark.createDataFrame([("alp",)], "city string")
+    assert joins.first_label_containing(terms.limit(0), "city", labels).count() == 0
+    assert [tuple(r) for r in joins.first_label_containing(terms, "city", labels.limit(0)).collect()] == [("alp", None)]
+
+
 def test_join_null_safe(spark):
     left = spark.createDataFrame([(1, "a"), (2, None)], "id int, k string")
     right = spark.createDataFrame([("a", 10), (None, 20)], "k string, v int")

@@ -140,7 +140,7 @@ def test_scheduled_load_is_idempotent_and_gated(spark, log, song_data, path):
 
 
 @pytest.fixture
-def capstone(spark):
+def arrival_frames(spark):
     ports = spark.createDataFrame([(0, "NYC", "NEW YORK, NY"), (1, "NEW", "NEWARK/NEW YORK"), (2, "LAX", "LOS ANGELES, CA")], "ordinal bigint, code string, label string")
     addresses = spark.createDataFrame([("NY",), ("99",)], "code string")
     records = spark.createDataFrame(
@@ -154,21 +154,21 @@ def capstone(spark):
     return immigration.arrivals(records, ports, addresses), immigration.temperatures(immigration.country_temperatures(weather), ports)
 
 
-def test_arrivals_and_temperatures(capstone):
-    arrived, temps = capstone
+def test_arrivals_and_temperatures(arrival_frames):
+    arrived, temps = arrival_frames
     assert sorted((str(r.dt), r.i94addr, r.i94port) for r in arrived.collect()) == [("2016-04-01", "99", "LAX"), ("2016-04-01", "NY", "NYC")]
     assert sorted((r.City, r.AverageTemperature, r.i94port) for r in temps.collect()) == [("New York", 9.13, "NYC"), ("York", 8.0, "NYC")]
 
 
-def test_facts_never_match_across_years_but_months_do(capstone):
-    arrived, temps = capstone
+def test_facts_never_match_across_years_but_months_do(arrival_frames):
+    arrived, temps = arrival_frames
     assert {r.AverageTemperature for r in immigration.arrival_facts(arrived, temps).collect()} == {None}
     aligned = immigration.arrival_facts(arrived, temps, "month_of_year").collect()
     assert sorted((r.i94port, r.AverageTemperature or 0) for r in aligned) == [("LAX", 0), ("NYC", 8.0), ("NYC", 9.13)]
 
 
-def test_checks_find_the_fan_out(spark, capstone, path):
-    require(immigration.write_arrivals(spark, *capstone, path))
+def test_checks_find_the_fan_out(spark, arrival_frames, path):
+    require(immigration.write_arrivals(spark, *arrival_frames, path))
     assert spark.sql("SELECT count(*) AS n FROM fact WHERE i94port = 'NYC'").first().n == 1
     with pytest.raises(QualityError, match="same_count fact and immigration: 3 is not = 2"):
-        require(immigration.write_arrivals(spark, *capstone, path + "-month", "month_of_year"))
+        require(immigration.write_arrivals(spark, *arrival_frames, path + "-month", "month_of_year"))
