@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from starlog.llm.common import PieceTable, binary_lists, only, text_batches
+from starlog.llm.common import PieceTable, binary_lists, map_arrow, only, text_batches
 
 NONE = np.int64(1) << 62  # no pair
 
@@ -164,7 +164,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 )
 
     doc_type = docs.schema["doc_id"].dataType.simpleString()
-    return only(docs, "doc_id", "text").mapInArrow(run, f"doc_id {doc_type}, ids array<int>")
+    return map_arrow(only(docs, "doc_id", "text"), run, f"doc_id {doc_type}, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -180,4 +180,4 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
             )
 
     doc_type = encoded.schema["doc_id"].dataType.simpleString()
-    return only(encoded, "doc_id", "ids").mapInArrow(run, f"doc_id {doc_type}, ids array<int>, decoded binary")
+    return map_arrow(only(encoded, "doc_id", "ids"), run, f"doc_id {doc_type}, ids array<int>, decoded binary")

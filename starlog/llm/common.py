@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 BLANKS = " \t\n\x0b\x0c\r"
 BLANK_CLASS = r"[\x20\x09-\x0D]"
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 
 def whole_text(column: str | Column) -> Column:
     """The text, empty where it is NULL."""
@@ -127,3 +130,12 @@ def only(df: DataFrame, *columns: str) -> DataFrame:
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """`body` of the value, which is computed once however often `body` names it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """`mapInArrow` with this package on the path of the Python workers, wherever the driver was started."""
+    variables = df.sparkSession.sparkContext.environment
+    path = variables.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in path:
+        variables["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, path)])
+    return df.mapInArrow(run, schema)

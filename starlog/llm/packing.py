@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from starlog.llm.common import PieceTable, only, text_batches
+from starlog.llm.common import PieceTable, map_arrow, only, text_batches
 
 SCHEMA = (
     "doc_id long, start long, length long, ids binary, doc_tokens long, "
@@ -252,4 +252,4 @@ def pack(
         if rows := stream.flush(final=True):
             yield to_batch(rows)
 
-    return only(docs, "doc_id", "text").mapInArrow(run, SCHEMA)
+    return map_arrow(only(docs, "doc_id", "text"), run, SCHEMA)

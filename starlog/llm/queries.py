@@ -14,7 +14,9 @@ from starlog.llm import (
     packing,
     quality_rules,
     secret_scan,
+    simhash,
     token_counts,
+    toxicity,
 )
 from starlog.session import scratch_path
 from starlog.sources.files import read_table
@@ -170,3 +172,19 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents"))
     return cut.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast("long"))
+
+
+@query()
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query()
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    model = toxicity.fit(docs, read_table(spark, sf_dir, "labels").where(~held_out))
+    scored = toxicity.score(docs, model)
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted, "passages")

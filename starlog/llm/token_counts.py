@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starlog.llm.byte_bpe import encoder
-from starlog.llm.common import only, text_batches
+from starlog.llm.common import map_arrow, only, text_batches
 from starlog.session import file_system, materialise
 
 WIDTH = 2  # bytes of an id
@@ -70,7 +70,7 @@ def write_flat(docs: DataFrame, folder: str, path: str, pattern: str, end_id: in
             system.move(draft, f"{base}/{name}")
 
     doc_type = docs.schema["doc_id"].dataType.simpleString()
-    return materialise(only(docs, "doc_id", "text").mapInArrow(run, f"file string, place long, doc_id {doc_type}"))
+    return materialise(map_arrow(only(docs, "doc_id", "text"), run, f"file string, place long, doc_id {doc_type}"))
 
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -113,7 +113,7 @@ def find_ends(files: DataFrame, folder: str, end_id: int, block_tokens: int) ->
                     ),
                 )
 
-    return blocks.mapInArrow(run, "file string, block long, tokens long, ends array<long>")
+    return map_arrow(blocks, run, "file string, block long, tokens long, ends array<long>")
 
 
 def _scan(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
