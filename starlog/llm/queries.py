@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from starlog.llm import (
     byte_bpe,
+    imatch,
     line_dedup,
     packing,
     quality_rules,
@@ -188,3 +189,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score(docs, model)
     predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
     return scored.select("doc_id", held_out.alias("held_out"), "score", predicted, "passages")
+
+
+@query()
+def op7_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    compared = imatch.compare_edited(read_table(spark, sf_dir, "documents"))
+    return compared.withColumn("edited_sha256", F.sha2("edited", 256)).drop("edited")

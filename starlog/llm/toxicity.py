@@ -1,9 +1,9 @@
 """Toxic passages: maximum-scoring segments over word log-odds, calibrated by extreme values.
 
-Model. From labelled texts, the log-odds of every word, and of its beginnings of 4 to 8 letters (which
+Model. From labelled texts, the log-odds of every word, and of its beginnings of 3 to 8 letters (which
 gather inflected forms), are compared between toxic and clean texts under a Dirichlet prior drawn
-from all of them; what differs clearly (z score) is kept. A word scores by its clearest entry, all
-other words score a small negative drift.
+from all of them; what differs clearly (by its deviance) is kept, with the bound of its log-odds
+nearest to 0. A word scores by its clearest form, and every word a small negative drift.
 
 Scan. The word scores of a text are searched for all maximal scoring segments in linear time
 (Ruzzo and Tompa's method: a stack of candidate segments, each linked to the nearest one that
@@ -34,7 +34,7 @@ from starlog.llm.common import map_arrow, only, text_batches, whole_text
 from starlog.session import materialise
 
 WORD = re.compile(r"[^\W\d_]+")
-STEMS = range(4, 9)
+STEMS = range(3, 9)
 PASSAGES = "array<struct<start: long, end: long, score: double, expected: double>>"
 
 
@@ -42,7 +42,7 @@ PASSAGES = "array<struct<start: long, end: long, score: double, expected: double
 class Model:
     """What scoring needs; its size is bounded by the sample it was fitted on."""
 
-    weights: dict[str, float] = field(default_factory=dict)
+    weights: dict[str, tuple[float, float]] = field(default_factory=dict)  # log-odds, clarity
     drift: float = -0.5
     rate: float = 1.0  # lambda
     scale: float = 1.0  # K
@@ -50,13 +50,10 @@ class Model:
     max_expected: float = 0.01
 
     def entry(self, word: str) -> float:
-        """The weight of the longest known form of the word, the drift if none is known."""
-        found = self.weights.get("=" + word)
-        size = min(len(word), STEMS[-1])
-        while found is None and size >= STEMS[0]:
-            found = self.weights.get(word[:size])
-            size -= 1
-        return self.drift if found is None else found
+        """The log-odds of the clearest known form of the word, the drift if none is known."""
+        forms = ["=" + word, *(word[:n] for n in STEMS if n <= len(word))]
+        known = [self.weights[form] for form in forms if form in self.weights]
+        return self.drift + (max(known, key=lambda found: abs(found[1]))[0] if known else 0.0)
 
     def rarity(self, score: float, words: int) -> float:
         """Minus the log of the number of such segments that a clean text has by chance."""
@@ -135,23 +132,54 @@ def sample_labels(labels: DataFrame, per_class: int) -> DataFrame:
     return known.where(draw < share).withColumn("weight", 1 / share)
 
 
-def weigh(texts: DataFrame, prior: float, least_z: float, least_docs: int) -> dict[str, float]:
-    """Log-odds of the features that clearly differ between toxic and clean `texts` (text, toxic)."""
-    n_toxic, n_clean = texts.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.coalesce(F.sum(1 - F.col("toxic")), F.lit(0))).first()
-    if not n_toxic or not n_clean:
-        return {}
-    counts = texts.select("toxic", F.explode(features(whole_text("text"))).alias("feature")).groupBy("feature")
-    counts = counts.agg(F.sum("toxic").alias("t"), F.count("*").alias("all")).where(F.col("all") >= least_docs)
-    counts = counts.withColumn("c", F.col("all") - F.col("t"))
-    share = prior * F.col("all") / (n_toxic + n_clean)
+def _evidence(t: Column, seen: Column, n_toxic: int, n_clean: int, prior: float) -> Column:
+    """(bound, clarity) of a feature: the log-odds bound nearest to 0, and the signed root of the deviance."""
+    c = seen - t
+    share = prior * seen / (n_toxic + n_clean) + 0.5
 
-    def odds(seen: str, total: int) -> Column:
-        return F.log((F.col(seen) + share) / (total + prior - F.col(seen) - share))
+    def odds(count: Column, total: int) -> Column:
+        return F.log((count + share) / (total + prior - count))
 
-    delta = odds("t", n_toxic) - odds("c", n_clean)
-    spread = F.sqrt(1 / (F.col("t") + share) + 1 / (F.col("c") + share))
-    clear = counts.select("feature", delta.alias("delta"), (delta / spread).alias("z")).where(F.abs("z") >= least_z)
-    return {feature: delta for feature, delta, _ in clear.collect()}
+    delta = odds(t, n_toxic) - odds(c, n_clean)
+    spread = F.sqrt(1 / (t + share) + 1 / (c + share))
+
+    def gain(count: Column, total: int) -> Column:
+        chance = seen * (total / (n_toxic + n_clean))
+        return F.when(count > 0, count * F.log(count / chance)).otherwise(0.0)
+
+    deviance = F.greatest(2 * (gain(t, n_toxic) + gain(c, n_clean)), F.lit(0.0))
+    return F.struct(
+        (F.signum(delta) * F.greatest(F.abs(delta) - spread, F.lit(0.0))).alias("bound"),
+        (F.signum(delta) * F.sqrt(deviance)).alias("clarity"),
+    )
+
+
+def weigh(texts: DataFrame, prior: float, clarity: float) -> list[dict[str, tuple[float, float]]]:
+    """Weights of the clear features of `texts` (text, toxic, fold): from fold 0, from fold 1, from both.
+
+    Empty where a fold lacks texts of one kind.
+    """
+    sizes = {(kind, fold): n for kind, fold, n in texts.groupBy("toxic", "fold").count().collect()}
+    n_toxic, n_clean = ([sizes.get((kind, fold), 0) for fold in (0, 1)] for kind in (1, 0))
+    counts = texts.select("toxic", "fold", F.explode(features(whole_text("text"))).alias("feature")).groupBy("feature")
+    parts = [F.count_if(F.col("fold") == fold).alias(f"all{fold}") for fold in (0, 1)]
+    parts += [F.count_if((F.col("fold") == fold) & (F.col("toxic") == 1)).alias(f"t{fold}") for fold in (0, 1)]
+    counts = counts.agg(*parts).where("all0 + all1 >= 3")
+    found = {}
+    for name, folds in (("first", (0,)), ("second", (1,)), ("both", (0, 1))):
+        t, seen = (sum((F.col(f"{part}{fold}") for fold in folds), F.lit(0)) for part in ("t", "all"))
+        totals = sum(n_toxic[fold] for fold in folds), sum(n_clean[fold] for fold in folds)
+        if all(totals):
+            found[name] = F.when(seen > 0, _evidence(t, seen, *totals, prior))
+    weights: list[dict[str, tuple[float, float]]] = [{}, {}, {}]
+    if found:
+        clear = [F.abs(evidence["clarity"]) >= clarity for evidence in found.values()]
+        kept = [F.when(is_clear, evidence).alias(name) for is_clear, (name, evidence) in zip(clear, found.items())]
+        for row in counts.select("feature", *kept).where(F.coalesce(*[F.col(name) for name in found]).isNotNull()).collect():
+            for at, name in enumerate(("first", "second", "both")):
+                if name in found and row[name] is not None:
+                    weights[at][row.feature] = tuple(row[name])
+    return weights
 
 
 def _fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, ...]:
@@ -175,32 +203,29 @@ def signals(model: Model, words: int, scores: list[float]) -> tuple[float, float
     return max(-20.0, min(20.0, max(rarity, default=-20.0))), math.log1p(sum(x for x in rarity if x > 0))
 
 
-def fit(
-    docs: DataFrame,
-    labels: DataFrame,
-    per_class: int = 10_000,
-    prior: float = 50.0,
-    least_z: float = 4.0,
-    least_docs: int = 3,
-) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = 10_000, prior: float = 10.0, clarity: float = 4.0) -> Model:
     """A model from the labelled rows; `labels` has doc_id and toxic and holds only rows to learn from.
 
     The model is fitted on a sample of at most about `per_class` labelled texts of each class, so
-    the sample's ids, its word counts and its measures are bounded whatever the input.
+    the sample's ids, its word counts and its measures are bounded whatever the input. The chance
+    scale and the curve are fitted on scores of texts under the weights of the other half.
     """
     # bounded by 2 * per_class rows, so it is safe to broadcast
     sample = F.broadcast(materialise(sample_labels(labels, per_class)))
-    texts = materialise(only(docs, "doc_id", "text").join(sample, "doc_id").select("text", "toxic", "weight"))
-    model = Model(weigh(texts, prior, least_z, least_docs))
-    if not model.weights:
+    texts = only(docs, "doc_id", "text").join(sample, "doc_id").dropDuplicates(["doc_id", "text", "toxic"])
+    texts = materialise(texts.select("text", "toxic", "weight", F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int").alias("fold")))
+    *halves, weights = weigh(texts, prior, clarity)
+    model = Model(weights)
+    if not weights:
         return model
+    crossed = [Model(halves[1 - fold] or weights) for fold in (0, 1)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model)
+        scorers = [Scorer(crossed[fold]) for fold in (0, 1)]
         for batch in batches:
             for at, texts in text_batches(batch, "text"):
                 rows = batch.slice(at, len(texts))
-                found = [scorer.scan(text) for text in texts]
+                found = [scorers[fold].scan(text) for text, fold in zip(texts, rows.column("fold").to_pylist())]
                 spread = [np.unique(scores, return_counts=True) for scores, _ in found]
                 columns = {
                     "toxic": rows.column("toxic").cast(pa.int32()),
