@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starlog.llm import line_dedup, packing, quality_rules, secret_scan
+from starlog.llm import line_dedup, packing, quality_rules, secret_scan, simhash
 from starlog.llm.queries import WORD_TOKENIZER
 from starlog.session import scratch_path
 from starlog.sources.files import read_table
@@ -32,6 +32,11 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _as_documents(line_dedup.dedup_lines(docs), docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return simhash.keep_first(docs)
+
+
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with every found secret replaced by a mark."""
     found = secret_scan.scan(docs, scratch_path(spark, "ledger"))
@@ -43,7 +48,13 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, WORD_TOKENIZER, end_id=2)
 
 
-STAGES = [("quality rules", quality), ("line dedup", lines), ("secret scans", secrets), ("packing", pack)]
+STAGES = [
+    ("quality rules", quality),
+    ("line dedup", lines),
+    ("SimHash near-dedup", near_dedup),
+    ("secret scans", secrets),
+    ("packing", pack),
+]
 
 #: Tokenizing is beyond SQL; tests/llm compares the pipeline with a brute-force version.
 ORACLE_SQL = None
@@ -53,7 +64,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`."""
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        path = scratch_path(spark, name.replace(" ", "-"))
+        path = scratch_path(spark, name.lower().replace(" ", "-"))
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs

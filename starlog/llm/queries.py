@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from starlog.llm import (
     byte_bpe,
+    html_extract,
     imatch,
     line_dedup,
     packing,
@@ -132,6 +133,12 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("text", "lang", "source", "n_chars")
 
 
+@query()
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extracted = html_extract.extract(read_table(spark, sf_dir, "pages"))
+    return extracted.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @query()
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "flat")
