@@ -55,20 +55,29 @@ class Merger:
         at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
         return np.where((left >= 0) & (right >= 0) & (self.pairs[at] == key), self.ranks[at], NONE)
 
-    def __call__(self, pieces: list[bytes]) -> list[list[int]]:
+    def __call__(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces one after the other, and how many each has."""
+        sizes = [max(len(piece) - 1, 0).bit_length() for piece in pieces]
+        lengths = np.zeros(len(pieces), np.int64)
+        found = []
         by_size = defaultdict(list)
-        for at, piece in enumerate(pieces):
-            by_size[max(len(piece) - 1, 0).bit_length()].append(at)
-        out: list[list[int]] = [[]] * len(pieces)
+        for at, bits in enumerate(sizes):
+            by_size[bits].append(at)
         for bits, members in by_size.items():
             step = max(1, (1 << 20) >> bits)
             for first in range(0, len(members), step):
                 group = members[first : first + step]
-                for at, ids in zip(group, self._merge([pieces[i] for i in group], bits)):
-                    out[at] = ids
-        return out
-
-    def _merge(self, pieces: list[bytes], bits: int) -> list[list[int]]:
+                ids, counts = self._merge([pieces[i] for i in group], bits)
+                lengths[group] = counts
+                found.append((np.array(group), ids, counts))
+        ends = np.cumsum(lengths)
+        flat = np.zeros(int(ends[-1]) if len(ends) else 0, np.int64)
+        for group, ids, counts in found:
+            shift = ends[group] - counts - (np.cumsum(counts) - counts)
+            flat[np.arange(len(ids)) + np.repeat(shift, counts)] = ids
+        return flat, lengths
+
+    def _merge(self, pieces: list[bytes], bits: int) -> tuple[np.ndarray, np.ndarray]:
         """Pieces of at most 2**bits bytes, all at once: a row for each."""
         size, count = 1 << bits, len(pieces)
         lengths = np.fromiter(map(len, pieces), np.int64, count)
@@ -121,8 +130,7 @@ class Merger:
                     tree[changed_rows, 2 * nodes], tree[changed_rows, 2 * nodes + 1]
                 )
         kept = ids >= 0
-        flat, ends = ids[kept].tolist(), np.cumsum(kept.sum(axis=1)).tolist()
-        return [flat[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+        return ids[kept], kept.sum(axis=1)
 
 
 class Encoder:

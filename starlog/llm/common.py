@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -45,16 +45,16 @@ def text_batches(batch: pa.RecordBatch, column: str, chars: int = 1 << 20) -> It
 class PieceTable:
     """Token ids of text pieces, each distinct piece encoded once per worker.
 
-    `encode` maps a list of new pieces to their lists of ids, `mark` gives each a small number. The
-    ids lie in one flat array, a piece is a number into it. Beyond `limit` pieces the table starts afresh, so its memory is bounded
+    `encode` maps a list of new pieces to all their ids, one after the other, and how many each has;
+    `mark` gives each a small number. The ids lie in one flat array, a piece is a number into it. Beyond `limit` pieces the table starts afresh, so its memory is bounded
     whatever the input; results do not depend on it.
     """
 
     def __init__(
         self,
-        encode: Callable[[list[str]], Iterable[list[int]]],
+        encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]],
         mark: Callable[[str], int] = lambda piece: 0,
-        limit: int = 700_000,
+        limit: int = 1_000_000,
     ):
         self.encode, self.mark, self.limit = encode, mark, limit
         self._clear()
@@ -83,16 +83,14 @@ class PieceTable:
             if len(self.number) > self.limit:
                 self._clear()
         new = list(set(pieces).difference(self.number))
-        lists = list(self.encode(new))
-        at = len(self.number)
-        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-        total = int(lengths.sum())
+        ids, lengths = self.encode(new)
+        at, total = len(self.number), len(ids)
         self.flat = self._room(self.flat, self.used + total)
         self.start = self._room(self.start, at + len(new))
         self.length = self._room(self.length, at + len(new))
         self.marks = self._room(self.marks, at + len(new))
         self.marks[at : at + len(new)] = np.fromiter(map(self.mark, new), np.int8, len(new))
-        self.flat[self.used : self.used + total] = np.fromiter((i for ids in lists for i in ids), np.int32, total)
+        self.flat[self.used : self.used + total] = ids
         self.length[at : at + len(new)] = lengths
         self.start[at : at + len(new)] = self.used + np.cumsum(lengths) - lengths
         self.used += total

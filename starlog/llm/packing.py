@@ -34,6 +34,7 @@ SCHEMA = (
     "sequence_id long, offset long, sequence_tokens long"
 )
 SENTENCE, DOCUMENT = 1, 2
+LINE = 32
 #: Sequence numbers of one partition start this far from those of the partition before.
 PARTITION_STEP = 1 << 40
 END = "\n\n"  # stands for the end of a document; a text never gives it, as line feeds are cut apart
@@ -55,9 +56,21 @@ def word_table(path: str, end_id: int) -> PieceTable:
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
 
-    def encode(pieces: list[str]) -> Iterator[list[int]]:
-        for piece, found in zip(pieces, tokenizer.encode_batch(pieces, add_special_tokens=False)):
-            yield [end_id] if piece == END else found.ids
+    def encode(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Encoded in lines of a few pieces, which is faster than each alone; offsets tell them apart."""
+        lines = [" ".join(pieces[at : at + LINE]) for at in range(0, len(pieces), LINE)]
+        found = tokenizer.encode_batch(lines, add_special_tokens=False)
+        ids = np.fromiter((i for line in found for i in line.ids), np.int32)
+        begin = np.cumsum([0, *(len(line) + 1 for line in lines[:-1])])
+        places = np.fromiter((at for line in found for at, _ in line.offsets), np.int64, len(ids))
+        places += np.repeat(begin, [len(line) for line in found])
+        starts = np.cumsum([0, *(len(piece) + 1 for piece in pieces)])
+        lengths = np.bincount(np.searchsorted(starts, places, "right") - 1, minlength=len(pieces))
+        if END in pieces:  # it has no ids of its own
+            at = pieces.index(END)
+            ids = np.insert(ids, lengths[:at].sum(), end_id)
+            lengths[at] = 1
+        return ids, lengths
 
     return PieceTable(encode, closing_kind)
 
