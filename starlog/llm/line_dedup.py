@@ -39,7 +39,7 @@ def host_boilerplate(docs: DataFrame, ratio: float, min_pages: int) -> DataFrame
     return materialise(common.groupBy(HOST).agg(F.collect_list("line").alias(LINES)))
 
 
-def dedup_lines(docs: DataFrame, ratio: float = 0.3, min_pages: int = 10) -> DataFrame:
+def dedup_lines(docs: DataFrame, ratio: float = 0.1, min_pages: int = 10) -> DataFrame:
     """The rows with boilerplate lines taken out of `text`, and `n_dropped`, how many went.
 
     `docs` has source (the host) and text.

@@ -93,7 +93,7 @@ def judge(
     min_words: int = 20,
     max_repeat_percent: int = 30,
     limit_docs: int = 10,
-    limit_share: float = 0.2,
+    limit_share: float = 0.1,
     min_left: float = 0.3,
 ) -> DataFrame:
     """The rows with the measures, base_failed, n_words_left (outside removed lines) and kept."""

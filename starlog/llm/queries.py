@@ -115,7 +115,7 @@ def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     f AS (SELECT source, plain, count(DISTINCT t) AS docs FROM n WHERE plain <> '' GROUP BY source, plain),
     h AS (SELECT source, count(DISTINCT t) AS all_docs FROM d GROUP BY source),
     x AS (SELECT f.source, plain FROM f JOIN h ON f.source IS NOT DISTINCT FROM h.source
-          WHERE docs > 10 AND docs > 0.2 * all_docs),
+          WHERE docs > 10 AND docs > 0.1 * all_docs),
     gone AS (SELECT doc_id, sum(len(string_split(n.plain, ' '))) AS lost
              FROM n JOIN x ON n.source IS NOT DISTINCT FROM x.source AND n.plain = x.plain GROUP BY doc_id),
     b AS (SELECT w.doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
@@ -167,7 +167,7 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     f AS (SELECT source, bare, count(DISTINCT doc_id) AS pages FROM n WHERE bare <> '' GROUP BY source, bare),
     h AS (SELECT source, count(*) AS all_pages FROM documents GROUP BY source),
     x AS (SELECT f.source, list(bare) AS common FROM f JOIN h ON f.source IS NOT DISTINCT FROM h.source
-          WHERE pages >= 10 AND pages > 0.3 * all_pages GROUP BY f.source),
+          WHERE pages >= 10 AND pages > 0.1 * all_pages GROUP BY f.source),
     k AS (SELECT d.doc_id, d.source, d.lang, d.text AS old, string_split(d.text, chr(10)) AS lines,
           list_filter(string_split(d.text, chr(10)), lambda s: NOT coalesce(list_contains(common,
             trim(s, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))), false)) AS kept
