@@ -235,7 +235,9 @@ def deduce(tokens: pd.DataFrame, few: int = 3) -> dict[str, list[int]]:
     # the frame: the class of what stands once on every page; without one, all that stands once where it is
     frame = family.isin(family[everywhere]) if everywhere.any() else tokens["n"] == tokens["pages"]
     parent = dict(zip(tokens["token"], tokens["parent"]))
-    constant = (tokens["speaking"] == tokens["all_pages"]) & ~tokens["varies"].fillna(False).astype(bool) & frame
+    names = tokens["sign"].str.split(r"[.#]", regex=True).str[0]
+    # an element in a line is a part of its block's slot
+    constant = (tokens["speaking"] == tokens["all_pages"]) & (tokens["varies"] == False) & frame & ~names.isin(INLINE)  # noqa: E712
     if tokens["all_pages"].iloc[0] < few or not (~constant & (tokens["chars"] > 0)).any():
         constant &= False
     # data of an element: what varies in it and below it, without links and noise
@@ -250,7 +252,7 @@ def deduce(tokens: pd.DataFrame, few: int = 3) -> dict[str, list[int]]:
     usable = tokens[frame & ~tokens["noise"]]
     chosen: list[int] = []
     for name in ARTICLE_TAGS:
-        named = usable[usable["sign"].str.split(r"[.#]", regex=True).str[0] == name]
+        named = usable[names[usable.index] == name]
         if len(named):
             chosen = [max(named["token"], key=data.__getitem__)]
             break

@@ -242,6 +242,9 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 10_000, prior: floa
     pairs = measured.where("toxic = 0").select(F.inline(F.arrays_zip("values", "counts")))
     spread = np.array(pairs.groupBy("values").agg(F.sum("counts").cast("double")).collect()).reshape(-1, 2)
     if len(spread):
+        # clean texts may hold no positive score at all, so half an occurrence of the highest is added
+        highest = model.drift + max(bound for bound, _ in weights.values())
+        spread = np.vstack((spread, [highest, 0.5]))
         model.rate = rate_of(spread[:, 0], spread[:, 1] / spread[:, 1].sum())
     rows = measured.select("toxic", "weight", "words", "best").collect()
     clean = [(row.words, max(row.best)) for row in rows if row.toxic == 0 and row.best]
