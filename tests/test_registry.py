@@ -15,7 +15,7 @@ def duck():
     return oracle.connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
 def test_query_equals_sql(spark, duck, name):
     got = oracle.spark_rows(driver.queries()[name](spark, SF_DIR))
     assert got == oracle.duck_rows(duck, driver.oracle_sql()[name])
