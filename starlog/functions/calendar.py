@@ -53,8 +53,8 @@ def parse_date(text: Column, pattern: str = "yyyy-MM-dd") -> Column:
 
 def month_start(year: Column, month: Column) -> Column:
     """First day of the month; NULL where the numbers name no month."""
-    text = F.concat(year.cast("int").cast("string"), F.lit("-"), month.cast("int").cast("string"), F.lit("-1"))
-    return F.try_to_date(text, "y-M-d")
+    y, m = year.try_cast("int"), month.try_cast("int")
+    return F.when(y.between(1, 9999) & m.between(1, 12), F.make_date(y, m, F.lit(1)))
 
 
 def load_stamp() -> dict[str, Column]:

@@ -10,11 +10,11 @@ BLANKS = " \t\n\r\x0b\x0c"
 
 
 def drop_fraction(number: Column, mode: str = "truncate") -> Column:
-    """A number as decimal(18,0): `truncate` toward zero or `round` half up."""
+    """A number as decimal(18,0): `truncate` toward zero or `round` half up; NULL where it does not fit."""
     if mode == "truncate":
-        return number.cast("bigint").cast("decimal(18,0)")
+        return number.try_cast("bigint").try_cast("decimal(18,0)")
     if mode == "round":
-        return number.cast("decimal(18,0)")
+        return number.try_cast("decimal(18,0)")
     raise ValueError(f"unknown mode {mode!r}")
 
 

@@ -53,30 +53,36 @@ def orphans(rows: DataFrame, column: str, parent: DataFrame, parent_key: str) ->
     return held.join(parent.select(F.col(parent_key).alias(column)), column, "left_anti")
 
 
-def first_label_containing(terms: DataFrame, term: str, labels: DataFrame) -> DataFrame:
+def first_label_containing(terms: DataFrame, term: str, labels: DataFrame, gram: int = 8) -> DataFrame:
     """For each distinct term the code of the first label (by `ordinal`) that contains it, in any case.
 
     `labels` has columns ordinal (long), code and label. Returns (term, code), code NULL where no
-    label contains the term. The labels' substrings, of the lengths that terms have, are indexed
-    with the lowest ordinal holding each; that turns the containment test into an equi-join. The
-    distinct terms are stored once, as they are read for their lengths and for the join.
+    label contains the term. The labels' substrings of up to `gram` characters are an index: a term
+    that short is looked up as it is, a longer one by its first `gram` characters and then compared
+    with the labels found. The distinct terms are stored once, as they are read twice.
     """
     wanted = materialise(terms.select(term).where(F.col(term).isNotNull()).distinct())
-    wanted = wanted.withColumn("_term", F.lower(F.col(term)))
-    lengths = wanted.select(F.collect_set(F.length("_term"))).scalar()
-    # a label list is small but its substrings are not, so they are cut on all cores
-    cores = labels.sparkSession.sparkContext.defaultParallelism
-    texts = labels.where(F.col("label").isNotNull()).select("ordinal", F.lower("label").alias("_text"))
-    texts = texts.repartition(cores, "ordinal")
-    fitting = F.array_intersect(lengths, F.sequence(F.lit(0), F.length("_text")))
-    spans = texts.select("ordinal", "_text", F.explode(fitting).alias("_len"))
+    wanted = wanted.select(term, F.lower(F.col(term)).alias("_term"))
+    wanted = wanted.withColumn("_key", F.substring("_term", 1, gram))
+    lengths = wanted.select(F.collect_set(F.length("_key"))).scalar()  # no more than `gram` + 1
+    # a label list is small but its substrings are not, so they are cut in many tasks
+    tasks = int(labels.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = labels.where(F.col("label").isNotNull()).repartition(tasks, "ordinal")
+    texts = texts.select(F.struct("ordinal", "code").alias("_first"), F.lower("label").alias("_text"))
+    fitting = F.array_intersect(lengths, F.sequence(F.lit(0), F.least(F.length("_text"), F.lit(gram))))
+    spans = texts.select("_first", "_text", F.explode(fitting).alias("_len"))
     starts = F.sequence(F.lit(1), F.length("_text") - F.col("_len") + 1)
-    pieces = spans.select("ordinal", "_text", "_len", F.explode(starts).alias("_from"))
-    index = pieces.groupBy(F.substring("_text", F.col("_from"), F.col("_len")).alias("_term")).agg(
-        F.min("ordinal").alias("ordinal")
+    pieces = spans.select("_first", "_text", "_len", F.explode(starts).alias("_from")).select(
+        "_first", "_text", F.expr("substring(_text, _from, _len)").alias("_key")
     )
-    found = wanted.join(index, "_term", "left")
-    return found.join(labels.select("ordinal", "code"), "ordinal", "left").select(term, "code")
+    short, long = F.length("_term") <= gram, F.length("_term") > gram
+    whole = pieces.groupBy("_key").agg(F.min("_first").alias("_found"))
+    direct = wanted.where(short).join(whole, "_key", "left").select(term, "_found")
+    grams = pieces.where(F.length("_key") == gram).distinct()
+    tried = wanted.where(long).join(grams, "_key").where(F.contains("_text", "_term"))
+    best = tried.groupBy(term).agg(F.min("_first").alias("_found"))
+    verified = wanted.where(long).select(term).join(best, term, "left")
+    return direct.unionByName(verified).select(term, F.col("_found.code").alias("code"))
 
 
 def add_first_label(rows: DataFrame, term: str, labels: DataFrame, name: str) -> DataFrame:

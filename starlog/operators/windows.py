@@ -21,6 +21,8 @@ from starlog.session import materialise
 
 BLOCK = "_block"
 CARRY = "_carry"
+#: Bits of `monotonically_increasing_id` that count rows of a partition.
+PLACE_BITS = 33
 
 
 def sort_columns(order: Iterable[str]) -> list[Column]:
@@ -98,8 +100,19 @@ def number_rows(
     df: DataFrame, order: list[str], name: str = "row_number", start: int = 1, keys: list[str] | None = None
 ) -> DataFrame:
     """Dense numbers along a total order, over all rows or within each group."""
-    numbered = running_totals(df, keys or [], order, {name: F.lit(1)})
-    return numbered.withColumn(name, F.col(name) + (start - 1)) if start != 1 else numbered
+    if keys:
+        numbered = running_totals(df, keys, order, {name: F.lit(1)})
+        return numbered.withColumn(name, F.col(name) + (start - 1)) if start != 1 else numbered
+    # sorted in range partitions, a row's id holds its partition and its place there, so that only the
+    # sizes of the partitions are left to add up and the rows move once
+    cut = df.repartitionByRange(*sort_columns(order)).sortWithinPartitions(*sort_columns(order))
+    placed = materialise(cut.withColumn("_id", F.monotonically_increasing_id()))
+    placed = placed.withColumn(BLOCK, F.shiftright("_id", PLACE_BITS))
+    sizes = placed.groupBy(BLOCK).agg(F.count("*").alias("_rows"))
+    before = Window.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = materialise(sizes.select(BLOCK, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")))
+    place = F.col("_id").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+    return placed.join(offsets, BLOCK).select(*df.columns, (F.col("_offset") + place + start).alias(name))
 
 
 def running_rows(df: DataFrame, keys: list[str], order: list[str], value: str, prefix: str = "") -> DataFrame:
@@ -128,7 +141,7 @@ def running_range(df: DataFrame, keys: list[str], by: str, totals: Mapping[str,
 def running_range_cut(
     df: DataFrame, keys: list[str], at: str, ties: list[str], totals: Mapping[str, Column]
 ) -> DataFrame:
-    """As `running_range` in ascending order of `at`, without summing equal rows first.
+    """As `running_range` along `at`, without summing equal rows first.
 
     `ties` orders rows of one (group, `at`) so that many of them can be cut into blocks. Only the
     rows at the end of one block and the start of the next can then miss equals; these groups, at
@@ -140,20 +153,20 @@ def running_range_cut(
     frame = _block_window(keys, [at]).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     rows = _summed(blocks, keys, frame, list(totals), [])
 
-    place = F.struct(*keys, at)
+    name = at.lstrip("-")
+    place = F.struct(*keys, name)
     ends = blocks.groupBy(BLOCK).agg(F.min(place).alias("first"), F.max(place).alias("last"))
     touched = ends.select(F.explode(F.array_distinct(F.array("first", "last"))).alias("place"))
     cut = touched.groupBy("place").count().where("count > 1").select("place.*")
-    # no more rows than there are blocks, so both sides below are safe to broadcast
-    group = [*keys, at]
+    group = [*keys, name]
     parts = (
-        join_null_safe(blocks, F.broadcast(cut), group, "left_semi")
+        join_null_safe(blocks, cut, group, "left_semi")
         .groupBy(*group, BLOCK)
         .agg(*[F.sum(f"_run_{name}").alias(f"_run_{name}") for name in totals])
     )
     after = Window.partitionBy(*group).orderBy(BLOCK).rowsBetween(1, Window.unboundedFollowing)
     later = parts.select(*group, BLOCK, *[F.sum(f"_run_{name}").over(after).alias(f"_later_{name}") for name in totals])
-    out = join_null_safe(rows, F.broadcast(later), [*group, BLOCK], "left")
+    out = join_null_safe(rows, later, [*group, BLOCK], "left")
     return out.withColumns(
         {name: F.coalesce(F.col(name) + F.col(f"_later_{name}"), F.col(name), F.col(f"_later_{name}")) for name in totals}
     ).select(*df.columns, *totals)
@@ -242,12 +255,11 @@ def moving_pair(df: DataFrame, keys: list[str], order: list[str], value: str) ->
 
 
 def phases(df: DataFrame, key: str, ts: str, flag: str, ties: list[str], name: str = "phase") -> DataFrame:
-    """Number the phases of each key: flagged events at this time or later.
+    """Number the phases of each key: flagged events at this time or later; a NULL time is the earliest.
 
-    `ts` is a number; `ties` orders events of one time.
+    `ties` orders events of one time.
     """
-    backwards = df.withColumn("_back", -F.col(ts))
-    return running_range_cut(backwards, [key], "_back", ties, {name: F.col(flag)}).drop("_back")
+    return running_range_cut(df, [key], f"-{ts}", ties, {name: F.col(flag)})
 
 
 def group_totals(df: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -265,23 +277,28 @@ def group_lists(df: DataFrame, keys: list[str], order: list[str], value: str, pi
     """Each group's ordered value list with its total, average and row count.
 
     A list longer than `piece_rows` continues in further rows (`piece` 0, 1, …), so the size of
-    one array is bounded while the whole list is kept. NULL values are left out of the list.
+    one array is bounded while the whole list is kept. NULL values are left out of the list, so a
+    group without others has an empty one; `rows` counts all rows.
     """
-    held = df.select(*dict.fromkeys([*keys, *_names(order), value])).where(F.col(value).isNotNull())
+    held = df.select(*dict.fromkeys([*keys, *_names(order), value]))
+    present = F.col(value).isNotNull().cast("int")
     placed = running_totals(
-        held, keys, order, {"_place": F.lit(1)}, whole={"total": F.col(value), "rows": F.lit(1)}
+        held, keys, order, {"_place": present}, whole={"total": F.col(value), "rows": F.lit(1), "_n": present}
     )
-    pieces = placed.groupBy(*keys, F.call_function("div", F.col("_place") - 1, F.lit(piece_rows)).alias("piece")).agg(
-        F.array_sort(F.collect_list(F.struct("_place", F.col(value).alias("value")))).alias("_items"),
+    piece = F.call_function("div", F.greatest(F.col("_place") - 1, F.lit(0)), F.lit(piece_rows))
+    item = F.when(F.col(value).isNotNull(), F.struct("_place", F.col(value).alias("value")))
+    pieces = placed.groupBy(*keys, piece.alias("piece")).agg(
+        F.array_sort(F.collect_list(item)).alias("_items"),
         F.max("total").alias("total"),
         F.max("rows").alias("rows"),
+        F.max("_n").alias("_n"),
     )
     return pieces.select(
         *keys,
         "piece",
         F.col("_items.value").alias("list"),
         "total",
-        _average("total", "rows").alias("average"),
+        _average("total", "_n").alias("average"),
         "rows",
     )
 
@@ -289,11 +306,10 @@ def group_lists(df: DataFrame, keys: list[str], order: list[str], value: str, pi
 def frame_list_at(df: DataFrame, keys: list[str], order: list[str], value: str, row: int) -> DataFrame:
     """The running list as it stands at the given row of each group: its first `row` values.
 
-    Groups shorter than `row` have no such row and are left out. Only `row` rows per group and
-    task are shuffled.
+    Groups shorter than `row` have no such row and are left out. Rows are placed in blocks, so
+    that no task holds a whole group whatever `row` is.
     """
-    first = Window.partitionBy(*keys).orderBy(*sort_columns(order))
-    top = df.withColumn("_nth", F.row_number().over(first)).where(F.col("_nth") <= row)
+    top = running_totals(df, keys, order, {"_nth": F.lit(1)}).where(F.col("_nth") <= row)
     return (
         top.groupBy(*keys)
         .agg(F.array_sort(F.collect_list(F.struct("_nth", F.col(value).alias("value")))).alias("_items"))

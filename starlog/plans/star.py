@@ -122,9 +122,12 @@ def time_scheduled(plays: DataFrame) -> DataFrame:
 
 
 def plays_by_artist(
-    log: DataFrame, song_data: DataFrame, numeric_id: bool = False, page: str = PLAY_PAGE
+    log: DataFrame, song_data: DataFrame, numeric_id: bool = False, page: str = PLAY_PAGE, with_item: bool = False
 ) -> DataFrame:
-    """Plays of catalogued artists: one row per play and song of the artist, with month and year."""
+    """Plays of catalogued artists: one row per play and song of the artist, with month and year.
+
+    `with_item` adds the item in the session, which `with_serial` takes.
+    """
     plays = on_page(log, page)
     catalogue = song_data.select("song_id", "artist_id", F.col("artist_name").alias("artist"))
     ts = from_epoch_ms(F.col("ts"))
@@ -139,15 +142,17 @@ def plays_by_artist(
         F.col("sessionId").alias("session_id"),
         "location",
         F.col("userAgent").alias("user_agent"),
+        *([F.col("itemInSession").alias("_item")] if with_item else []),
     )
 
 
 def plays_scheduled(
-    log: DataFrame, song_data: DataFrame, fraction: str = "truncate", page: str = PLAY_PAGE
+    log: DataFrame, song_data: DataFrame, fraction: str = "truncate", page: str = PLAY_PAGE, with_item: bool = False
 ) -> DataFrame:
     """All plays with the songs of equal title, artist and whole-second length, keyed by md5.
 
-    `fraction` says how lengths lose their fraction: `truncate` or `round`.
+    `fraction` says how lengths lose their fraction: `truncate` or `round`. The key repeats for two plays
+    of one session and second; `with_item` adds the item in the session, which tells them apart.
     """
     plays = on_page(log, page).select(
         "*",
@@ -171,6 +176,7 @@ def plays_scheduled(
         F.col("sessionId").alias("sessionid"),
         "location",
         F.col("userAgent").alias("user_agent"),
+        *([F.col("itemInSession").alias("item")] if with_item else []),
     )
 
 
@@ -182,7 +188,7 @@ def song_lookup(song_table: DataFrame, artist_table: DataFrame) -> DataFrame:
 
 def exact_length(number: Column) -> Column:
     """A length as decimal, so that equal texts compare equal."""
-    return number.cast("decimal(18,5)")
+    return number.try_cast("decimal(18,5)")
 
 
 def plays_relational(log: DataFrame, lookup: DataFrame, page: str = PLAY_PAGE) -> DataFrame:
@@ -211,9 +217,18 @@ def plays_relational(log: DataFrame, lookup: DataFrame, page: str = PLAY_PAGE) -
     )
 
 
-def relational_star(log: DataFrame, song_data: DataFrame, page: str = PLAY_PAGE) -> dict[str, DataFrame]:
-    """The five tables under the relational rules, in the shape of their contracts."""
-    song_table, artist_table = songs(song_data), artists(song_data)
+def relational_star(
+    log: DataFrame, song_data: DataFrame, page: str = PLAY_PAGE, arrival: list[Column] | None = None
+) -> dict[str, DataFrame]:
+    """The five tables under the relational rules, in the shape of their contracts.
+
+    `arrival` orders the song data as it arrived, for a load in which the first row of a song or artist
+    wins; without it the lowest row does.
+    """
+    if arrival:
+        song_table, artist_table = songs(song_data, "first_seen", arrival), artists(song_data, "first_seen", arrival)
+    else:
+        song_table, artist_table = songs(song_data), artists(song_data)
     plays = plays_relational(log, song_lookup(song_table, artist_table), page)
     return {
         "users": conform(users(log, "upserted", numeric_id=True, page=page), USERS),

@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starlog import schemas
 from starlog.functions.values import drop_fraction
@@ -16,6 +17,9 @@ from starlog.schemas import conform
 from starlog.sinks.files import load_dimension, stage
 from starlog.sinks.tables import append_new
 
+#: What tells two plays apart: their md5 key alone repeats within one second of a session.
+PLAY_KEY = ["playid", "item", "userid", "songid"]
+
 # Column names of the scheduled tables, by their names in the sources (fixed values).
 NAMES = {
     "user_id": "userid",
@@ -39,7 +43,7 @@ def load_star(
 ) -> DataFrame:
     """Load the scheduled star schema below `out` and return the passed quality results.
 
-    Sources are staged once and read back, the fact is appended by play key, the dimensions are
+    Sources are staged once and read back, the fact is appended by PLAY_KEY, the dimensions are
     refreshed in full, and every table must hold rows. Running it again adds no fact twice. The
     staged lengths and coordinates lose their fraction as `fraction` says.
     """
@@ -48,9 +52,10 @@ def load_star(
     whole = {c: drop_fraction(F.col(c), fraction) for c in ("duration", "artist_latitude", "artist_longitude")}
     song_data = spark.read.parquet(stage(song_data.withColumns(whole), template, run_time, table="songs"))
 
-    plays = conform(star.plays_scheduled(log, song_data, fraction, page), schemas.SCHEDULED_PLAYS)
+    plays = star.plays_scheduled(log, song_data, fraction, page, with_item=True)
+    plays = conform(plays, T.StructType([*schemas.SCHEDULED_PLAYS.schema.fields, T.StructField("item", T.IntegerType())]))
     plays = plays.withColumns({"year": F.year("start_time"), "month": F.month("start_time")})
-    append_new(plays, f"{out}/songplays", ["playid"], by=("year", "month"))
+    append_new(plays, f"{out}/songplays", PLAY_KEY, by=("year", "month"))
     fact = spark.read.schema(plays.schema).parquet(f"{out}/songplays")
 
     users = star.users(log, "distinct", numeric_id=True, page=page)

@@ -102,12 +102,18 @@ def first_per_group(spark, d):
     return std.longs(first_row_per_key(lines, ["l_orderkey"], [F.col("l_linenumber").asc()]))
 
 
-@query("""SELECT 'l_returnflag' AS "column", l_returnflag AS value, COUNT(l_returnflag) AS count FROM lineitem GROUP BY ALL
-UNION ALL SELECT 'l_linestatus', l_linestatus, COUNT(l_linestatus) FROM lineitem GROUP BY ALL
-UNION ALL SELECT 'l_linenumber', CAST(l_linenumber AS VARCHAR), COUNT(l_linenumber) FROM lineitem GROUP BY ALL
-UNION ALL SELECT 'l_suppkey', CAST(l_suppkey AS VARCHAR), COUNT(l_suppkey) FROM lineitem GROUP BY ALL""")
+_LINE = [
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+    "l_returnflag", "l_linestatus", "l_shipdate",
+]
+
+
+@query(" UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", CAST({c} AS VARCHAR) AS value, COUNT({c}) AS count FROM lineitem GROUP BY {c}""" for c in _LINE
+))
 def profile_columns(spark, d):
-    return agg.profile_columns(read_table(spark, d, "lineitem"), ["l_returnflag", "l_linestatus", "l_linenumber", "l_suppkey"])
+    """The values of every column of a table with how often each occurs."""
+    return agg.profile_columns(read_table(spark, d, "lineitem"))
 
 
 _SEVEN = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]

@@ -144,6 +144,16 @@ def songplays_inner_artist(spark, d):
     return std.longs(star.plays_by_artist(std.log(spark, d, with_songs=True), std.songs(spark, d), page=std.PLAY))
 
 
+@query(f"""WITH {std.SONG_LOG}, {std.SONGS}, plays AS (SELECT ts AS start_time, month(t) AS month, year(t) AS year,
+  CAST(userId AS BIGINT) AS user_id, level, song_id, artist_id, sessionId AS session_id, location, userAgent AS user_agent, itemInSession AS item
+FROM (SELECT *, make_timestamp(ts * 1000) AS t FROM log) l JOIN songs ON l.artist = songs.artist_name WHERE page = 'view')
+SELECT * EXCLUDE (item), row_number() OVER (ORDER BY start_time, session_id, item, user_id, song_id) - 1 AS songplay_id FROM plays""")
+def songplays_artist_numbered(spark, d):
+    """Plays joined on the artist's name, with numeric users, numbered from 0."""
+    plays = star.plays_by_artist(std.log(spark, d, with_songs=True), std.songs(spark, d), True, std.PLAY, with_item=True)
+    return std.longs(star.with_serial(plays, start=0))
+
+
 @query(f"WITH {std.SONG_LOG}, {std.SONGS}, {_SCHEDULED} SELECT * REPLACE (CAST(start_time AS VARCHAR) AS start_time) FROM plays")
 def songplays_left_3key(spark, d):
     """All plays with songs of the same title, artist and whole-second length."""

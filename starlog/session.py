@@ -87,7 +87,7 @@ def fit_shuffles(spark: SparkSession, path: str, growth: int = 4, partition_byte
     A larger setting is left alone. Returns the setting in force.
     """
     fs, location = file_system(spark, path)
-    needed = min(fs.getContentSummary(location).getLength() * growth // partition_bytes, 100_000)
+    needed = fs.getContentSummary(location).getLength() * growth // partition_bytes
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if needed > current:
         spark.conf.set("spark.sql.shuffle.partitions", str(needed))

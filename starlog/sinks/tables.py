@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +16,7 @@ from starlog.sinks.files import write_parquet
 
 
 FINISHED = "_FINISHED"
+VERSION = re.compile(r"v(\d+)")
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -48,7 +52,8 @@ class VersionedTable:
         fs, location = file_system(self.spark, self.path)
         if not fs.exists(location):
             return []
-        numbers = sorted(int(status.getPath().getName().removeprefix("v")) for status in fs.listStatus(location))
+        names = [VERSION.fullmatch(status.getPath().getName()) for status in fs.listStatus(location)]
+        numbers = sorted(int(name[1]) for name in names if name)
         return [n for n in numbers if path_exists(self.spark, f"{self._version_path(n)}/{FINISHED}")]
 
     def exists(self) -> bool:
@@ -57,9 +62,22 @@ class VersionedTable:
     def read(self) -> DataFrame:
         return self.spark.read.parquet(self._version_path(self.versions()[-1]))
 
+    def _claim(self, number: int) -> int:
+        """The first number from here on that no other writer has taken; a claim is a file that only one can create."""
+        while True:
+            fs, claim = file_system(self.spark, f"{self.path}/_claim-{number:08d}")
+            if not fs.exists(claim):
+                try:
+                    fs.create(claim, False).close()
+                    return number
+                except Py4JJavaError:
+                    if not fs.exists(claim):
+                        raise
+            number += 1
+
     def replace(self, df: DataFrame) -> None:
         done = self.versions()
-        path = self._version_path(done[-1] + 1 if done else 1)
+        path = self._version_path(self._claim(done[-1] + 1 if done else 1))
         write_parquet(df, path)
         fs, marker = file_system(self.spark, f"{path}/{FINISHED}")
         fs.create(marker).close()

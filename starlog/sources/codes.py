@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starlog.functions.values import strip
+from starlog.operators.windows import number_rows
 from starlog.sources.files import ARRIVAL, with_arrival_order
 
 # Line form of the port list (fixed value).
@@ -90,8 +91,7 @@ def parse_codes(lines: DataFrame, pattern: str, order: list[str], value: str = "
         F.struct(*order).alias("_at"),
     )
     merged = found.groupBy("code").agg(F.min("_at").alias("_at"), F.max_by("label", "_at").alias("label"))
-    # ids follow the sorted partitions, so they follow the order
-    return merged.orderBy("_at").select(F.monotonically_increasing_id().alias("ordinal"), "code", "label")
+    return number_rows(merged, ["_at"], "ordinal", start=0).select("ordinal", "code", "label")
 
 
 def read_codes(spark: SparkSession, path: str, pattern: str = PORT_LINE) -> DataFrame:

@@ -64,21 +64,40 @@ def read_log(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return read_json(spark, path, LOG)
 
 
-def read_by_name(spark: SparkSession, path: str | list[str], contract: Contract) -> DataFrame:
+def read_by_name_checked(spark: SparkSession, path: str | list[str], contract: Contract) -> DataFrame:
     """JSON whose fields go to the contract's columns of the same name in any case.
 
-    The lines are parsed once, without a pass to infer types; values that do not fit become NULL.
+    The lines are parsed once, without a pass to infer types; values that do not fit become NULL. Of
+    fields whose names differ only in case the first of the line counts. Lines that do not parse are
+    named as in `read_json_checked`.
     """
     lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(path)
-    fields = F.transform_keys(F.from_json("value", "map<string,string>"), lambda name, _: F.lower(name))
-    return lines.where(F.trim("value") != "").select(fields.alias("_fields")).select(
-        *[
-            F.col("_fields")[f.name.lower()].try_cast(f.dataType).alias(f.name)
-            for f in contract.schema.fields
-        ]
+    parsed = lines.where(F.trim("value") != "").select(
+        "value",
+        F.from_json("value", "map<string,string>").alias("_fields"),
+        F.col("_metadata.file_path").alias("_source_file"),
+        F.col("_metadata.file_modification_time").alias("_file_time"),
+    )
+    named = parsed.withColumns(
+        {"_names": F.transform(F.map_keys("_fields"), lambda name: F.lower(name)), "_values": F.map_values("_fields")}
+    )
+
+    def field(name: str):
+        return F.get("_values", F.array_position("_names", name).cast("int") - 1)
+
+    return named.select(
+        *[field(f.name.lower()).try_cast(f.dataType).alias(f.name) for f in contract.schema.fields],
+        F.when(F.col("_fields").isNull(), F.col("value")).alias(BAD_RECORD),
+        "_source_file",
+        "_file_time",
     )
 
 
+def read_by_name(spark: SparkSession, path: str | list[str], contract: Contract) -> DataFrame:
+    """The rows of `read_by_name_checked` that parsed."""
+    return split_bad_records(read_by_name_checked(spark, path, contract))[0]
+
+
 def read_path_mapping(spark: SparkSession, path: str) -> list[str]:
     """Source field names, in target order, of a mapping file {"jsonpaths": ["$['artist']", …]}.
 

@@ -45,7 +45,7 @@ def brute_first_label(terms, labels):
 
 
 def test_first_label_containing(spark):
-    labels = [(0, "ALC", "ALCAN, AK"), (1, "NYC", "NEW YORK, NY"), (2, "NEW", "NEWARK/NEW YORK, NJ"), (3, "XXX", None), (4, "E", "")]
+    labels = [(0, "ZED", "ZEDVILLE, QX"), (1, "NYC", "NEW YORK, NY"), (2, "NEW", "NEWARK/NEW YORK, NJ"), (3, "XXX", None), (4, "E", "")]
     terms = ["New York", "Newark", "NEW", "York, n", "", None, "Paris", "an", "a very long name that no label can hold", "New York"]
     out = joins.first_label_containing(
         spark.createDataFrame([(t,) for t in terms], "city string"), "city",
@@ -141,10 +141,16 @@ def test_value_functions(spark):
         val.user_number(F.lit("39")).alias("id"),
         val.user_number(F.lit("")).alias("none"),
         val.md5_key(F.lit(1), F.lit(None).cast("string")).alias("null_key"),
-        val.strip(F.lit("\t ALCAN, AK \n")).alias("label"),
+        val.strip(F.lit("\t ZEDVILLE, QX \n")).alias("label"),
         val.event_flag(F.lit(None).cast("string"), "x").alias("flag"),
     ).first()
     assert (row.cut, row.rounded, row.half, row.short) == (-2, 210, 3, "AB")
-    assert (row.id, row.none, row.null_key, row.label, row.flag) == (39, None, None, "ALCAN, AK", 0)
+    assert (row.id, row.none, row.null_key, row.label, row.flag) == (39, None, None, "ZEDVILLE, QX", 0)
     with pytest.raises(ValueError):
         val.drop_fraction(F.lit(1.0), "floor")
+
+
+def test_lengths_out_of_range_become_null(spark):
+    df = spark.createDataFrame([(1e30,), (2.9,), (None,)], "n double")
+    got = df.select(val.drop_fraction(F.col("n")).alias("a"), val.drop_fraction(F.col("n"), "round").alias("b")).collect()
+    assert [(r.a, r.b) for r in got] == [(None, None), (2, 3), (None, None)]

@@ -8,7 +8,7 @@ from starlog.plans import events, immigration, lake, star, warehouse
 from starlog.operators.quality import QualityError, require
 from starlog.schemas import conform
 
-MS = 1541105830796
+MS = 1541103205811
 
 
 def log_frame(spark, *rows):

@@ -49,7 +49,7 @@ def hot(spark):
             F.when(n % 2 == 0, "hot").otherwise((n % 997).cast("string")).alias("userId"),
             F.when(n % 2 == 0, "Hit").otherwise(F.concat(F.lit("Song "), n % 997)).alias("song"),
             F.lit("NextSong").alias("page"),
-            (1541105830796 + n * 1000).alias("ts"),
+            (1541103205811 + n * 1000).alias("ts"),
         )
         .cache()
     )
