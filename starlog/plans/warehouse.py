@@ -1,4 +1,4 @@
-"""The scheduled load: stage, fact, dimensions, quality gate."""
+"""The warehouse load and the scheduled load: stage, fact, dimensions, quality gate."""
 
 from __future__ import annotations
 
@@ -14,8 +14,9 @@ from starlog.operators import quality
 from starlog.operators.filters import PLAY_PAGE
 from starlog.plans import star
 from starlog.schemas import conform
-from starlog.sinks.files import load_dimension, stage
+from starlog.sinks.files import load_dimension, stage, write_parquet
 from starlog.sinks.tables import append_new
+from starlog.sources.files import read_by_name, read_mapped, read_path_mapping
 
 #: What tells two plays apart: their md5 key alone repeats within one second of a session.
 PLAY_KEY = ["playid", "item", "userid", "songid"]
@@ -71,3 +72,30 @@ def load_star(
     tables = {name: spark.read.parquet(f"{out}/{name}") for name in dimensions}
     checks = [quality.row_count(name, table) for name, table in {"songplays": fact, **tables}.items()]
     return quality.require(quality.run_checks(checks))
+
+
+def load_warehouse(
+    spark: SparkSession, log_path: str, mapping_path: str, song_path: str, out: str, page: str = PLAY_PAGE
+) -> dict[str, DataFrame]:
+    """Load the warehouse star below `out` and return its tables.
+
+    The log is staged through a mapping file and the songs by name. Then the five tables are replaced:
+    plays of catalogued artists numbered from 0, each user's latest rows, distinct songs and artists, and
+    the times of plays.
+    """
+    log = read_mapped(spark, log_path, read_path_mapping(spark, mapping_path), schemas.STAGED_EVENTS)
+    songs = read_by_name(spark, song_path, schemas.STAGED_SONGS)
+    staged = {"staging_events": log, "staging_songs": songs}
+    for name, table in staged.items():
+        write_parquet(table, f"{out}/{name}")
+    log, songs = (spark.read.parquet(f"{out}/{name}") for name in staged)
+    tables = {
+        "songplays": star.with_serial(star.plays_by_artist(log, songs, True, page, with_item=True), start=0),
+        "users": star.users(log, "latest", numeric_id=True, page=page),
+        "songs": star.songs(songs, "distinct"),
+        "artists": star.renamed_artists(star.artists(songs, "distinct")),
+        "time": star.time_warehouse(log, page),
+    }
+    for name, table in tables.items():
+        write_parquet(table, f"{out}/{name}")
+    return {name: spark.read.parquet(f"{out}/{name}") for name in tables}

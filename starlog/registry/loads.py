@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -104,6 +105,48 @@ def scheduled_load(spark, d):
     return passed
 
 
+def _lines(table: str, columns: str, source: str) -> str:
+    """SELECT of a table's rows as text, as `_as_lines` writes them."""
+    values = ", ".join(f"coalesce(CAST({c.strip()} AS VARCHAR), '')" for c in columns.split(";"))
+    return f"SELECT '{table}' AS \"table\", concat_ws('|', {values}) AS row FROM {source}"
+
+
+def _as_lines(loaded):
+    """The rows of several tables as (table, row), columns in name order."""
+    parts = [
+        df.select(
+            F.lit(name).alias("table"),
+            F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in sorted(df.columns)]).alias("row"),
+        )
+        for name, df in loaded.items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@query(f"""WITH {std.SONG_LOG}, {std.SONGS}, stamped AS (SELECT *, make_timestamp(ts * 1000) AS t FROM log WHERE page = 'view'),
+  plays AS (SELECT *, row_number() OVER (ORDER BY ts, sessionId, itemInSession, userId::BIGINT, song_id) - 1 AS id
+    FROM (SELECT stamped.*, song_id, artist_id FROM stamped JOIN songs ON artist = artist_name))
+""" + " UNION ALL ".join([
+    _lines("songplays", "artist_id; level; location; month(t); sessionId; song_id; id; ts; userAgent; userId::BIGINT; year(t)", "plays"),
+    _lines("users", "firstName; gender; lastName; level; userId", """(SELECT DISTINCT firstName, gender, lastName, level, userId
+      FROM stamped WHERE (userId, ts) IN (SELECT (userId, MAX(ts)) FROM stamped GROUP BY userId))"""),
+    _lines("songs", "artist_id; duration; song_id; title; year", "(SELECT DISTINCT artist_id, duration, song_id, title, year FROM songs)"),
+    _lines("artists", "artist_id; artist_latitude::DECIMAL(9,6); artist_location; artist_longitude::DECIMAL(9,6); artist_name",
+           "(SELECT DISTINCT artist_id, artist_latitude, artist_location, artist_longitude, artist_name FROM songs)"),
+    _lines("time", "day(t); hour(t); month(t); ts; week(t); dayofweek(t); year(t)", "(SELECT DISTINCT ts, t FROM stamped)"),
+]))
+def warehouse_load(spark, d):
+    """The warehouse load from JSON files: all rows of its five tables."""
+    path = scratch_path(spark, "warehouse")
+    std.log(spark, d, with_songs=True).write.json(f"{path}/in/log")
+    std.songs(spark, d).withColumnsRenamed({"song_id": "SONG_ID", "title": "Title"}).write.json(f"{path}/in/songs")
+    paths = F.array(*[F.lit(f"$['{field.name}']") for field in schemas.LOG.fields])
+    spark.range(1).select(F.to_json(F.struct(paths.alias("jsonpaths"))).alias("value")).write.text(f"{path}/in/mapping")
+    return _as_lines(
+        warehouse.load_warehouse(spark, f"{path}/in/log", f"{path}/in/mapping", f"{path}/in/songs", f"{path}/out", std.PLAY)
+    )
+
+
 def _deliveries(spark, d):
     """The log in three successive parts, each in the shape of log files."""
     log = std.log(spark, d, with_songs=True).withColumns({"method": F.lit("PUT"), "status": F.lit(200)})
