@@ -73,15 +73,40 @@ def no_orphans(name: str, df: DataFrame, column: str, parent: DataFrame, parent_
     return _check(missing, "no_orphans", f"{name}({column})", "=", 0)
 
 
+def nulls_and_key(name: str, df: DataFrame, columns: list[str], keys: list[str]) -> DataFrame:
+    """`no_nulls` and `unique_key` from one aggregation: the NULLs are counted within the keys."""
+    null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
+    by_key = df.groupBy(*keys).agg(F.count("*").alias("_rows"), F.count_if(null).alias("_nulls"))
+    measures = by_key.agg(
+        F.coalesce(F.sum("_nulls"), F.lit(0)).alias("no_nulls"),
+        F.count_if(F.col("_rows") > 1).alias("unique_key"),
+    )
+    named = {"no_nulls": columns, "unique_key": keys}
+    rows = [
+        F.struct(F.lit(c).alias("check"), F.lit(f"{name}({', '.join(n)})").alias("subject"), F.col(c).alias("measured"))
+        for c, n in named.items()
+    ]
+    return measures.select(F.inline(F.array(*rows))).select(
+        "check",
+        "subject",
+        "measured",
+        F.lit("=").alias("comparison"),
+        F.lit(0).cast("bigint").alias("expected"),
+        (F.col("measured") == 0).alias("passed"),
+    )
+
+
 def contract_checks(df: DataFrame, contract: Contract, tables: dict[str, tuple[DataFrame, str]] | None = None):
     """The checks a contract declares: NOT NULL columns, key, and references into `tables`.
 
     `tables` maps a table name to (DataFrame, key column).
     """
     checks = []
-    if contract.required:
+    if contract.required and contract.key:
+        checks.append(nulls_and_key(contract.name, df, contract.required, list(contract.key)))
+    elif contract.required:
         checks.append(no_nulls(contract.name, df, contract.required))
-    if contract.key:
+    elif contract.key:
         checks.append(unique_key(contract.name, df, list(contract.key)))
     for column, parent in contract.references.items():
         if tables and parent in tables:

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from starlog import schemas
+from starlog.operators import joins
 from starlog.operators.aggregates import key_counts
 from starlog.operators.dedupe import first_row_per_key
 from starlog.plans import events as event_jobs
@@ -16,7 +17,7 @@ from starlog.registry import standins as std
 from starlog.session import scratch_path
 from starlog.sinks import files as sinks
 from starlog.sources import files as sources
-from starlog.sources.codes import PORT_LINE, parse_codes
+from starlog.sources.codes import ADDRESS_CODES, PORT_LINE, address_codes, parse_codes
 from starlog.sources.files import read_table
 
 
@@ -246,3 +247,27 @@ def regex_extract_codes(spark, d):
     ).agg(F.min("p_partkey").alias("first_line"))
     return codes.join(first, "code").select(F.concat(F.lit("Brand#"), "code").alias("code"), "label", "first_line")
 
+
+@query("""WITH labels AS (SELECT p_partkey AS k, 'P' || p_partkey AS code, p_name || ' ' || p_partkey AS label FROM part),
+  terms AS (SELECT DISTINCT p_name || ' ' || (p_partkey // 10) AS term FROM part)
+SELECT term, 'P' || MIN(k) AS code FROM terms LEFT JOIN labels ON contains(lower(label), lower(term)) GROUP BY term""")
+def parsed_codes_lookup(spark, d):
+    """Terms looked up in a code list that was parsed from the lines of several partitions."""
+    part = read_table(spark, d, "part")
+    quote = F.lit("'")
+    label = F.concat(F.col("p_name"), F.lit(" "), F.col("p_partkey").cast("string"))
+    line = F.concat(quote, F.lit("P"), F.col("p_partkey").cast("string"), quote, F.lit(" = "), quote, label, quote)
+    lines = part.select("p_partkey", line.alias("value")).repartition(8, "p_partkey")
+    term = F.concat(F.col("p_name"), F.lit(" "), F.call_function("div", F.col("p_partkey"), F.lit(10)).cast("string"))
+    return joins.first_label_containing(part.select(term.alias("term")), "term", parse_codes(lines, PORT_LINE, ["p_partkey"]))
+
+
+_ADDRESSES = ", ".join(f"({i}, '{code}', '{label}')" for i, (code, label) in enumerate(ADDRESS_CODES.items()))
+
+
+@query(f"""SELECT code, label, COUNT(*) AS customers FROM customer
+  JOIN (VALUES {_ADDRESSES}) a(ordinal, code, label) ON ordinal = c_custkey % {len(ADDRESS_CODES)} GROUP BY ALL""")
+def address_code_counts(spark, d):
+    """The in-memory code list joined to a table."""
+    customer = read_table(spark, d, "customer").select((F.col("c_custkey") % len(ADDRESS_CODES)).alias("ordinal"))
+    return customer.join(address_codes(spark), "ordinal").groupBy("code", "label").agg(F.count("*").alias("customers"))

@@ -21,5 +21,13 @@ def test_query_equals_sql(spark, duck, name):
     assert got == oracle.duck_rows(duck, driver.oracle_sql()[name])
 
 
+def test_lookup_with_merged_partitions(spark, duck):
+    """Spark's own merging of small partitions, which the other tests switch off."""
+    merging = spark.newSession()
+    merging.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    got = oracle.spark_rows(driver.queries()["parsed_codes_lookup"](merging, SF_DIR))
+    assert got == oracle.duck_rows(duck, driver.oracle_sql()["parsed_codes_lookup"])
+
+
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
