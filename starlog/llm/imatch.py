@@ -27,8 +27,9 @@ from pyspark.sql import functions as F
 from starlog.llm.common import let, whole_text
 from starlog.session import materialise
 
-#: Each subset holds one in so many of the lexicon's terms, at random.
-SUBSETS = (2,) * 2 + (8,) * 4 + (32,) * 8 + (64,) * 8 + (128,) * 10
+#: Random subsets of the lexicon in groups (one in how many terms, subsets, lowest bit of the draw). The subsets of a
+#: group are disjoint; a term's hash is random, so the draws are bits of it that no other group takes.
+SUBSETS = ((2, 2, 10), (8, 4, 12), (32, 8, 16), (64, 8, 24), (128, 10, 32))
 #: Parts of the lexicon, by hash, so that looking a term up is looking through a short list.
 PARTS = 1 << 10
 
@@ -57,13 +58,22 @@ def lookup(words: DataFrame) -> Column:
 def subset_hashes(kept: Column) -> Column:
     """For each random subset the hash of the sorted terms it holds, 0 if none."""
 
-    sizes = F.array(*[F.lit(size) for size in SUBSETS])
+    def group(size: int, count: int, bit: int) -> Column:
+        def draw(term: Column) -> Column:
+            return F.shiftrightunsigned(term, bit).bitwiseAND(F.lit(size - 1))
 
-    def one(size: Column, subset: Column) -> Column:
-        held = F.filter(kept, lambda term: F.pmod(F.xxhash64(term, subset), size) == 0)
-        return let(held, lambda found: F.when(F.size(found) == 0, F.lit(0).cast("long")).otherwise(F.xxhash64(found)))
+        def hashes(drawn: Column) -> Column:
+            def one(subset: Column) -> Column:
+                held = F.filter(drawn, lambda term: draw(term) == subset)
+                return let(held, lambda found: F.when(F.size(found) == 0, F.lit(0).cast("long")).otherwise(F.xxhash64(found)))
 
-    return F.transform(sizes, one)
+            return F.transform(F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long")), one)
+
+        # most terms are in none of a group's subsets, so they are left out before the subsets are formed
+        drawn = kept if count == size else F.filter(kept, lambda term: draw(term) < count)
+        return let(drawn, hashes)
+
+    return F.concat(*[group(*sizes) for sizes in SUBSETS])
 
 
 def fingerprint(text: Column, words: Column, least: int = 4) -> Column:
@@ -71,7 +81,8 @@ def fingerprint(text: Column, words: Column, least: int = 4) -> Column:
 
     def hashes(found: Column) -> Column:
         known = F.filter(found, lambda term: F.array_contains(F.get(words, F.pmod(term, F.lit(PARTS)).cast("int")), term))
-        return let(known, lambda inside: subset_hashes(F.array_sort(F.when(F.size(inside) < least, found).otherwise(inside))))
+        used = let(known, lambda inside: F.sort_array(F.when(F.size(inside) < least, found).otherwise(inside)))
+        return let(used, subset_hashes)
 
     return let(terms(text), hashes)
 
