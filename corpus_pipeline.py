@@ -24,12 +24,14 @@ def _as_documents(cut: DataFrame, docs: DataFrame) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return quality_rules.judge(docs).where("kept").select(*docs.columns)
+    # the row goes along whole, so that its columns cannot clash with the measures
+    rows = docs.select(F.struct(*docs.columns).alias("__row"), "text", "source")
+    return quality_rules.judge(rows).where("kept").select("__row.*")
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without their hosts' boilerplate lines."""
-    return _as_documents(line_dedup.dedup_lines(docs), docs)
+    return _as_documents(line_dedup.dedup_lines(docs, count=None), docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -39,10 +39,10 @@ def host_boilerplate(docs: DataFrame, ratio: float, min_pages: int) -> DataFrame
     return materialise(common.groupBy(HOST).agg(F.collect_list("line").alias(LINES)))
 
 
-def dedup_lines(docs: DataFrame, ratio: float = 0.1, min_pages: int = 10) -> DataFrame:
-    """The rows with boilerplate lines taken out of `text`, and `n_dropped`, how many went.
+def dedup_lines(docs: DataFrame, ratio: float = 0.1, min_pages: int = 10, count: str | None = "n_dropped") -> DataFrame:
+    """The rows with boilerplate lines taken out of `text`, and how many went in a column named by `count`.
 
-    `docs` has source (the host) and text.
+    `docs` has source (the host) and text; a column of the name `count` is replaced.
     """
     listed = host_boilerplate(docs, ratio, min_pages)
     same = docs["source"].eqNullSafe(listed[HOST])
@@ -50,8 +50,9 @@ def dedup_lines(docs: DataFrame, ratio: float = 0.1, min_pages: int = 10) -> Dat
     lines = F.split("text", "\n")
     kept = F.filter(lines, lambda line: ~F.array_contains(LINES, line_hash(line)))
     cut = joined.withColumn("__kept", F.when(F.col(LINES).isNotNull(), kept))
+    dropped = F.coalesce(F.size(lines) - F.size("__kept"), F.lit(0)).cast("long")
     return cut.select(
-        *[docs[c] for c in docs.columns if c != "text"],
+        *[docs[c] for c in docs.columns if c not in ("text", count)],
         F.when(F.col("__kept").isNull(), F.col("text")).otherwise(F.array_join("__kept", "\n")).alias("text"),
-        F.coalesce(F.size(lines) - F.size("__kept"), F.lit(0)).cast("long").alias("n_dropped"),
+        *([dropped.alias(count)] if count else []),
     )

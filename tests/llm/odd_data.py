@@ -3,11 +3,11 @@
 import random
 
 # Extra columns bear names that the operators use on the way.
-COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, line string, block long, node long, kept string"
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, line string, block long, node long, kept string, n_dropped string"
 
 
 def row(doc_id, text, source="a"):
-    return (doc_id, text, "en", source, None if text is None else len(text), "x", 7, 7, "y")
+    return (doc_id, text, "en", source, None if text is None else len(text), "x", 7, 7, "y", "z")
 
 
 def prose(seed, words, sentence=9):
@@ -34,6 +34,6 @@ def odd_rows():
         row(11, "same line here\nsame line here\n\nother", "b"),
         row(12, "token=token: abcdefgh secret=x PassWd:'zzzzzz api_key==1234567 tokenAKIA" + "B" * 16),
         row(None, prose(4, 40)),
-        (13, prose(5, 30), None, None, None, None, None, None, None),
+        (13, prose(5, 30), *[None] * 8),
         row(None, None),
     ]

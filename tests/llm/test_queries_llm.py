@@ -130,6 +130,7 @@ def test_stages_on_odd_rows_and_nothing(spark):
         for name, run in corpus_pipeline.STAGES[:-1]:
             docs = stage(spark, name, docs)
             assert docs.columns == [c.split()[0] for c in COLUMNS.split(", ")]
+            assert {(r.kept, r.n_dropped) for r in docs.select("kept", "n_dropped").collect()} <= {("y", "z"), (None, None)}
         stage(spark, "packing", docs).collect()
 
 
