@@ -142,7 +142,7 @@ class Encoder:
         self.tokens = read_ranks(path)
         merge = Merger(self.tokens)
         self.split = regex.compile(pattern).findall
-        self.table = PieceTable(lambda pieces: merge([piece.encode() for piece in pieces]))
+        self.table = PieceTable(lambda pieces: merge([piece.encode() for piece in pieces]), limit=600_000)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and how many each text has."""
