@@ -45,6 +45,17 @@ class Rule:
         return f"{self.name}@{self.version}"
 
 
+# A private key with all its lines: through the END line, if no other line of five dashes stands before it; else the
+# headers and base64 lines that follow, also where line feeds are written as \n. Java's engine holds some frames for
+# each round of a group, so these are counted: 250 dashes before END, 200 indented lines; other lines need no rounds.
+PRIVATE_KEY = (
+    r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:"
+    r"[^-]*(?:-{1,4}[^-]+){0,250}-----END [A-Z ]*PRIVATE KEY-----"
+    r"|\x20*[A-Za-z0-9+/=\\]{40,}"
+    r"|(?:[\x20\t\r]*\n[\x20\t]*[A-Za-z-]+:\x20[^\n]*){0,9}"
+    r"(?:\s*\n[\x20\t]*[A-Za-z0-9+/=\r\n]*[A-Za-z0-9+/=][\x20\t]*\r?(?m:$)){0,200})"
+)
+
 #: Order matters: spans that start together are listed in it.
 RULES = (
     Rule(
@@ -56,7 +67,7 @@ RULES = (
     Rule("access", r"AKIA[A-Z0-9]+", min_length=20),
     # runs of 24 and more: a run is matched whole, so shorter ones need not be found first
     Rule("hex", r"[0-9a-f]{24,}"),
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("private_key", PRIVATE_KEY, version=2),
     Rule("hub_token", r"gh[opsu]_[A-Za-z0-9]{36,}"),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
 )

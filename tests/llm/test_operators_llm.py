@@ -101,6 +101,32 @@ def test_redact(spark, odd):
     assert kept[2] is None and kept[1] == odd_rows()[0][1]
 
 
+def test_private_keys_go_whole(spark):
+    pick = random.Random(1)
+    body = ["".join(pick.choices("ABCDefgh0123+/", k=64)) for _ in range(50)] + ["Zz9="]
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    headers = ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0A1B", ""]
+    cases = [
+        ("\n".join(["a", begin, *body, end, "b c"]), "a\n[secret]\nb c"),
+        ("\r\n".join(["a", begin, *headers, *body, end, "b c"]), "a\n[secret]\nb c"),
+        ("\n".join(["a", begin, *body, "b c"]), "a\n[secret]\nb c"),  # no END line
+        ("\r\n".join(["a", begin, *body, "b c"]), "a\n[secret]\nb c"),
+        ("\n".join(["a", begin, *headers, *body]), "a\n[secret]"),
+        ("\n".join([f"a {begin} b c", begin, *body, end]), "a [secret] b c\n[secret]"),
+        ("a '" + "\\n".join([begin, *body, end]) + "' b", "a '[secret]' b"),
+        ("a '" + "\\n".join([begin, *body]) + "' b", "a '[secret]' b"),
+        ("\n".join([begin, *("-" + line for line in body), end, "b"]), "[secret]\nb"),
+        ("\n".join([begin, *(body[0] for _ in range(8000)), "b c"]), "[secret]\nb c"),
+        ("\n".join([begin, *("  " + line for line in body), "  b c"]), "[secret]\n  b c"),
+        (begin + "\n" + " a-b c," * 50_000, "[secret]\n" + " a-b c," * 50_000),
+    ]
+    docs = spark.createDataFrame([row(i, text) for i, (text, _) in enumerate(cases)], COLUMNS)
+    found = secret_scan.scan(docs, scratch_path(spark, "ledger"))
+    assert {f.rule for r in found.collect() for f in r.findings if f.kind == 3} == {"private_key@2"}
+    clean = {r.doc_id: r.text.replace("\r", "") for r in secret_scan.redact_found(docs, found).collect()}
+    assert clean == {i: want for i, (_, want) in enumerate(cases)}
+
+
 # 3 quality rules
 
 
