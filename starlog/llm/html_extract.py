@@ -3,15 +3,17 @@
 A page's tokens are its elements, told apart by their path of tags, classes and ids. The occurrence vector
 of a token says how often it occurs on each page of the host; it is kept as sums of hashes of (page,
 count), so it needs no list of pages and is added up before the shuffle. Tokens that share a vector are an
-equivalence class; a class is valid if it occurs on a large part of the host's pages, and classes nest as
-the paths of their tokens do. The class that occurs once on every page is the frame of the template. Its
-slots are the places where text stands; a slot whose text is the same on every page is part of the
-template, the others hold data. The article is the frame's `article` or `main` element or, failing
-these, its smallest element around most of the data; the text of its slots is extracted, but for
-blocks that their tag, class or id names as menu, notice, advert, form or the like.
-
-A page is extracted by its host's template; a page without the template's article falls back to its own
-`article`, `main` or body.
+equivalence class; a class is valid if it occurs on at least a fifth (`support`) of the host's pages, and classes
+nest as the paths of their tokens do. The valid classes whose tokens mostly stand once on a page are the frames of the
+host's templates. Their slots are the places where text stands; a slot that stands wherever its parent does and says
+the same on all of its pages is part of the template, the others hold data. Pages of one content count once for
+that, and fewer than three contents tell nothing. The articles are the frames' `article` elements and then their
+`main` elements, those with most data first; a page is extracted by the first that stands on it, but for blocks that
+their tag, class or id names as menu, notice, advert, form or the like.
+
+A page without any of them falls back to its own `article` and `main` or else its body. On a host whose frames have
+neither, all text is taken but for the template's slots and what stands outside the smallest element around all data
+on a fifth of the pages or more (a page's own `article` or `main` is taken there if it is the only one).
 
 Edge cases: a NULL or empty html has no tokens and an empty text; NULL urls are one host; unclosed tags
 are closed by what follows; markup cut off at the end is dropped; repeated rows are pages of their
@@ -75,6 +77,7 @@ NOISE_WORDS = re.compile(
     re.IGNORECASE,
 )
 ARTICLE_TAGS = ("article", "main")
+HEADING = re.compile("h[1-6]")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
 
@@ -144,7 +147,7 @@ def read(page: str) -> Iterator[tuple[str, Element | None, str]]:
         yield "text", stack[-1] if stack else None, html.unescape(text) if "&" in text else text
 
 
-TOKENS = "host string, page long, token long, parent long, sign string, noise boolean, n long, place long, chars long, linked long, said long"
+TOKENS = "host string, page long, token long, parent long, sign string, noise boolean, n long, place long, chars long, linked long, said long, content long"
 
 
 def host_of(url: str | Column) -> Column:
@@ -154,11 +157,16 @@ def host_of(url: str | Column) -> Column:
 
 
 def tokens_of(page: str) -> list[tuple]:
-    """(token, parent, sign, noise, count, place, chars, linked chars, hash of its own text) of the page's elements."""
+    """(token, parent, sign, noise, count, place, chars, linked chars, hash of its own text, hash of the page's content).
+
+    The content is the text outside noise, in the page's own `article` or `main` if any stands there.
+    """
     import xxhash
 
     found: dict[int, list] = {}
     texts: dict[int, list[str]] = {}
+    own: list[str] = []
+    rest: list[str] = []
     for kind, element, text in read(page):
         if kind == "open":
             row = found.get(element.token)
@@ -171,8 +179,11 @@ def tokens_of(page: str) -> list[tuple]:
             row[6] += len(bare)
             row[7] += len(bare) if element.link else 0
             texts.setdefault(element.token, []).append(bare)
+            if not element.noise:
+                (own if element.article else rest).append(bare)
     hashes = {token: xxhash.xxh64_intdigest("\n".join(parts)) - (1 << 63) for token, parts in texts.items()}
-    return [(*row, hashes.get(row[0])) for row in found.values()]
+    content = xxhash.xxh64_intdigest("\n".join(own or rest)) - (1 << 63)
+    return [(*row, hashes.get(row[0]), content) for row in found.values()]
 
 
 def page_tokens(pages: DataFrame) -> DataFrame:
@@ -182,7 +193,7 @@ def page_tokens(pages: DataFrame) -> DataFrame:
         schema = pa.schema(
             [("host", pa.string()), ("page", pa.int64()), ("token", pa.int64()), ("parent", pa.int64())]
             + [("sign", pa.string()), ("noise", pa.bool_())]
-            + [(name, pa.int64()) for name in ("n", "place", "chars", "linked", "said")]
+            + [(name, pa.int64()) for name in ("n", "place", "chars", "linked", "said", "content")]
         )
         for batch in batches:
             hosts, keys = batch.column("host").to_pylist(), batch.column("page").to_pylist()
@@ -194,6 +205,12 @@ def page_tokens(pages: DataFrame) -> DataFrame:
     return map_arrow(pages.select("host", "page", "html"), run, TOKENS)
 
 
+def _contents(skip: int) -> Column:
+    """At most the number of different contents: the bits that six of their hash's bits set in a word."""
+    six = F.shiftrightunsigned("content", skip).bitwiseAND(F.lit(63)).cast("int")
+    return F.bit_count(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), six)))
+
+
 def host_tokens(pages: DataFrame, support: float) -> DataFrame:
     """The tokens of each host on at least `support` of its pages, with their occurrence vectors.
 
@@ -206,6 +223,7 @@ def host_tokens(pages: DataFrame, support: float) -> DataFrame:
         F.max("noise").alias("noise"),
         F.count("*").alias("pages"),
         F.sum("n").alias("n"),
+        F.sum((F.col("n") == 1).cast("long")).alias("once"),
         F.sum(mark.bitwiseAND(F.lit(0xFFFFFFFF))).alias("low"),
         F.sum(F.shiftrightunsigned(mark, 32)).alias("high"),
         F.avg("place").alias("place"),
@@ -213,6 +231,8 @@ def host_tokens(pages: DataFrame, support: float) -> DataFrame:
         F.sum("linked").alias("linked"),
         F.count("said").alias("speaking"),
         (F.min("said") != F.max("said")).alias("varies"),
+        _contents(0).alias("contents"),
+        _contents(6).alias("contents_too"),
     )
     totals = pages.groupBy("host").agg(F.count("*").alias("all_pages"))
     joined = join_null_safe(vectors, totals, ["host"], "inner")
@@ -225,58 +245,73 @@ def classes(tokens: pd.DataFrame) -> pd.Series:
 
 
 def deduce(tokens: pd.DataFrame, few: int = 3) -> dict[str, list[int]]:
-    """The template of one host from its tokens: where the article is, and which slots in it are the template's.
+    """The templates of one host from its tokens: its articles' elements, best first, and the tokens of template text.
 
-    A host with fewer than `few` pages says nothing about what varies.
+    Fewer than `few` contents say nothing about what varies.
     """
-    tokens = tokens.sort_values("place").reset_index(drop=True)
-    everywhere = (tokens["pages"] == tokens["all_pages"]) & (tokens["n"] == tokens["pages"])
-    family = classes(tokens)
-    # the frame: the class of what stands once on every page; without one, all that stands once where it is
-    frame = family.isin(family[everywhere]) if everywhere.any() else tokens["n"] == tokens["pages"]
-    parent = dict(zip(tokens["token"], tokens["parent"]))
-    names = tokens["sign"].str.split(r"[.#]", regex=True).str[0]
-    # an element in a line is a part of its block's slot
-    constant = (tokens["speaking"] == tokens["all_pages"]) & (tokens["varies"] == False) & frame & ~names.isin(INLINE)  # noqa: E712
-    if tokens["all_pages"].iloc[0] < few or not (~constant & (tokens["chars"] > 0)).any():
-        constant &= False
-    # data of an element: what varies in it and below it, without links and noise
-    own = (tokens["chars"] - tokens["linked"]).where(~tokens["noise"] & ~constant, 0)
-    data = dict(zip(tokens["token"], [0.0] * len(tokens)))
-    for token, chars in zip(tokens["token"], own):
-        seen = set()
-        while token in data and token not in seen:
-            seen.add(token)
-            data[token] += chars
+    tokens = tokens.sort_values("place")
+    rows = {row.token: row for row in tokens.assign(family=classes(tokens)).itertuples(index=False)}
+    parent = {token: row.parent for token, row in rows.items()}
+    name = {token: re.split("[.#]", row.sign, maxsplit=1)[0] for token, row in rows.items()}
+
+    def block(token: int) -> int:
+        """Its slot: an element in a line is a part of its block's."""
+        while name[token] in INLINE and parent[token] in rows:
             token = parent[token]
-    usable = tokens[frame & ~tokens["noise"]]
-    chosen: list[int] = []
-    for name in ARTICLE_TAGS:
-        named = usable[names[usable.index] == name]
-        if len(named):
-            chosen = [max(named["token"], key=data.__getitem__)]
-            break
-    if not chosen and len(usable):
-        most = max(data[token] for token in usable["token"])
-        around = [token for token in usable["token"] if data[token] >= 0.7 * most]
+        return token
+
+    def still(row) -> bool:
+        # a path's pages are among its parent's, so as many pages are the same ones
+        always = row.parent in rows and rows[row.parent].pages == row.pages
+        told = max(row.contents, row.contents_too) >= few
+        return bool(always and told and row.speaking == row.pages and row.varies == False)  # noqa: E712
+
+    # the frames: what mostly stands once on its pages, which holds for a whole class
+    frame = {token for token, row in rows.items() if 2 * row.once >= row.pages}
+    loose = {block(token) for token, row in rows.items() if row.chars and not still(row)}
+    constant = {token for token in frame - loose if still(rows[token]) and name[token] not in INLINE}
+    fixed = {
+        token
+        for token, row in rows.items()
+        if row.chars and (at := block(token)) not in loose and not constant.isdisjoint(_path(at, parent))
+    }
+    # data of an element: what varies in it and below it, without noise and without links but those of headings
+    data = dict.fromkeys(rows, 0)
+    total = 0
+    for token, row in rows.items():
+        if row.noise or token in fixed:
+            continue
+        own = row.chars - (0 if HEADING.fullmatch(name[block(token)]) else row.linked)
+        total += own
+        for above in _path(token, parent):
+            data[above] += own
+    usable = [token for token in rows if token in frame and not rows[token].noise]
+    best: dict[tuple[int, int], int] = {}  # of each name and class
+    for token in usable:
+        if name[token] in ARTICLE_TAGS:
+            key = ARTICLE_TAGS.index(name[token]), rows[token].family
+            if key not in best or data[token] > data[best[key]]:
+                best[key] = token
+    chosen = [best[key] for key in sorted(best, key=lambda key: (key[0], -data[best[key]]))]
+    if not chosen and total:
         # the last in page order is the deepest, as all lie on one path
-        chosen = around[-1:] if most > 0 else []
-    inside = [token for token in tokens["token"][constant] if chosen and _below(token, chosen[0], parent)]
-    return {"article": [int(t) for t in chosen], "fixed": [int(t) for t in inside]}
+        around = [token for token in usable if data[token] == total][-1:]
+        if around:
+            fixed |= {token for token, row in rows.items() if row.chars and around[0] not in _path(token, parent)}
+    return {"article": [int(t) for t in chosen], "fixed": [int(t) for t in fixed]}
 
 
-def _below(token: int, top: int, parent: dict[int, int]) -> bool:
-    seen = set()
-    while token in parent and token not in seen:
-        seen.add(token)
+def _path(token: int, parent: dict[int, int]) -> list[int]:
+    """The token and those above it, as far as they are known."""
+    path: list[int] = []
+    while token in parent and token not in path:
+        path.append(token)
         token = parent[token]
-        if token == top:
-            return True
-    return False
+    return path
 
 
 def templates(pages: DataFrame, support: float = 0.2) -> DataFrame:
-    """(host, article, fixed): tokens of the article's element and of template slots inside it."""
+    """(host, article, fixed): tokens of the articles' elements, best first, and of template text."""
 
     def run(tokens: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame([{"host": tokens["host"].iloc[0], **deduce(tokens)}])
@@ -284,34 +319,35 @@ def templates(pages: DataFrame, support: float = 0.2) -> DataFrame:
     return host_tokens(pages, support).groupBy("host").applyInPandas(run, "host string, article array<long>, fixed array<long>")
 
 
-def main_text(page: str, article: frozenset[int], fixed: frozenset[int]) -> str:
+def main_text(page: str, article: list[int], fixed: frozenset[int]) -> str:
     """The text of the article's slots; blocks are parted by one space."""
+    events = list(read(page))
+    here = {element.token for kind, element, _ in events if kind == "open"}
+    top = next((token for token in article if token in here), None)
     parts: list[str] = []
     own: list[str] = []
     rest: list[str] = []
-    open_in: dict[int, tuple[bool, bool]] = {0: (False, False)}  # token: within the article, within a fixed slot
-    met = False
-    for kind, element, text in read(page):
+    open_in: dict[int, tuple[bool, bool]] = {0: (False, False)}  # token: within the chosen article, within any
+    starts = 0
+    for kind, element, text in events:
         if kind == "open":
-            within, still = open_in[element.parent] if element.parent in open_in else (False, False)
-            within = within or element.token in article
-            met = met or within
-            open_in[element.token] = (within, still or element.token in fixed)
+            within, any_article = open_in[element.parent]
+            starts += element.article and not any_article
+            open_in[element.token] = (within or element.token == top, element.article)
         elif kind == "break":
             parts.append(" ")
             own.append(" ")
             rest.append(" ")
         elif element is None:
             rest.append(text)
-        elif not element.noise:
-            within, still = open_in[element.token]
-            if within and not still:
+        elif not element.noise and element.token not in fixed:
+            if open_in[element.token][0]:
                 parts.append(text)
             if element.article:
                 own.append(text)
             rest.append(text)
-    if not met:
-        parts = own if any(part.strip() for part in own) else rest
+    if top is None:
+        parts = own if (article or starts == 1) and any(part.strip() for part in own) else rest
     return " ".join("".join(parts).split())
 
 
@@ -327,7 +363,7 @@ def extract(pages: DataFrame) -> DataFrame:
             for at, texts in text_batches(batch, "html"):
                 rows = batch.slice(at, len(texts))
                 done = [
-                    main_text(text, frozenset(article[at + i] or ()), frozenset(fixed[at + i] or ()))
+                    main_text(text, article[at + i] or [], frozenset(fixed[at + i] or ()))
                     for i, text in enumerate(texts)
                 ]
                 columns = [rows.column(name) for name in ("page_id", "url", "host")]

@@ -183,6 +183,22 @@ def test_pages_without_article_element(spark):
     assert extracted(spark, rows) == {n: f"long story number {n} with many words in it" for n in range(6)}
 
 
+def on_host(bodies, page=PAGE):
+    return [(n, f"https://h.example/{n}", page.format(n=n, article=body), "x", 1) for n, body in enumerate(bodies)]
+
+
+def test_few_pages_lack_the_article(spark):
+    side = '<div class="left">Towns {n}</div>'
+    bodies = [side.format(n=n) + f"<article><h1>T {n}</h1><div>Story {n}</div><div>Ours</div></article>" for n in range(12)]
+    bodies += ['<div class="gone">Not found</div>', side.format(n=1) + "<main>By layout two</main>"]
+    bodies += [side.format(n=n) + f'<div id="w"><main>Two {n}</main></div>' for n in range(15, 20)]
+    bodies += ["<article><h1>T</h1></article><article><h1>U</h1></article>"]  # a list of articles
+    texts = extracted(spark, on_host(bodies))
+    assert [texts[n] for n in range(12)] == [f"T {n} Story {n} Ours" for n in range(12)]
+    assert texts[12] == "Not found" and texts[13] == "By layout two" and texts[19] == "T U"
+    assert [texts[n] for n in range(14, 19)] == [f"Two {n}" for n in range(15, 20)]
+
+
 def test_odd_pages(spark):
     rows = [
         (1, None, None, None, None),
