@@ -199,6 +199,25 @@ def test_few_pages_lack_the_article(spark):
     assert [texts[n] for n in range(14, 19)] == [f"Two {n}" for n in range(15, 20)]
 
 
+def test_smaller_blocks_beside_the_article(spark):
+    body = '<div class="top"><h2><a href="/">Title {n}</a></h2></div><div class="lead">Lead {n}</div><div class="story">{long}</div><div class="box">box</div>'
+    bodies = [body.format(n=n, long=f"word{n} " * 80) for n in range(9)]
+    bodies.append(body.format(n=9, long="") + '<div class="rare">Only here</div>')
+    texts = extracted(spark, on_host(bodies))
+    assert texts == {n: " ".join(f"Title {n} Lead {n} {f'word{n} ' * 80}".split()) for n in range(9)} | {9: "Title 9 Lead 9 Only here"}
+
+
+def test_copies_of_one_article_keep_it(spark):
+    texts = extracted(spark, on_host(["<article><h1>Head</h1><div>The text</div></article>"] * 6))
+    assert texts == {n: "Head The text" for n in range(6)}
+
+
+def test_data_in_and_below_a_constant_slot(spark):
+    body = '<article><h1>Review: <em>T {n}</em></h1><div class="w">Text: <p>real {n}</p></div></article>'
+    texts = extracted(spark, on_host([body.format(n=n) for n in range(6)]))
+    assert texts == {n: f"Review: T {n} real {n}" for n in range(6)}
+
+
 def test_odd_pages(spark):
     rows = [
         (1, None, None, None, None),
