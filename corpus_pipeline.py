@@ -23,10 +23,10 @@ def _as_documents(cut: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep; lines go by the document limit alone."""
     # the row goes along whole, so that its columns cannot clash with the measures
     rows = docs.select(F.struct(*docs.columns).alias("__row"), "text", "source")
-    return quality_rules.judge(rows).where("kept").select("__row.*")
+    return quality_rules.judge(rows, limit_share=None).where("kept").select("__row.*")
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,8 +7,10 @@ A line in more than `limit_docs` documents and more than `limit_share` of the ho
 removed; a document is rejected as depleted if less than `min_left` of its words remain. Documents
 are distinct by text, so copies of one document count once, and a copied document is not taken
 for boilerplate. `limit_share` bounds a host's list of removed lines by (mean lines) / limit_share.
+With `limit_share=None` the document limit acts alone: lines meet the removed ones in a join on host and
+line that Spark can split, so no list of a host need be small, and texts are shuffled once, to meet what they lost.
 
-Everything is built-in functions. Only line hashes and counts are shuffled, never texts.
+Everything is built-in functions. With a share, only line hashes and counts are shuffled, never texts.
 
 Edge cases: a NULL text is an empty one (no words: base_failed); NULL hosts are one host; repeated
 rows are judged each by itself; an empty table gives no rows; other columns pass through.
@@ -88,26 +90,49 @@ def removed_lines(docs: DataFrame, limit_docs: int, limit_share: float) -> DataF
     return materialise(above.groupBy(HOST).agg(F.collect_list("line").alias(LINES)))
 
 
+def lost_words(docs: DataFrame, limit_docs: int) -> DataFrame:
+    """(host, doc, lost): words of the distinct documents (by hash) that stand in lines above the document limit."""
+    text = whole_text("text")
+    bare = F.filter(F.transform(F.split(text, "\n"), normalised), lambda line: line != "")
+    lines = F.transform(bare, lambda line: F.struct(F.xxhash64(line).alias("line"), F.size(words_of(line)).alias("words")))
+    rows = docs.select(F.col("source").alias(HOST), F.xxhash64(text).alias("doc"), lines.alias(LINES))
+    rows = materialise(rows.dropDuplicates([HOST, "doc"]))
+    counts = rows.select(HOST, F.explode(F.array_distinct(f"{LINES}.line")).alias("line")).groupBy(HOST, "line").count()
+    # stored, so that the join shuffles both sides for itself and can split a hot line
+    above = materialise(counts.where(F.col("count") > limit_docs).select(HOST, "line"))
+    found = join_null_safe(rows.select(HOST, "doc", F.inline(LINES)), above, [HOST, "line"], "inner")
+    return materialise(found.groupBy(HOST, "doc").agg(F.sum("words").alias("lost")))
+
+
 def judge(
     docs: DataFrame,
     min_words: int = 20,
     max_repeat_percent: int = 30,
     limit_docs: int = 10,
-    limit_share: float = 0.1,
+    limit_share: float | None = 0.1,
     min_left: float = 0.3,
 ) -> DataFrame:
     """The rows with the measures, base_failed, n_words_left (outside removed lines) and kept."""
-    listed = removed_lines(docs, limit_docs, limit_share)
-    joined = docs.join(listed, docs["source"].eqNullSafe(listed[HOST]), "left")
     text = whole_text("text")
     found = measures(text)
+    if limit_share is None:
+        lost = lost_words(docs, limit_docs).withColumnsRenamed({"doc": "__rule_doc", "lost": "__rule_lost"})
+        same = docs["source"].eqNullSafe(lost[HOST]) & (F.xxhash64(whole_text(docs["text"])) == F.col("__rule_doc"))
+        joined = docs.join(lost, same, "left")
+    else:
+        listed = removed_lines(docs, limit_docs, limit_share)
+        joined = docs.join(listed, docs["source"].eqNullSafe(listed[HOST]), "left")
 
     def words_in(line: Column) -> Column:
         return F.when(F.array_contains(LINES, F.xxhash64(normalised(line))), F.lit(0)).otherwise(F.size(words_of(line)))
 
-    left = F.aggregate(F.split(text, "\n"), F.lit(0), lambda total, line: total + words_in(line)).cast("long")
+    if limit_share is None:
+        left = found["n_words"] - F.col("__rule_lost")
+    else:
+        each = F.aggregate(F.split(text, "\n"), F.lit(0), lambda total, line: total + words_in(line)).cast("long")
+        left = F.when(F.col(LINES).isNotNull(), each)
     base = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
-    out = joined.withColumns(found | {"__left": F.when(F.col(LINES).isNotNull(), left)})
+    out = joined.withColumns(found | {"__left": left})
     out = out.withColumns({"base_failed": base, "n_words_left": F.coalesce("__left", "n_words")})
     kept = ~F.col("base_failed") & (F.col("n_words_left") >= min_left * F.col("n_words"))
     return out.select(

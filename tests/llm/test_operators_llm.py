@@ -151,6 +151,22 @@ def test_depleted_documents_go(spark, host):
     assert {r.n_words_left for r in judged if r.doc_id < 15} == {6}
 
 
+@pytest.mark.parametrize("host", ["h", None])
+def test_document_limit_alone(spark, host):
+    shared = "a  line that stands on twelve of very many documents of this host"
+    rows = [row(i, f"{shared}\n {shared} \nown words {prose(i, 6)}", host) for i in range(12)]
+    rows += [row(50 + i, f"{shared}\n{prose(50, 80)}", host) for i in range(3)]  # copies are judged too
+    rows += [row(100 + i, prose(100 + i, 80), host) for i in range(300)]
+    rows += [row(500 + i, f"{shared}\n{shared}\n{prose(i, 6)}", "small") for i in range(10)]
+    docs = spark.createDataFrame(rows, COLUMNS)
+    judged = quality_rules.judge(docs, limit_share=None).collect()
+    assert len(judged) == len(rows)
+    assert {r.doc_id for r in judged if r.kept == (r.doc_id < 12)} == {r.doc_id for r in judged if r.base_failed and r.doc_id >= 12}
+    assert {r.n_words_left for r in judged if r.doc_id < 12} == {8}
+    assert all(r.n_words - r.n_words_left == (13 if r.doc_id < 100 else 0) for r in judged if r.doc_id >= 12)
+    assert quality_rules.judge(docs.limit(0), limit_share=None).collect() == []
+
+
 # 4 HTML
 
 PAGE = (
