@@ -30,8 +30,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without their hosts' boilerplate lines."""
-    return _as_documents(line_dedup.dedup_lines(docs, count=None), docs)
+    """All documents, without their hosts' boilerplate lines, on hosts of three pages and more."""
+    return _as_documents(line_dedup.dedup_lines(docs, count=None, few_pages=3), docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

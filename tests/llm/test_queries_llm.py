@@ -124,6 +124,38 @@ def test_stages_against_plain_rules(spark, texts):
     plain.check_pieces(packed, dict(zip(final, plain.word_ids(final.values()))))
 
 
+def test_line_stages_against_plain_rules(spark):
+    footer, note = "the footer line of this host", "a long note that takes nearly all the words of its own short document here " * 2
+    rows = [row(i, f"{prose(i, 60)}\n {footer}", "nine") for i in range(9)]
+    rows += [row(20 + i, f"{prose(20 + i, 60)}\n{footer}", "pair") for i in range(2)]
+    rows += [row(100 + i, f"{prose(100 + i, 60)}\n" + (footer if i % 4 == 0 else f"line {i // 10}"), "big") for i in range(150)]
+    rows += [row(300 + i, f"{note}\n{prose(i, 5)}", "big") for i in range(11)]  # depleted, on 7 % of the host
+    texts = {r[0]: (r[3], r[1]) for r in rows}
+
+    def pages_by_line(kept):
+        found = {}
+        for i in kept:
+            for line in {" ".join(x.split()) for x in texts[i][1].split("\n")}:
+                found.setdefault((texts[i][0], line), set()).add(i)
+        return found
+
+    above = {key for key, pages in pages_by_line(texts).items() if len(pages) > 10}
+    left = {i: sum(len(x.split()) for x in t.split("\n") if (h, " ".join(x.split())) not in above) for i, (h, t) in texts.items()}
+    want = {i for i, (_, t) in texts.items() if left[i] >= 0.3 * len(t.split())}
+    docs = spark.createDataFrame(rows, COLUMNS)
+    kept = stage(spark, "quality rules", docs)
+    assert {r.doc_id for r in kept.collect()} == want and 0 < len(want) == len(rows) - 11
+    size = {h: sum(texts[i][0] == h for i in want) for h in ("nine", "pair", "big")}
+    gone = {
+        (h, line)
+        for (h, line), pages in pages_by_line(want).items()
+        if len(pages) > 0.1 * size[h] and len(pages) >= max(3, min(10, size[h] / 2))
+    }
+    assert {h for h, _ in gone} == {"nine", "big"}
+    cut = {r.doc_id: r.text for r in stage(spark, "line dedup", kept).collect()}
+    assert cut == {i: "\n".join(x for x in texts[i][1].split("\n") if (texts[i][0], x.strip()) not in gone) for i in want}
+
+
 def test_stages_on_odd_rows_and_nothing(spark):
     for rows in (odd_rows(), []):
         docs = spark.createDataFrame(rows, COLUMNS)
