@@ -12,13 +12,16 @@ from starlog.llm import (
     byte_bpe,
     html_extract,
     imatch,
+    language_id,
     line_dedup,
     packing,
     quality_rules,
+    resample,
     secret_scan,
     simhash,
     token_counts,
     toxicity,
+    vector_codes,
 )
 from starlog.session import scratch_path
 from starlog.sources.files import read_table
@@ -202,3 +205,101 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     compared = imatch.compare_edited(read_table(spark, sf_dir, "documents"))
     return compared.withColumn("edited_sha256", F.sha2("edited", 256)).drop("edited")
+
+
+def _resample_sql() -> str:
+    # CRC-32 of the UTF-8 bytes of every distinct word, byte by byte over the table of the reflected polynomial
+    return r"""
+    WITH d AS (SELECT doc_id, string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS parts FROM documents),
+    b AS (SELECT string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+          'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS parts FROM benchmark),
+    dw AS (SELECT doc_id, word, count(*) AS n FROM (SELECT doc_id, unnest(parts) AS word FROM d)
+           WHERE word <> '' GROUP BY doc_id, word),
+    bw AS (SELECT word, count(*) AS n FROM (SELECT unnest(parts) AS word FROM b) WHERE word <> '' GROUP BY word),
+    c AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y:
+          CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS crc),
+    w AS (SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM dw UNION SELECT word FROM bw)),
+    x AS (SELECT word, list_prepend(4294967295, list_transform(range(0, CAST(length(h) // 2 AS BIGINT)),
+          lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT))) AS bytes FROM w),
+    k AS (SELECT word, xor(list_reduce(bytes, lambda a, y: xor(a >> 8, crc[xor(a & 255, y) + 1])), 4294967295) % 10000
+          AS bucket FROM x, c),
+    s AS (SELECT bucket, sum(n) AS s FROM dw JOIN k USING (word) GROUP BY bucket),
+    t AS (SELECT bucket, sum(n) AS t FROM bw JOIN k USING (word) GROUP BY bucket),
+    g AS (SELECT bucket, floor(1000 * ln((coalesce(CAST(t AS DOUBLE), 0) + 1) * ((SELECT coalesce(sum(s), 0) FROM s) + 10000)
+          / ((CAST(s AS DOUBLE) + 1) * ((SELECT coalesce(sum(t), 0) FROM t) + 10000)))) AS gain
+          FROM s LEFT JOIN t USING (bucket)),
+    f AS (SELECT doc_id, sum(n) AS n_features, sum(n * gain) AS total
+          FROM dw JOIN k USING (word) JOIN g USING (bucket) GROUP BY doc_id),
+    p AS (SELECT doc_id, CAST(coalesce(n_features, 0) AS BIGINT) AS n_features,
+          CAST(coalesce(floor(total / n_features), 0) AS BIGINT) AS weight,
+          CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h
+          FROM d LEFT JOIN f USING (doc_id)),
+    q AS (SELECT doc_id, n_features, weight,
+          weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM p),
+    r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS able
+          FROM q WHERE n_features >= 20)
+    SELECT q.*, CASE WHEN place <= 10 * able // 100 THEN place END AS rank FROM q LEFT JOIN r USING (doc_id)
+    """
+
+
+@query(_resample_sql())
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    weighed = resample.weigh(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return resample.resample(weighed).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query()
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 4 == 2
+    found = language_id.identify(docs, language_id.fit(docs.where(~held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def _vector_codes_sql(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    steps = [
+        f"""
+        v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS ints
+              FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        z AS (SELECT CAST(any_value(len(ints)) // {parts} AS BIGINT) AS width FROM v),
+        p AS (SELECT vec_id, label, part, ints[part * width + 1 : (part + 1) * width] AS x
+              FROM v, z, (SELECT unnest(range({parts})) AS part)),
+        b0 AS (SELECT part, entry, x AS c FROM
+               (SELECT part, x, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry FROM p)
+               WHERE entry < {entries})"""
+    ]
+    away = "list_sum(list_transform(list_zip(x, c), lambda y: (y[1] - y[2]) * (y[1] - y[2])))"
+    for at in range(rounds + 1):
+        steps.append(
+            f"""
+        a{at} AS (SELECT vec_id, label, part, any_value(x) AS x, min(struct_pack(away := away, entry := entry)) AS best FROM
+              (SELECT vec_id, label, p.part, x, CAST({away} AS BIGINT) AS away, entry FROM p JOIN b{at} USING (part))
+              GROUP BY vec_id, label, part)"""
+        )
+        if at < rounds:
+            steps.append(
+                f"""
+        m{at} AS (SELECT part, entry, list(mean ORDER BY place) AS c FROM
+              (SELECT part, best.entry AS entry, place, CAST(floor(sum(CAST(x[place] AS BIGINT)) / count(*)) AS BIGINT) AS mean
+               FROM a{at}, z, (SELECT unnest(range(1, 1025)) AS place) WHERE place <= width GROUP BY part, best.entry, place)
+              GROUP BY part, entry),
+        b{at + 1} AS (SELECT part, entry, coalesce(m{at}.c, b{at}.c) AS c FROM b{at} LEFT JOIN m{at} USING (part, entry))"""
+            )
+    return f"""
+        WITH {",".join(steps)},
+        r AS (SELECT vec_id, label, string_agg(lower(printf('%02x', best.entry)), '' ORDER BY part) AS code,
+              CAST(sum(best.away) AS BIGINT) AS error FROM a{rounds} GROUP BY vec_id, label),
+        l AS (SELECT label, CAST(sum(error) AS BIGINT) AS label_error FROM r GROUP BY label),
+        h AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b{rounds})
+        SELECT vec_id, code, error, label_error, codebooks_sha256
+        FROM r JOIN l ON r.label IS NOT DISTINCT FROM l.label, h
+    """
+
+
+@query(_vector_codes_sql())
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coding = vector_codes.compress(read_table(spark, sf_dir, "embeddings"))
+    rows = vector_codes.with_label_error(coding.rows).withColumn("code", F.lower(F.hex("code")))
+    return rows.select("vec_id", "code", "error", "label_error", F.lit(coding.fingerprint()).alias("codebooks_sha256"))
