@@ -316,3 +316,42 @@ def frame_list_at(df: DataFrame, keys: list[str], order: list[str], value: str,
         .where(F.size("_items") == row)
         .select(*keys, F.transform("_items", lambda item: item["value"]).alias("list"))
     )
+
+
+def factorised_lists(
+    df: DataFrame, keys: list[str], order: list[str], value: str, frame: str = "rows", piece_rows: int = 1000
+) -> tuple[DataFrame, DataFrame]:
+    """The running list of every row, in linear size: (rows with `prefix`, pieces of the groups' lists).
+
+    A row's list is the first `prefix` values of its group's list, which lies in `pieces` (keys, piece,
+    list) of at most `piece_rows` values. With frame "rows" a list ends at its row along the total
+    `order`; with "range" rows equal in `order[0]` share one list, and the other order columns, which must tell them apart, place
+    values within it. NULL values are left out of lists. `expand_lists` gives the lists of chosen rows.
+    """
+    if frame not in ("rows", "range"):
+        raise ValueError(f"no such frame: {frame}")
+    present = F.col(value).isNotNull().cast("int")
+    placed = materialise(running_totals(df, keys, order, {"_place": present}))
+    piece = F.call_function("div", F.col("_place") - 1, F.lit(piece_rows))
+    items = F.array_sort(F.collect_list(F.struct("_place", F.col(value).alias("value"))))
+    held = placed.where(F.col(value).isNotNull()).groupBy(*keys, piece.alias("piece")).agg(items.alias("_items"))
+    pieces = held.select(*keys, "piece", F.col("_items.value").alias("list"))
+    if frame == "rows":
+        rows = placed.withColumnRenamed("_place", "prefix")
+    else:
+        rows = running_range_cut(df, keys, order[0], order[1:], {"prefix": present})
+    return rows, pieces
+
+
+def expand_lists(rows: DataFrame, pieces: DataFrame, keys: list[str], piece_rows: int = 1000) -> DataFrame:
+    """The lists of chosen `rows` of `factorised_lists`, each in rows (columns of `rows`, piece, list).
+
+    `piece_rows` is that of the pieces. A row whose list is empty has one empty piece. Rows meet each piece by an equi-join,
+    which Spark can split where many rows of one group are chosen.
+    """
+    last = F.greatest(F.call_function("div", F.col("prefix") - 1, F.lit(piece_rows)), F.lit(0).cast("long"))
+    wanted = rows.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    found = join_null_safe(wanted, pieces, [*keys, "piece"], "left")
+    length = F.least(F.lit(piece_rows), F.col("prefix") - F.col("piece") * piece_rows).cast("int")
+    empty = F.array().cast(pieces.schema["list"].dataType)
+    return found.withColumn("list", F.when(length > 0, F.slice("list", F.lit(1), length)).otherwise(empty))

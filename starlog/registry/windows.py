@@ -61,6 +61,29 @@ def win_frame_list(spark, d):
     return lists.withColumn("list", F.concat_ws(",", F.col("list").cast("array<string>")))
 
 
+_RUNNING_LISTS = f"""WITH {std.EMPLOYEES}, placed AS (SELECT *, row_number() OVER (PARTITION BY dept ORDER BY salary, id) AS n FROM emp)
+SELECT c.id, c.dept, c.salary, (e.n - 1) // 1000 AS piece, string_agg(CAST(e.id AS VARCHAR), ',' ORDER BY e.n) AS list
+FROM placed c JOIN placed e ON c.dept = e.dept AND {{frame}} WHERE c.id % 50 = 0 GROUP BY ALL"""
+
+
+def _running_lists(spark, d, frame):
+    rows, pieces = win.factorised_lists(std.employees(spark, d), ["dept"], ["salary", "id"], "id", frame)
+    lists = win.expand_lists(rows.where("id % 50 = 0"), pieces, ["dept"])
+    return lists.withColumn("list", F.concat_ws(",", F.col("list").cast("array<string>"))).drop("prefix")
+
+
+@query(_RUNNING_LISTS.format(frame="e.n <= c.n"))
+def win_running_lists(spark, d):
+    """The list of all employees up to a row, for the rows whose id is divisible by 50."""
+    return _running_lists(spark, d, "rows")
+
+
+@query(_RUNNING_LISTS.format(frame="e.salary <= c.salary"))
+def win_running_lists_range(spark, d):
+    """The same where rows of one salary share a list."""
+    return _running_lists(spark, d, "range")
+
+
 @query(f"""WITH {std.EMPLOYEES} SELECT id, dept, salary, rank() OVER w AS rank, dense_rank() OVER w AS dense_rank,
   percent_rank() OVER w AS percent_rank FROM emp WINDOW w AS (PARTITION BY dept ORDER BY salary)""")
 def win_ranking(spark, d):

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,6 +57,56 @@ def test_first_label_containing(spark):
     assert out.count() == len(set(terms)) - 1
 
 
+def label_frames(spark, terms, labels):
+    return (
+        spark.createDataFrame([(t,) for t in terms], "city string"),
+        spark.createDataFrame(labels, "ordinal bigint, code string, label string"),
+    )
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_long_terms_against_brute_force(spark, seed):
+    pick = random.Random(seed)
+    labels = [(i, f"C{i}", "".join(pick.choices("abAé ", k=pick.randrange(0, 60)))) for i in range(60)]
+    terms = []
+    for _ in range(150):
+        text = pick.choice(labels)[2]
+        at = pick.randrange(0, len(text) + 1)
+        terms.append(text[at : at + pick.randrange(0, 30)] + pick.choice(["", "", "b", "x"]))
+    labels += [(7, "C7", "another label under one number"), (99, None, "aaaaaaaaaaaa without a code")]
+    terms += ["label under one", "aaaaaaaaaaa", "aaaaaaaaaaaa without"]
+    frame, texts = label_frames(spark, terms, labels)
+    out = joins.first_label_containing(frame, "city", texts, gram=4)
+    want = {}
+    for term in set(terms):
+        hits = [(n, code or "") for n, code, label in labels if term.lower() in label.lower()]
+        want[term] = (min(hits)[1] or None) if hits else None
+    assert {r.city: r.code for r in out.collect()} == want and out.count() == len(want)
+
+
+def candidates(spark, n, label, term):
+    """How many substrings are cut for n labels and terms made from their numbers."""
+    labels = [(i, f"C{i}", label(i)) for i in range(n)]
+    terms = sorted({term(i) for i in range(n)})
+    frame, texts = label_frames(spark, terms, labels)
+    texts = joins._label_texts(texts)
+    cut = joins.cut_candidates(frame.select(F.lower("city").alias("_term")), texts, 8)
+    assert {r._term for r in cut.join(frame.select(F.lower("city").alias("_term")), "_term").collect()} == {
+        t.lower() for t in terms if any(t.lower() in x[2].lower() for x in labels)
+    }
+    return cut.count()
+
+
+def test_a_shared_beginning_makes_no_pairs(spark):
+    shared = "the very same long beginning of all "
+    for label, term in (
+        (lambda i: f"{shared}{i:07d}, NY", lambda i: f"same long beginning of all {i // 10:06d}"),
+        (lambda i: shared + "z" * (i % 50), lambda i: shared[: 9 + i % 20]),  # every substring is frequent
+    ):
+        small, large = (candidates(spark, n, label, term) for n in (500, 2000))
+        assert small <= 25 * 500 and large <= 4.5 * small
+
+
 def test_added_label_keeps_every_row(spark):
     labels = spark.createDataFrame([(5, "B", "Bergen and Bern"), (2, "A", "Bern")], "ordinal bigint, code string, label string")
     rows = spark.createDataFrame([(1, "bern"), (2, "BERN"), (3, None), (4, "Oslo"), (5, "bergen")], "id int, city string")

@@ -126,3 +126,12 @@ def test_plays_of_a_hot_artist_stay_whole(spark, hot):
     songs = spark.createDataFrame([("S1", "A1", "Hit"), ("S2", "A1", "Hit"), ("S3", "A2", "Song 1")], "song_id string, artist_id string, artist_name string")
     with settings(spark, **SMALL):
         assert star.plays_by_artist(log, songs).groupBy("artist_id").count().where("artist_id = 'A1'").first()["count"] == 20_000
+
+
+def test_pieces_of_a_hot_list_are_spread(spark, hot):
+    rows, pieces = win.factorised_lists(hot, ["userId"], ["event"], "event", piece_rows=500)
+    of_hot = pieces.where("userId = 'hot'")
+    assert of_hot.count() == 20 and of_hot.select(F.spark_partition_id().alias("p")).distinct().count() > 4
+    lists = win.expand_lists(rows.where("userId = 'hot' AND event % 1000 = 0"), pieces, ["userId"], piece_rows=500)
+    sizes = {r.event: r.n for r in lists.groupBy("event").agg(F.sum(F.size("list")).alias("n")).collect()}
+    assert sizes == {e: e // 2 + 1 for e in range(0, 20_000, 1000)}

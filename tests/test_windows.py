@@ -178,3 +178,31 @@ def test_ties_share_a_running_total(spark):
     out = win.running_range_stats(spark.createDataFrame(people, SCHEMA), ["dept"], "salary", "salary")
     got = {r.id: r.total for r in out.collect()}
     assert got == {3: 15, 1: 225, 2: 225, 6: 225, 4: 8, 5: 26, 7: 26}
+
+
+@pytest.mark.parametrize("frame_kind", ["rows", "range"])
+def test_factorised_lists_hold_every_running_list(frame, rows, frame_kind):
+    ordered, pieces = win.factorised_lists(frame, ["dept"], ["salary", "id"], "salary", frame_kind, piece_rows=7)
+    held = pieces.collect()
+    assert max(len(r.list) for r in held) <= 7 and sum(len(r.list) for r in held) == sum(r[2] is not None for r in rows)
+    lists = {}
+    for r in win.expand_lists(ordered, pieces, ["dept"], piece_rows=7).collect():
+        lists.setdefault(r.id, {})[r.piece] = r.list
+    assert len(lists) == len(rows)
+    for members in groups(rows).values():
+        for i, row in enumerate(members):
+            last = i if frame_kind == "rows" else max(j for j, m in enumerate(members) if m[2] == row[2])
+            found = lists[row[0]]
+            assert sorted(found) == list(range(len(found)))
+            assert [x for piece in sorted(found) for x in found[piece]] == [m[2] for m in members[: last + 1] if m[2] is not None]
+
+
+def test_range_lists_descend_and_place_ties(spark):
+    frame = spark.createDataFrame([(1, "a", 5), (2, "a", 5), (3, "a", 9), (4, "a", None)], SCHEMA)
+    rows, pieces = win.factorised_lists(frame, ["dept"], ["-salary", "id"], "id", "range")
+    assert {r.id: r.prefix for r in rows.collect()} == {3: 1, 1: 3, 2: 3, 4: 4}
+    assert [r.list for r in pieces.collect()] == [[3, 1, 2, 4]]
+    empty = win.factorised_lists(frame.limit(0), ["dept"], ["salary", "id"], "id", "rows")
+    assert win.expand_lists(*empty, ["dept"]).collect() == []
+    with pytest.raises(ValueError):
+        win.factorised_lists(frame, ["dept"], ["salary", "id"], "id", "groups")
