@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,9 +14,11 @@ from starlog.operators import quality
 from starlog.operators.filters import PLAY_PAGE
 from starlog.plans import star
 from starlog.schemas import conform
-from starlog.sinks.files import load_dimension, stage, write_parquet
-from starlog.sinks.tables import append_new
-from starlog.sources.files import read_by_name, read_mapped, read_path_mapping
+from starlog.sinks.files import stage, write_parquet
+from starlog.sinks.ledger import RunLedger
+from starlog.sinks.tables import VersionedTables, append_new
+from starlog.sources import loading
+from starlog.sources.files import read_path_mapping
 
 #: What tells two plays apart: their md5 key alone repeats within one second of a session.
 PLAY_KEY = ["playid", "item", "userid", "songid"]
@@ -33,6 +35,15 @@ NAMES = {
 }
 
 
+#: The dimensions of the scheduled star, which change over together.
+DIMENSIONS = ("users", "songs", "artists", "time")
+
+
+def dimensions(spark: SparkSession, out: str) -> VersionedTables:
+    """The dimensions of the scheduled star below `out`."""
+    return VersionedTables(spark, f"{out}/dimensions")
+
+
 def load_star(
     spark: SparkSession,
     log: DataFrame,
@@ -41,54 +52,77 @@ def load_star(
     run_time: datetime,
     page: str = PLAY_PAGE,
     fraction: str = "truncate",
+    again: bool = False,
 ) -> DataFrame:
     """Load the scheduled star schema below `out` and return the passed quality results.
 
     Sources are staged once and read back, the fact is appended by PLAY_KEY, the dimensions are
-    refreshed in full, and every table must hold rows. Running it again adds no fact twice. The
+    written as a new version, every table must hold rows, and only then the dimensions change over, all at once.
+    A ledger keeps the finished steps of the run time, so that a run that failed is taken up at the step it failed in; with
+    `again` all steps run anew, which adds no fact twice. The
     staged lengths and coordinates lose their fraction as `fraction` says.
     """
+    ledger = RunLedger(spark, f"{out}/runs", f"{run_time:%Y-%m-%d-%H}")
+    if again:
+        ledger.forget()
     template = f"{out}/staging/{{table}}/{{execution_date:%Y-%m-%d-%H}}"
-    log = spark.read.parquet(stage(log, template, run_time, table="events"))
     whole = {c: drop_fraction(F.col(c), fraction) for c in ("duration", "artist_latitude", "artist_longitude")}
-    song_data = spark.read.parquet(stage(song_data.withColumns(whole), template, run_time, table="songs"))
+    sources = {"events": log, "songs": song_data.withColumns(whole)}
+    log, song_data = (
+        spark.read.parquet(ledger.step(f"stage-{name}", lambda: stage(source, template, run_time, table=name)))
+        for name, source in sources.items()
+    )
 
     plays = star.plays_scheduled(log, song_data, fraction, page, with_item=True)
     plays = conform(plays, T.StructType([*schemas.SCHEDULED_PLAYS.schema.fields, T.StructField("item", T.IntegerType())]))
     plays = plays.withColumns({"year": F.year("start_time"), "month": F.month("start_time")})
-    append_new(plays, f"{out}/songplays", PLAY_KEY, by=("year", "month"))
+    ledger.step("append-songplays", lambda: append_new(plays, f"{out}/songplays", PLAY_KEY, by=("year", "month")))
     fact = spark.read.schema(plays.schema).parquet(f"{out}/songplays")
 
     users = star.users(log, "distinct", numeric_id=True, page=page)
-    dimensions = {
+    fresh = {
         "users": conform(users.withColumnsRenamed(NAMES), schemas.SCHEDULED_USERS),
         "songs": conform(star.songs(song_data, "distinct").withColumnsRenamed(NAMES), schemas.SCHEDULED_SONGS),
         "artists": conform(star.artists(song_data, "distinct").withColumnsRenamed(NAMES), schemas.SCHEDULED_ARTISTS),
         "time": conform(star.time_scheduled(fact), schemas.SCHEDULED_TIME),
     }
-    for name, table in dimensions.items():
-        load_dimension(table, f"{out}/{name}", clear=True)
+    tables = dimensions(spark, out)
+    version = ledger.step("begin-dimensions", tables.begin)
+    for name in DIMENSIONS:
+        ledger.step(f"load-{name}", lambda: tables.write(version, name, fresh[name]))
 
-    tables = {name: spark.read.parquet(f"{out}/{name}") for name in dimensions}
-    checks = [quality.row_count(name, table) for name, table in {"songplays": fact, **tables}.items()]
-    return quality.require(quality.run_checks(checks))
+    written = {"songplays": fact} | {name: tables.read(name, version) for name in DIMENSIONS}
+    checks = quality.require(quality.run_checks([quality.row_count(name, table) for name, table in written.items()]))
+    ledger.step("change-over", lambda: tables.finish(version))
+    return checks
 
 
 def load_warehouse(
-    spark: SparkSession, log_path: str, mapping_path: str, song_path: str, out: str, page: str = PLAY_PAGE
+    spark: SparkSession,
+    log_path: str,
+    mapping_path: str,
+    song_path: str,
+    out: str,
+    page: str = PLAY_PAGE,
+    started: datetime | None = None,
+    max_rejected: int | None = None,
 ) -> dict[str, DataFrame]:
     """Load the warehouse star below `out` and return its tables.
 
-    The log is staged through a mapping file and the songs by name. Then the five tables are replaced:
+    The log is staged through a mapping file and the songs by name; lines that do not fit are told in the
+    error table `load_errors`, and more than `max_rejected` of them stop the load. Then the five tables are replaced:
     plays of catalogued artists numbered from 0, each user's latest rows, distinct songs and artists, and
     the times of plays.
     """
-    log = read_mapped(spark, log_path, read_path_mapping(spark, mapping_path), schemas.STAGED_EVENTS)
-    songs = read_by_name(spark, song_path, schemas.STAGED_SONGS)
-    staged = {"staging_events": log, "staging_songs": songs}
-    for name, table in staged.items():
-        write_parquet(table, f"{out}/{name}")
-    log, songs = (spark.read.parquet(f"{out}/{name}") for name in staged)
+    started = started or datetime.now(timezone.utc)
+    errors = loading.ErrorTable(spark, f"{out}/load_errors")
+    checked = {
+        "staging_events": loading.json_mapped(spark, log_path, read_path_mapping(spark, mapping_path), schemas.STAGED_EVENTS),
+        "staging_songs": loading.json_by_name(spark, song_path, schemas.STAGED_SONGS),
+    }
+    log, songs = (
+        loading.load(rows, f"{out}/{name}", errors, name, started, max_rejected) for name, rows in checked.items()
+    )
     tables = {
         "songplays": star.with_serial(star.plays_by_artist(log, songs, True, page, with_item=True), start=0),
         "users": star.users(log, "latest", numeric_id=True, page=page),

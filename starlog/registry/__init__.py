@@ -33,4 +33,4 @@ def query(sql: str | None = None):
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from starlog.registry import aggregates, expressions, joins, loads, quality, reports, scans, star, windows  # noqa: F401
+    from starlog.registry import aggregates, damage, expressions, joins, loads, quality, reports, scans, star, windows  # noqa: F401

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from datetime import datetime
-from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -13,9 +12,10 @@ from starlog.registry import query
 from starlog.registry import standins as std
 from starlog.session import scratch_path
 from starlog.sinks import tables
+from starlog.sinks.bucketed import BucketedTable
 from starlog.sinks.files import write_parquet
 from starlog.sources.files import read_table
-from starlog.streaming.ingest import ingest_log
+from starlog.streaming.ingest import ingest_log, users_table
 
 
 @query("SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderstatus = 'F' THEN 'first' ELSE 'second' END AS loaded FROM orders")
@@ -61,13 +61,13 @@ def insert_if_absent_partitioned(spark, d):
 FROM events GROUP BY user_id""")
 def upsert_latest_level(spark, d):
     """Users upserted from two batches in time order, the second one twice."""
-    table = tables.VersionedTable(spark, scratch_path(spark, "upserted"))
+    table = BucketedTable(spark, scratch_path(spark, "upserted"), "user_id", buckets=16)
     events = read_table(spark, d, "events").select(
         "user_id", F.col("event_type").alias("first_type"), F.col("event_type").alias("latest_type"), "ts", "event_id"
     )
     cut = F.lit("2024-01-16").cast("timestamp_ntz")
     for batch in (events.where(F.col("ts") < cut), events.where(F.col("ts") >= cut), events.where(F.col("ts") >= cut)):
-        tables.upsert(batch, table, "user_id", ["ts", "event_id"], ["latest_type"])
+        tables.upsert(batch, table, ["ts", "event_id"], ["latest_type"])
     return table.read()
 
 
@@ -84,56 +84,62 @@ def append_late_plays(spark, d):
     return std.longs(spark.read.parquet(path))
 
 
-_GATE = """SELECT 'row_count' AS "check", '{t}' AS subject, ({n}) AS measured, '>' AS comparison,
-  CAST(0 AS BIGINT) AS expected, TRUE AS passed"""
-
-
-@query(f"WITH {std.SONG_LOG}, {std.SONGS} " + " UNION ALL ".join([
-    _GATE.format(t="songplays", n="""SELECT COUNT(*) FROM log LEFT JOIN songs ON log.song = songs.title AND log.artist = songs.artist_name
-      AND trunc(log.length) = trunc(songs.duration) WHERE page = 'view'"""),
-    _GATE.format(t="users", n="SELECT COUNT(*) FROM (SELECT DISTINCT userId, firstName, lastName, gender, level FROM log WHERE page = 'view')"),
-    _GATE.format(t="songs", n="SELECT COUNT(*) FROM (SELECT DISTINCT song_id, title, artist_id, year, duration FROM songs)"),
-    _GATE.format(t="artists", n="SELECT COUNT(*) FROM (SELECT DISTINCT artist_id, artist_name, artist_location, artist_latitude, artist_longitude FROM songs)"),
-    _GATE.format(t="time", n="""SELECT COUNT(*) FROM log LEFT JOIN songs ON log.song = songs.title AND log.artist = songs.artist_name
-      AND trunc(log.length) = trunc(songs.duration) WHERE page = 'view'"""),
+_SCHEDULED = f"""{std.SONG_LOG}, {std.SONGS},
+  plays AS (SELECT md5(CAST(sessionId AS VARCHAR) || CAST(make_timestamp(ts // 1000 * 1000000) AS VARCHAR)) AS playid,
+    make_timestamp(ts // 1000 * 1000000) AS t, CAST(userId AS BIGINT) AS userid, level, song_id AS songid, songs.artist_id AS artistid,
+    sessionId AS sessionid, location, userAgent AS user_agent, itemInSession AS item
+  FROM log LEFT JOIN songs ON log.song = songs.title AND log.artist = songs.artist_name AND trunc(log.length) = trunc(songs.duration)
+  WHERE page = 'view')"""
+_WHOLE = "::DECIMAL(18,0)::BIGINT"
+
+
+@query(f"WITH {_SCHEDULED} " + " UNION ALL ".join([
+    std.lines_sql("songplays", """artistid; item; level; location; month(t); playid; sessionid; songid; t; user_agent; userid; year(t)""", "plays"),
+    std.lines_sql("users", "firstName; gender; lastName; level; userId::BIGINT",
+                  "(SELECT DISTINCT userId, firstName, lastName, gender, level FROM log WHERE page = 'view')"),
+    std.lines_sql("songs", f"artist_id; trunc(duration){_WHOLE}; song_id; title; year",
+                  "(SELECT DISTINCT song_id, title, artist_id, year, duration FROM songs)"),
+    std.lines_sql("artists", f"artist_id; trunc(artist_latitude){_WHOLE}; artist_location; trunc(artist_longitude){_WHOLE}; artist_name",
+                  "(SELECT DISTINCT artist_id, artist_name, artist_location, artist_latitude, artist_longitude FROM songs)"),
+    std.lines_sql("time", "day(t); hour(t); month(t); t; week(t); dayofweek(t); year(t)", "plays"),
 ]))
 def scheduled_load(spark, d):
-    """The scheduled load run twice for one hour, with its quality gate."""
+    """The scheduled load run twice for one hour: all rows of its five tables."""
     out = scratch_path(spark, "star")
-    for _ in range(2):
-        passed = warehouse.load_star(spark, std.log(spark, d, with_songs=True), std.songs(spark, d), out, datetime(2018, 11, 2, 5), std.PLAY)
-    return passed
-
-
-def _lines(table: str, columns: str, source: str) -> str:
-    """SELECT of a table's rows as text, as `_as_lines` writes them."""
-    values = ", ".join(f"coalesce(CAST({c.strip()} AS VARCHAR), '')" for c in columns.split(";"))
-    return f"SELECT '{table}' AS \"table\", concat_ws('|', {values}) AS row FROM {source}"
-
-
-def _as_lines(loaded):
-    """The rows of several tables as (table, row), columns in name order."""
-    parts = [
-        df.select(
-            F.lit(name).alias("table"),
-            F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in sorted(df.columns)]).alias("row"),
-        )
-        for name, df in loaded.items()
-    ]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    log, songs = std.log(spark, d, with_songs=True), std.songs(spark, d)
+    for again in (False, True):
+        warehouse.load_star(spark, log, songs, out, datetime(2018, 11, 2, 5), std.PLAY, again=again)
+    dimensions = warehouse.dimensions(spark, out)
+    loaded = {"songplays": spark.read.parquet(f"{out}/songplays")} | {n: dimensions.read(n) for n in warehouse.DIMENSIONS}
+    return std.as_lines(loaded)
+
+
+@query("""SELECT 'replaced' AS mode, c_custkey, c_name, 1 AS rows FROM customer WHERE c_custkey % 2 = 1
+UNION ALL SELECT 'added', c_custkey, c_name, 1 + c_custkey % 2 FROM customer""")
+def dimension_load_modes(spark, d):
+    """A dimension loaded in whole and then in part, replacing or adding."""
+    names = read_table(spark, d, "customer").select("c_custkey", "c_name")
+    kept = []
+    for mode, clear in (("replaced", True), ("added", False)):
+        table = tables.VersionedTable(spark, scratch_path(spark, "dimension"))
+        for rows in (names, names.where("c_custkey % 2 = 1")):
+            tables.load_dimension(rows, table, clear)
+        counted = table.read().groupBy("c_custkey", "c_name").agg(F.count("*").alias("rows"))
+        kept.append(counted.withColumn("mode", F.lit(mode)))
+    return kept[0].unionByName(kept[1])
 
 
 @query(f"""WITH {std.SONG_LOG}, {std.SONGS}, stamped AS (SELECT *, make_timestamp(ts * 1000) AS t FROM log WHERE page = 'view'),
   plays AS (SELECT *, row_number() OVER (ORDER BY ts, sessionId, itemInSession, userId::BIGINT, song_id) - 1 AS id
     FROM (SELECT stamped.*, song_id, artist_id FROM stamped JOIN songs ON artist = artist_name))
 """ + " UNION ALL ".join([
-    _lines("songplays", "artist_id; level; location; month(t); sessionId; song_id; id; ts; userAgent; userId::BIGINT; year(t)", "plays"),
-    _lines("users", "firstName; gender; lastName; level; userId", """(SELECT DISTINCT firstName, gender, lastName, level, userId
+    std.lines_sql("songplays", "artist_id; level; location; month(t); sessionId; song_id; id; ts; userAgent; userId::BIGINT; year(t)", "plays"),
+    std.lines_sql("users", "firstName; gender; lastName; level; userId", """(SELECT DISTINCT firstName, gender, lastName, level, userId
       FROM stamped WHERE (userId, ts) IN (SELECT (userId, MAX(ts)) FROM stamped GROUP BY userId))"""),
-    _lines("songs", "artist_id; duration; song_id; title; year", "(SELECT DISTINCT artist_id, duration, song_id, title, year FROM songs)"),
-    _lines("artists", "artist_id; artist_latitude::DECIMAL(9,6); artist_location; artist_longitude::DECIMAL(9,6); artist_name",
+    std.lines_sql("songs", "artist_id; duration; song_id; title; year", "(SELECT DISTINCT artist_id, duration, song_id, title, year FROM songs)"),
+    std.lines_sql("artists", "artist_id; artist_latitude::DECIMAL(9,6); artist_location; artist_longitude::DECIMAL(9,6); artist_name",
            "(SELECT DISTINCT artist_id, artist_latitude, artist_location, artist_longitude, artist_name FROM songs)"),
-    _lines("time", "day(t); hour(t); month(t); ts; week(t); dayofweek(t); year(t)", "(SELECT DISTINCT ts, t FROM stamped)"),
+    std.lines_sql("time", "day(t); hour(t); month(t); ts; week(t); dayofweek(t); year(t)", "(SELECT DISTINCT ts, t FROM stamped)"),
 ]))
 def warehouse_load(spark, d):
     """The warehouse load from JSON files: all rows of its five tables."""
@@ -142,7 +148,7 @@ def warehouse_load(spark, d):
     std.songs(spark, d).withColumnsRenamed({"song_id": "SONG_ID", "title": "Title"}).write.json(f"{path}/in/songs")
     paths = F.array(*[F.lit(f"$['{field.name}']") for field in schemas.LOG.fields])
     spark.range(1).select(F.to_json(F.struct(paths.alias("jsonpaths"))).alias("value")).write.text(f"{path}/in/mapping")
-    return _as_lines(
+    return std.as_lines(
         warehouse.load_warehouse(spark, f"{path}/in/log", f"{path}/in/mapping", f"{path}/in/songs", f"{path}/out", std.PLAY)
     )
 
@@ -173,7 +179,7 @@ def _ingest(spark, d):
 FROM log WHERE page = 'view' GROUP BY userId""")
 def stream_users(spark, d):
     """Users after incremental ingest of three deliveries."""
-    return std.longs(tables.VersionedTable(spark, f"{_ingest(spark, d)}/users").read())
+    return std.longs(users_table(spark, _ingest(spark, d)).read())
 
 
 @query(f"""WITH {std.SONG_LOG}, {std.SONGS}, plays AS (SELECT ts AS start_time, CAST(userId AS BIGINT) AS user_id, level,

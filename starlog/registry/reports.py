@@ -49,37 +49,41 @@ def fact_month_of_year(spark, d):
     return std.iso(imm.arrival_facts(_arrivals(spark, d), _temperatures(spark, d), "month_of_year"))
 
 
-_FACT_ROWS = "SELECT COUNT(*) FROM arrivals a LEFT JOIN temps t ON a.i94port = t.i94port AND {on}"
-
-
-def _gate(check, subject, measured, comparison, expected, test):
-    return (
-        f"SELECT '{check}' AS \"check\", '{subject}' AS subject, measured, '{comparison}' AS comparison, "
-        f"CAST({expected} AS BIGINT) AS expected, {test} AS passed FROM (SELECT CAST(({measured}) AS BIGINT) AS measured)"
-    )
-
-
-def _gates(on):
-    fact = _FACT_ROWS.format(on=on)
+def _rows(on):
+    """The rows of the three tables, and the checks on them, as text."""
+    fact = f"arrivals a LEFT JOIN temps t ON a.i94port = t.i94port AND {on}"
     arrived = "(SELECT COUNT(*) FROM arrivals)"
+    checks = " UNION ALL ".join(
+        f"SELECT {values} FROM (SELECT ({measured}) AS m)"
+        for values, measured in [
+            ("'row_count' AS c, '>' AS o, 0 AS e, m, m > 0 AS p, 'immigration' AS s", "SELECT COUNT(*) FROM arrivals"),
+            ("'row_count', '>', 0, m, m > 0, 'temperature'", "SELECT COUNT(*) FROM temps"),
+            ("'row_count', '>', 0, m, m > 0, 'fact'", f"SELECT COUNT(*) FROM {fact}"),
+            (f"'same_count', '=', {arrived}, m, m = {arrived}, 'fact and immigration'", f"SELECT COUNT(*) FROM {fact}"),
+            ("'no_nulls', '=', 0, m, m = 0, 'fact(dt, i94port)'", "SELECT 0"),
+        ]
+    )
     return " UNION ALL ".join([
-        _gate("row_count", "immigration", "SELECT COUNT(*) FROM arrivals", ">", 0, "measured > 0"),
-        _gate("row_count", "temperature", "SELECT COUNT(*) FROM temps", ">", 0, "measured > 0"),
-        _gate("row_count", "fact", fact, ">", 0, "measured > 0"),
-        _gate("same_count", "fact and immigration", fact, "=", arrived, f"measured = {arrived}"),
-        _gate("no_nulls", "fact(dt, i94port)", "SELECT 0", "=", 0, "measured = 0"),
+        std.lines_sql("immigration", "dt; i94addr; i94port", "arrivals"),
+        std.lines_sql("temperature", "AverageTemperature; City; Country; dt; i94port", "temps"),
+        std.lines_sql("fact", "AverageTemperature; dt; i94port", f"(SELECT a.dt, a.i94port, AverageTemperature FROM {fact})"),
+        std.lines_sql("checks", "c; o; e; m; p; s", f"({checks})"),
     ])
 
 
-@query(f"WITH {_ARRIVALS}, {_TEMPERATURES} {_gates('a.dt = t.dt')}")
-def immigration_load(spark, d):
-    """The three tables written by port, with the checks on what was written."""
+def _written(spark, d, align):
     out = scratch_path(spark, "immigration")
-    return imm.write_arrivals(spark, _arrivals(spark, d), _temperatures(spark, d), out)
+    checks = imm.write_arrivals(spark, _arrivals(spark, d), _temperatures(spark, d), out, align=align)
+    return std.as_lines({name: spark.read.parquet(f"{out}/{name}") for name in ("immigration", "temperature", "fact")} | {"checks": checks})
+
 
+@query(f"WITH {_ARRIVALS}, {_TEMPERATURES} {_rows('a.dt = t.dt')}")
+def immigration_load(spark, d):
+    """The three tables written by port, read back, and the checks on what was written."""
+    return _written(spark, d, "date")
 
-@query(f"WITH {_ARRIVALS}, {_TEMPERATURES} {_gates('month(a.dt) = month(t.dt)')}")
+
+@query(f"WITH {_ARRIVALS}, {_TEMPERATURES} {_rows('month(a.dt) = month(t.dt)')}")
 def immigration_load_fan_out(spark, d):
     """The same matched by month of year, where the count check finds the repeated arrivals."""
-    out = scratch_path(spark, "immigration")
-    return imm.write_arrivals(spark, _arrivals(spark, d), _temperatures(spark, d), out, align="month_of_year")
+    return _written(spark, d, "month_of_year")

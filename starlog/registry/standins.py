@@ -5,6 +5,8 @@ Each frame has its SQL counterpart, a CTE, next to it.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -181,3 +183,21 @@ TEMPERATURE_RECORDS = """trecords AS (SELECT dt, quantity || '.125' AS AverageTe
     FROM (SELECT s_nationkey, strftime(l_shipdate, '%Y-%m-01') AS dt, CAST(SUM(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity
           FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_returnflag = 'R' GROUP BY 1, 2)
     JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
+
+
+def lines_sql(table: str, columns: str, source: str) -> str:
+    """SELECT of a table's rows as text, as `as_lines` writes them; the columns in name order, apart by semicolons."""
+    values = ", ".join(f"coalesce(CAST({c.strip()} AS VARCHAR), '')" for c in columns.split(";"))
+    return f"SELECT '{table}' AS \"table\", concat_ws('|', {values}) AS row FROM {source}"
+
+
+def as_lines(loaded: dict[str, DataFrame]) -> DataFrame:
+    """The rows of several tables as (table, row), columns in name order."""
+    parts = [
+        df.select(
+            F.lit(name).alias("table"),
+            F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in sorted(df.columns)]).alias("row"),
+        )
+        for name, df in loaded.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)

@@ -166,6 +166,11 @@ ARRIVAL_FACTS = Contract(
 )
 
 
+def max_length(field: T.StructField) -> int | None:
+    """How many characters a text field may hold, None without a limit."""
+    return field.metadata.get("max_length")
+
+
 def conform(df: DataFrame, contract: Contract | T.StructType) -> DataFrame:
     """The contract's columns in its order and types; bad values and missing columns become NULL.
 

@@ -6,6 +6,8 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starlog.session import file_system
+
 
 def write_parquet(df: DataFrame, path: str, by: tuple[str, ...] = (), mode: str = "overwrite") -> None:
     """Write parquet, optionally in one directory per value of the `by` columns.
@@ -28,8 +30,10 @@ def write_sorted(df: DataFrame, path: str, order: list[str]) -> None:
 
 
 def write_once(df: DataFrame, path: str) -> None:
-    """Write parquet unless the path already holds data."""
-    df.write.mode("ignore").parquet(path)
+    """Write parquet unless the path already holds a finished copy; what an interrupted write left is replaced."""
+    fs, done = file_system(df.sparkSession, f"{path}/_SUCCESS")
+    if not fs.exists(done):
+        write_parquet(df, path)
 
 
 def stage(df: DataFrame, template: str, run_time: datetime, **names: str) -> str:
@@ -42,11 +46,6 @@ def stage(df: DataFrame, template: str, run_time: datetime, **names: str) -> str
     return path
 
 
-def load_dimension(df: DataFrame, path: str, clear: bool = False) -> None:
-    """Replace the table's rows or add to them."""
-    write_parquet(df, path, mode="overwrite" if clear else "append")
-
-
 def write_tsv(df: DataFrame, path: str) -> None:
     """Tab-separated rows with header, NULL as empty."""
     (

@@ -12,6 +12,7 @@ from starlog.operators.dedupe import first_and_last, first_row_per_key
 from starlog.operators.filters import without_nulls
 from starlog.operators.joins import join_null_safe
 from starlog.session import file_system
+from starlog.sinks.bucketed import BucketedTable
 from starlog.sinks.files import write_parquet
 
 
@@ -75,16 +76,54 @@ class VersionedTable:
                         raise
             number += 1
 
-    def replace(self, df: DataFrame) -> None:
+    def begin(self) -> int:
+        """Claim the number of a new version."""
         done = self.versions()
-        path = self._version_path(self._claim(done[-1] + 1 if done else 1))
-        write_parquet(df, path)
-        fs, marker = file_system(self.spark, f"{path}/{FINISHED}")
+        return self._claim(done[-1] + 1 if done else 1)
+
+    def finish(self, number: int) -> None:
+        """Let the version count from now on, and delete those before the `keep` newest."""
+        fs, marker = file_system(self.spark, f"{self._version_path(number)}/{FINISHED}")
         fs.create(marker).close()
-        for number in done[: -self.keep + 1] if self.keep > 1 else done:
-            fs, location = file_system(self.spark, self._version_path(number))
+        for old in self.versions()[: -self.keep]:
+            fs, location = file_system(self.spark, self._version_path(old))
             fs.delete(location, True)
 
+    def replace(self, df: DataFrame) -> None:
+        number = self.begin()
+        write_parquet(df, self._version_path(number))
+        self.finish(number)
+
+    def add(self, df: DataFrame) -> None:
+        """Append rows to the newest version."""
+        if self.exists():
+            write_parquet(df, self._version_path(self.versions()[-1]), mode="append")
+        else:
+            self.replace(df)
+
+
+class VersionedTables(VersionedTable):
+    """Several tables whose versions change over together: one directory of each below that of the version."""
+
+    def place(self, number: int, name: str) -> str:
+        return f"{self._version_path(number)}/{name}"
+
+    def write(self, number: int, name: str, df: DataFrame) -> None:
+        """Write a table of a version that is not finished."""
+        write_parquet(df, self.place(number, name))
+
+    def read(self, name: str, number: int | None = None) -> DataFrame:
+        """A table of the newest or the given version."""
+        return self.spark.read.parquet(self.place(self.versions()[-1] if number is None else number, name))
+
+
+def load_dimension(df: DataFrame, table: VersionedTable, clear: bool = False) -> None:
+    """Replace the table's rows or add to them; a failed replacement leaves them as they were."""
+    if clear:
+        table.replace(df)
+    else:
+        table.add(df)
+
 
 def _touched(target: DataFrame, batch: DataFrame, within: tuple[str, ...]) -> DataFrame:
     """The target partitions in the range of the batch's partition values.
@@ -157,6 +196,6 @@ def upserted(batch: DataFrame, target: DataFrame | None, key: str, order: list[s
     )
 
 
-def upsert(batch: DataFrame, table: VersionedTable, key: str, order: list[str], replaced: list[str]) -> None:
-    """Apply `upserted` and store the result as the table's next version."""
-    table.replace(upserted(batch, table.read() if table.exists() else None, key, order, replaced))
+def upsert(batch: DataFrame, table: BucketedTable, order: list[str], replaced: list[str]) -> list[int]:
+    """Apply `upserted` to the buckets of the table that the batch's keys lie in; returns these buckets."""
+    return table.apply(batch, lambda rows, held: upserted(rows, held, table.key, order, replaced))

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starlog.schemas import EVENT_CSV, LOG, SONG, Contract
 from starlog.sinks.files import write_once
+from starlog.sources import loading
 
 BAD_RECORD = "_bad_record"
 ARRIVAL = ["_file", "_block_start", "_line"]
@@ -99,23 +98,21 @@ def read_by_name(spark: SparkSession, path: str | list[str], contract: Contract)
 
 
 def read_path_mapping(spark: SparkSession, path: str) -> list[str]:
-    """Source field names, in target order, of a mapping file {"jsonpaths": ["$['artist']", …]}.
+    """The paths, in target order, of a mapping file {"jsonpaths": ["$['artist']", …]}; one small document is read.
 
-    One small document is read; only top-level fields are addressed.
+    A path to a top-level field is given by the field's name, a deeper one as it stands.
     """
     paths = spark.read.json(path, multiLine=True).select("jsonpaths").first()["jsonpaths"]
-    return [re.fullmatch(r"\$(?:\.|\[')(\w+)(?:'\])?", p).group(1) for p in paths]
+    steps = [loading.path_steps(p) for p in paths]
+    return [step[0] if len(step) == 1 else p for step, p in zip(steps, paths)]
 
 
 def read_mapped(spark: SparkSession, path: str | list[str], fields: list[str], contract: Contract) -> DataFrame:
-    """JSON whose i-th mapped field goes to the contract's i-th column."""
-    raw = T.StructType([T.StructField(name, T.StringType()) for name in fields])
-    return read_json(spark, path, raw).select(
-        *[
-            F.nullif(F.col(f"`{source}`"), F.lit("")).try_cast(target.dataType).alias(target.name)
-            for source, target in zip(fields, contract.schema.fields, strict=True)
-        ]
-    )
+    """JSON whose i-th mapped field goes to the contract's i-th column; rejected lines are left out.
+
+    `loading.json_mapped` with `loading.load` keeps what was wrong with them.
+    """
+    return loading.accepted(loading.json_mapped(spark, path, fields, contract))
 
 
 def read_csv_text(spark: SparkSession, path: str | list[str], multiline: bool = False) -> DataFrame:

@@ -11,14 +11,20 @@ from starlog.operators.filters import PLAY_PAGE, on_page
 from starlog.plans import star
 from starlog.schemas import LOG
 from starlog.session import materialise
+from starlog.sinks.bucketed import BucketedTable
 from starlog.sinks.files import write_parquet
-from starlog.sinks.tables import VersionedTable, insert_if_absent, upsert
+from starlog.sinks.tables import insert_if_absent, upsert
 
 EVENT_ORDER = ["ts", "sessionId", "itemInSession"]
 #: Play numbers of one batch start this far from those of the batch before.
 BATCH_STEP = 1 << 40
 
 
+def users_table(spark: SparkSession, out: str) -> BucketedTable:
+    """The users below `out`; a batch rewrites only the buckets of users who appear in it."""
+    return BucketedTable(spark, f"{out}/users", "user_id", buckets=16)
+
+
 def load_batch(batch: DataFrame, batch_id: int, out: str, lookup: DataFrame, page: str = PLAY_PAGE) -> None:
     """Load one batch of log rows; loading the same batch again changes nothing.
 
@@ -38,7 +44,7 @@ def load_batch(batch: DataFrame, batch_id: int, out: str, lookup: DataFrame, pag
         "level",
         *EVENT_ORDER,
     )
-    upsert(profiles, VersionedTable(spark, f"{out}/users"), "user_id", EVENT_ORDER, ["level"])
+    upsert(profiles, users_table(spark, out), EVENT_ORDER, ["level"])
     facts = star.with_serial(star.plays_relational(plays, lookup, page), start=batch_id * BATCH_STEP + 1)
     time = from_epoch_ms(F.col("start_time"))
     facts = facts.withColumns({"year": F.year(time), "month": F.month(time)})

@@ -11,6 +11,7 @@ from starlog.schemas import conform, create_table, drop_table
 from starlog.session import fit_shuffles, materialise, scratch_path, shared_folder
 from starlog.sinks import files as sinks
 from starlog.sinks import tables
+from starlog.sinks.bucketed import BucketedTable
 from starlog.sources import codes
 from starlog.sources import files as sources
 
@@ -157,14 +158,14 @@ def test_insert_if_absent_prunes_partitions(spark, path):
 
 
 def test_upsert_replaces_only_the_level(spark, path):
-    table = tables.VersionedTable(spark, path, keep=2)
+    table = BucketedTable(spark, path, "user_id", buckets=3, keep=2)
     names = "user_id int, first_name string, level string, ts int"
     first = spark.createDataFrame([(1, "Ann", "free", 1), (1, "Anna", "paid", 2), (2, "Bob", "free", 1), (None, "?", "free", 1)], names)
     second = spark.createDataFrame([(1, "Other", "free", 3), (3, "Cy", "paid", 3)], names)
     for batch in (first, second, second, second):
-        tables.upsert(batch, table, "user_id", ["ts"], ["level"])
+        tables.upsert(batch, table, ["ts"], ["level"])
     assert sorted(map(tuple, table.read().collect())) == [(1, "Ann", "free"), (2, "Bob", "free"), (3, "Cy", "paid")]
-    assert table.versions() == [3, 4]
+    assert table.numbers() == [3, 4]
 
 
 def test_unfinished_version_is_ignored(spark, path):

@@ -1,8 +1,7 @@
 """Incremental ingest equals the batch result and can be repeated."""
 
 from starlog.plans import star
-from starlog.sinks.tables import VersionedTable
-from starlog.streaming.ingest import ingest_log, load_batch
+from starlog.streaming.ingest import ingest_log, load_batch, users_table
 from test_plans import MS, log_frame, song_frame
 
 
@@ -18,7 +17,7 @@ def tables_of(spark, out):
     assert len(set(numbers)) == len(numbers) and None not in numbers
     plays = plays.drop("songplay_id")  # it tells the batch
     return {
-        "users": sorted(map(tuple, VersionedTable(spark, f"{out}/users").read().collect())),
+        "users": sorted(map(tuple, users_table(spark, out).read().collect())),
         "time": sorted(map(tuple, spark.read.parquet(f"{out}/time").collect())),
         "plays": sorted(map(str, plays.select(sorted(plays.columns)).collect())),
     }
