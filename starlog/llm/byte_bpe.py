@@ -133,14 +133,35 @@ class Merger:
         return ids[kept], kept.sum(axis=1)
 
 
+class Tokens:
+    """The bytes of all tokens in one array."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.lengths = np.array([len(token) for token in tokens], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.data = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def decode(self, ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+        """The bytes of each text's tokens, joined; `ids` has those of all texts, `counts` how many each has."""
+        lengths = self.lengths[ids]
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        data = self.data[np.arange(total) + np.repeat(self.starts[ids] - (ends - lengths), lengths)]
+        offsets = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))]
+        return pa.Array.from_buffers(
+            pa.large_binary(), len(counts), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data)]
+        ).cast(pa.binary())
+
+
 class Encoder:
     """Texts to ids under a rank file and a splitting pattern, in one worker."""
 
     def __init__(self, path: str, pattern: str):
         import regex
 
-        self.tokens = read_ranks(path)
-        merge = Merger(self.tokens)
+        tokens = read_ranks(path)
+        merge = Merger(tokens)
+        self.tokens = Tokens(tokens)
         self.split = regex.compile(pattern).findall
         self.table = PieceTable(lambda pieces: merge([piece.encode() for piece in pieces]), limit=600_000)
 
@@ -179,13 +200,29 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     """Add `decoded` (binary) to doc_id and ids: the bytes of the tokens, joined. NULL ids have no bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = read_ranks(path).__getitem__
+        tokens = Tokens(read_ranks(path))
         for batch in batches:
             ids = batch.column("ids")
-            data = [b"".join(map(token, ids[i].values.tolist() if ids[i].is_valid else ())) for i in range(len(ids))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), ids, pa.array(data, pa.binary())], ["doc_id", "ids", "decoded"]
-            )
+            counts = ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            data = tokens.decode(ids.flatten().to_numpy(zero_copy_only=False), counts)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids, data], ["doc_id", "ids", "decoded"])
 
     doc_type = encoded.schema["doc_id"].dataType.simpleString()
     return map_arrow(only(encoded, "doc_id", "ids"), run, f"doc_id {doc_type}, ids array<int>, decoded binary")
+
+
+def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """`encode` and `decode` in one pass: doc_id, ids and decoded."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = encoder(path, pattern)
+        for batch in batches:
+            for at, texts in text_batches(batch, "text"):
+                ids, counts = coder.encode(texts)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(at, len(texts)), binary_lists(ids, counts), coder.tokens.decode(ids, counts)],
+                    ["doc_id", "ids", "decoded"],
+                )
+
+    doc_type = docs.schema["doc_id"].dataType.simpleString()
+    return map_arrow(only(docs, "doc_id", "text"), run, f"doc_id {doc_type}, ids array<int>, decoded binary")

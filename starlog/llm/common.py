@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +47,8 @@ class PieceTable:
     """Token ids of text pieces, each distinct piece encoded once per worker.
 
     `encode` maps a list of new pieces to all their ids, one after the other, and how many each has;
-    `mark` gives each a small number. The ids lie in one flat array, a piece is a number into it. Beyond `limit` pieces the table starts afresh, so its memory is bounded
+    `mark` gives each a small number. The ids lie in one flat array, a piece is a number into it. Beyond `limit` pieces
+    the table forgets those that it met once only (all, if too few are), so its memory is bounded
     whatever the input; results do not depend on it.
     """
 
@@ -66,6 +68,19 @@ class PieceTable:
         self.start = np.zeros(1 << 14, np.int64)
         self.length = np.zeros(1 << 14, np.int64)
         self.marks = np.zeros(1 << 14, np.int8)
+        self.met = np.zeros(1 << 14, np.int64)
+
+    def _forget(self) -> None:
+        """Keep the pieces met more than once, if they are less than half of the limit."""
+        kept = np.flatnonzero(self.met[: len(self.number)] > 1)
+        if 2 * len(kept) > self.limit:
+            self._clear()
+            return
+        pieces = list(self.number)
+        ids, lengths = self.ids(kept)
+        marks = self.marks[kept]
+        self._clear()
+        self._add([pieces[at] for at in kept.tolist()], ids, lengths, marks)
 
     @staticmethod
     def _room(array: np.ndarray, size: int) -> np.ndarray:
@@ -75,27 +90,34 @@ class PieceTable:
         grown[: len(array)] = array
         return grown
 
-    def numbers(self, pieces: list[str]) -> np.ndarray:
-        """The number of every piece; new pieces are encoded first."""
-        try:
-            return np.fromiter(map(self.number.__getitem__, pieces), np.int64, len(pieces))
-        except KeyError:
-            if len(self.number) > self.limit:
-                self._clear()
-        new = list(set(pieces).difference(self.number))
-        ids, lengths = self.encode(new)
+    def _add(self, new: list[str], ids: np.ndarray, lengths: np.ndarray, marks: np.ndarray) -> None:
         at, total = len(self.number), len(ids)
+        stop = at + len(new)
         self.flat = self._room(self.flat, self.used + total)
-        self.start = self._room(self.start, at + len(new))
-        self.length = self._room(self.length, at + len(new))
-        self.marks = self._room(self.marks, at + len(new))
-        self.marks[at : at + len(new)] = np.fromiter(map(self.mark, new), np.int8, len(new))
+        self.start, self.length, self.marks, self.met = (
+            self._room(column, stop) for column in (self.start, self.length, self.marks, self.met)
+        )
+        self.marks[at:stop] = marks
         self.flat[self.used : self.used + total] = ids
-        self.length[at : at + len(new)] = lengths
-        self.start[at : at + len(new)] = self.used + np.cumsum(lengths) - lengths
+        self.length[at:stop] = lengths
+        self.start[at:stop] = self.used + np.cumsum(lengths) - lengths
         self.used += total
-        self.number.update(zip(new, range(at, at + len(new))))
-        return np.fromiter(map(self.number.__getitem__, pieces), np.int64, len(pieces))
+        self.number.update(zip(new, range(at, stop)))
+
+    def numbers(self, pieces: list[str]) -> np.ndarray:
+        """The number of every piece; new pieces are encoded first."""
+        found = np.fromiter(map(self.number.get, pieces, repeat(-1)), np.int64, len(pieces))
+        lacking = np.flatnonzero(found < 0).tolist()
+        if lacking:
+            if len(self.number) > self.limit:
+                self._forget()
+                return self.numbers(pieces)
+            named = [pieces[at] for at in lacking]
+            new = list(dict.fromkeys(named))
+            self._add(new, *self.encode(new), np.fromiter(map(self.mark, new), np.int8, len(new)))
+            found[lacking] = np.fromiter(map(self.number.__getitem__, named), np.int64, len(named))
+        self.met[: len(self.number)] += np.bincount(found, minlength=len(self.number))
+        return found
 
     def ids(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the numbered pieces one after the other, and how many each piece has."""

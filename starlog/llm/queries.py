@@ -153,8 +153,7 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = byte_bpe.encode(read_table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
-    decoded = byte_bpe.decode(encoded, BYTE_RANKS)
+    decoded = byte_bpe.round_trip(read_table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
     return decoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
