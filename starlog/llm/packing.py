@@ -11,7 +11,8 @@ which is kept unpadded. With x the cut positions and f the least cost up to a cu
 and as f(i) + x(i) does not depend on j, the minimum moves through a monotone queue in linear
 time; the few predecessors at a power-of-two distance are tried beside it.
 
-Edge cases: a NULL or empty text is a document of the end id alone; NULL and repeated doc ids are
+Edge cases: the string of a special token in a text is that token, as in the tokenizer's plain call, and ends
+no document; a NULL or empty text is a document of the end id alone; NULL and repeated doc ids are
 kept row by row; an empty table gives no rows; other columns are ignored.
 """
 
@@ -54,7 +55,6 @@ def word_table(path: str, end_id: int) -> PieceTable:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
 
     def encode(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Encoded in lines of a few pieces, which is faster than each alone; offsets tell them apart."""
