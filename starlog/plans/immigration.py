@@ -10,6 +10,7 @@ from starlog.operators import quality
 from starlog.operators.filters import complete, date_range
 from starlog.operators.joins import add_first_label, keep_listed
 from starlog.schemas import ARRIVAL_FACTS, ARRIVALS, TEMPERATURES, conform
+from starlog.sinks.co_located import join_co_located, write_co_located
 from starlog.sinks.files import write_parquet
 
 
@@ -66,6 +67,16 @@ def arrival_facts(arrived: DataFrame, temps: DataFrame, align: str = "date") ->
     raise ValueError(f"unknown alignment {align!r}")
 
 
+def co_located_facts(
+    spark: SparkSession, arrived: DataFrame, temps: DataFrame, out: str, names: tuple[str, str], buckets: int = 64, hot_rows: int = 1_000_000
+) -> DataFrame:
+    """`arrival_facts` by date over both tables stored in the same buckets, which join without an exchange."""
+    keys = ["i94port", "dt"]
+    weather = temps.select(*keys, "AverageTemperature")
+    write_co_located(arrived.select(*keys), weather, keys, names, out, buckets, hot_rows)
+    return join_co_located(spark, names, keys).select("dt", "i94port", "AverageTemperature")
+
+
 def write_arrivals(
     spark: SparkSession, arrived: DataFrame, temps: DataFrame, out: str, align: str = "date"
 ) -> DataFrame:

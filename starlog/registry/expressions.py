@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import functions as F
 
 from starlog.functions import calendar as cal
@@ -215,3 +217,14 @@ def limit_n(spark, d):
 def topk_recent(spark, d):
     events = read_table(spark, d, "events").select("event_id", "event_type", "ts")
     return std.iso(newest(events, "ts", 5, ties=("event_id",)))
+
+
+@query("SELECT c_custkey, TRUE AS is_now, TRUE AS same_second FROM customer")
+def load_stamped(spark, d):
+    """Rows marked with the time of their load and its epoch, which tell the same second."""
+    started = F.lit(datetime.now(timezone.utc)).cast("timestamp")
+    rows = read_table(spark, d, "customer").select("c_custkey").withColumns(cal.load_stamp())
+    late = F.unix_seconds("loaded_at") - F.unix_seconds(started)
+    return rows.select(
+        "c_custkey", late.between(-1, 3600).alias("is_now"), (F.unix_seconds("loaded_at") == F.col("loaded_epoch")).alias("same_second")
+    )

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from starlog.operators import quality as dq
 from starlog.operators.aggregates import duplicate_keys
+from starlog.operators.measures import PartitionMeasures
 from starlog.registry import query
 from starlog.registry import standins as std
+from starlog.session import scratch_path
+from starlog.sinks.files import write_parquet
 from starlog.sources.files import read_table
 
 
@@ -61,3 +66,27 @@ def dq_constraints(spark, d):
         dq.no_orphans("orders", orders, "o_custkey", customer, "c_custkey"),
         dq.no_orphans("events", events, "user_id", supplier, "s_suppkey"),
     ])
+
+
+@query("""WITH o AS (SELECT o_orderkey, nullif(o_custkey, 7) AS o_custkey, o_totalprice, strftime(o_orderdate, '%Y-%m') AS month FROM orders
+    WHERE o_orderstatus <> 'P' UNION ALL SELECT o_orderkey, o_custkey, o_totalprice, '2030-01' FROM orders WHERE o_orderstatus = 'P')
+SELECT 'o_orderkey' AS "column", COUNT(*) AS rows, COUNT(*) - COUNT(o_orderkey) AS nulls, CAST(MIN(o_orderkey) AS VARCHAR) AS low,
+  CAST(MAX(o_orderkey) AS VARCHAR) AS high, CAST(NULL AS BOOLEAN) AS passed FROM o
+UNION ALL SELECT 'o_custkey', COUNT(*), COUNT(*) - COUNT(o_custkey), CAST(MIN(o_custkey) AS VARCHAR), CAST(MAX(o_custkey) AS VARCHAR), NULL FROM o
+UNION ALL SELECT 'row_count', COUNT(*), NULL, NULL, NULL, COUNT(*) > 0 FROM o
+UNION ALL SELECT 'no_nulls', COUNT(*) FILTER (o_custkey IS NULL), NULL, NULL, NULL, COUNT(*) FILTER (o_custkey IS NULL) = 0 FROM o
+UNION ALL SELECT 'unique_key', 0, NULL, NULL, NULL, TRUE""")
+def dq_incremental(spark, d):
+    """Orders by month, measured month by month; a month that is delivered later is the only one then read."""
+    path = scratch_path(spark, "orders")
+    orders = read_table(spark, d, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", F.date_format("o_orderdate", "yyyy-MM").alias("month")
+    )
+    first = orders.where("o_orderstatus <> 'P'").withColumn("o_custkey", F.nullif("o_custkey", F.lit(7)))
+    late = orders.where("o_orderstatus = 'P'").withColumn("month", F.lit("2030-01"))
+    kept = PartitionMeasures(spark, path, f"{path}-measures", ["o_orderkey", "o_custkey"], ["o_custkey"], ["month", "o_orderkey"])
+    for part in (first, late):
+        write_parquet(part.drop("o_orderstatus"), path, by=("month",), mode="append")
+        kept.refresh()
+    checks = kept.checks("orders").select(F.col("check").alias("column"), F.col("measured").alias("rows"), "passed")
+    return kept.totals().unionByName(checks, allowMissingColumns=True)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from starlog.plans import immigration as imm
 from starlog.registry import query
 from starlog.registry import standins as std
@@ -43,6 +45,16 @@ def fact_left_2key(spark, d):
     return std.iso(imm.arrival_facts(_arrivals(spark, d), _temperatures(spark, d)))
 
 
+@query(f"""WITH {_ARRIVALS}, {_TEMPERATURES} SELECT CAST(a.dt AS VARCHAR) AS dt, a.i94port, AverageTemperature
+FROM arrivals a LEFT JOIN temps t ON a.i94port = t.i94port AND a.dt = t.dt""")
+def fact_co_located(spark, d):
+    """The same from tables stored in the same buckets, where a port and date of over 100 arrivals is cut into shares."""
+    run = uuid.uuid4().hex
+    names = f"arrivals_{run}", f"temperatures_{run}"
+    out = scratch_path(spark, "co-located")
+    return std.iso(imm.co_located_facts(spark, _arrivals(spark, d), _temperatures(spark, d), out, names, buckets=8, hot_rows=100))
+
+
 @query(f"""WITH {_ARRIVALS}, {_TEMPERATURES} SELECT CAST(a.dt AS VARCHAR) AS dt, a.i94port, AverageTemperature
 FROM arrivals a LEFT JOIN temps t ON a.i94port = t.i94port AND month(a.dt) = month(t.dt)""")
 def fact_month_of_year(spark, d):
