@@ -3,14 +3,14 @@
 The base rules look at one document: too few words, or too many words inside repeated 8-word
 windows. The method looks at lines across the documents of a host (`source`): lines are normalised
 (blanks trimmed and collapsed) and hashed, and the distinct documents that contain each are counted.
-A line in more than `limit_docs` documents and more than `limit_share` of the host's documents is
-removed; a document is rejected as depleted if less than `min_left` of its words remain. Documents
-are distinct by text, so copies of one document count once, and a copied document is not taken
-for boilerplate. `limit_share` bounds a host's list of removed lines by (mean lines) / limit_share.
-With `limit_share=None` the document limit acts alone: lines meet the removed ones in a join on host and
-line that Spark can split, so no list of a host need be small, and texts are shuffled once, to meet what they lost.
+A line in more than `limit_docs` documents is removed; a document is rejected as depleted if less than
+`min_left` of its words remain. Documents are distinct by text, so copies of one document count once, and
+a copied document is not taken for boilerplate.
 
-Everything is built-in functions. With a share, only line hashes and counts are shuffled, never texts.
+Everything is built-in functions. The measures and line hashes of all rows are worked out once and stored
+with the columns to keep; after that only hashes and counts move. Lines meet the removed ones in a join on host and line that Spark can
+split. `keep_good` removes rows by the keys (host, text hash) of what is depleted, so that texts stay where they
+are while those keys are few.
 
 Edge cases: a NULL text is an empty one (no words: base_failed); NULL hosts are one host; repeated
 rows are judged each by itself; an empty table gives no rows; other columns pass through.
@@ -26,7 +26,8 @@ from starlog.operators.joins import join_null_safe
 from starlog.session import materialise
 
 WINDOW = 8
-HOST, LINES = "__rule_host", "__rule_lines"
+HOST, DOC, LINES, ROW = "__rule_host", "__rule_doc", "__rule_lines", "__rule_row"
+MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
 def normalised(line: Column) -> Column:
@@ -75,33 +76,31 @@ def measures(text: Column) -> dict[str, Column]:
     }
 
 
-def removed_lines(docs: DataFrame, limit_docs: int, limit_share: float) -> DataFrame:
-    """(host, hashes of its lines above the limits), for hosts that have any."""
+def _measured(docs: DataFrame, keep: list[str], min_words: int, max_repeat_percent: int) -> DataFrame:
+    """The stored rows: a struct of the columns to keep, measures, base_failed, host, text hash and the lines' (hash, words)."""
     text = whole_text("text")
+    found = measures(text)
     bare = F.filter(F.transform(F.split(text, "\n"), normalised), lambda line: line != "")
+    lines = F.transform(bare, lambda line: F.struct(F.xxhash64(line).alias("line"), F.size(words_of(line)).alias("words")))
+    base = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
     rows = docs.select(
-        F.col("source").alias(HOST), F.xxhash64(text).alias("doc"), F.transform(bare, lambda line: F.xxhash64(line)).alias(LINES)
+        F.struct(*[docs[name] for name in keep]).alias(ROW),
+        docs["source"].alias(HOST),
+        F.xxhash64(text).alias(DOC),
+        lines.alias(LINES),
+        *[value.alias(name) for name, value in found.items()],
     )
-    lines = rows.select(HOST, "doc", F.explode(F.array_distinct(LINES)).alias("line"))
-    counts = lines.groupBy(HOST, "line").agg(F.count_distinct("doc").alias("docs"))
-    totals = rows.groupBy(HOST).agg(F.count_distinct("doc").alias("all_docs"))
-    above = join_null_safe(counts.where(F.col("docs") > limit_docs), totals, [HOST], "inner")
-    above = above.where(F.col("docs") > limit_share * F.col("all_docs"))
-    return materialise(above.groupBy(HOST).agg(F.collect_list("line").alias(LINES)))
+    return materialise(rows.withColumn("base_failed", base))
 
 
-def lost_words(docs: DataFrame, limit_docs: int) -> DataFrame:
-    """(host, doc, lost): words of the distinct documents (by hash) that stand in lines above the document limit."""
-    text = whole_text("text")
-    bare = F.filter(F.transform(F.split(text, "\n"), normalised), lambda line: line != "")
-    lines = F.transform(bare, lambda line: F.struct(F.xxhash64(line).alias("line"), F.size(words_of(line)).alias("words")))
-    rows = docs.select(F.col("source").alias(HOST), F.xxhash64(text).alias("doc"), lines.alias(LINES))
-    rows = materialise(rows.dropDuplicates([HOST, "doc"]))
+def lost_words(rows: DataFrame, limit_docs: int) -> DataFrame:
+    """(host, doc, n_words, lost): words of the distinct documents that stand in lines above the document limit."""
+    rows = materialise(rows.select(HOST, DOC, "n_words", LINES).dropDuplicates([HOST, DOC]))
     counts = rows.select(HOST, F.explode(F.array_distinct(f"{LINES}.line")).alias("line")).groupBy(HOST, "line").count()
     # stored, so that the join shuffles both sides for itself and can split a hot line
     above = materialise(counts.where(F.col("count") > limit_docs).select(HOST, "line"))
-    found = join_null_safe(rows.select(HOST, "doc", F.inline(LINES)), above, [HOST, "line"], "inner")
-    return materialise(found.groupBy(HOST, "doc").agg(F.sum("words").alias("lost")))
+    found = join_null_safe(rows.select(HOST, DOC, "n_words", F.inline(LINES)), above, [HOST, "line"], "inner")
+    return materialise(found.groupBy(HOST, DOC, "n_words").agg(F.sum("words").alias("lost")))
 
 
 def judge(
@@ -109,36 +108,29 @@ def judge(
     min_words: int = 20,
     max_repeat_percent: int = 30,
     limit_docs: int = 10,
-    limit_share: float | None = 0.1,
     min_left: float = 0.3,
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """The rows with the measures, base_failed, n_words_left (outside removed lines) and kept."""
-    text = whole_text("text")
-    found = measures(text)
-    if limit_share is None:
-        lost = lost_words(docs, limit_docs).withColumnsRenamed({"doc": "__rule_doc", "lost": "__rule_lost"})
-        same = docs["source"].eqNullSafe(lost[HOST]) & (F.xxhash64(whole_text(docs["text"])) == F.col("__rule_doc"))
-        joined = docs.join(lost, same, "left")
-    else:
-        listed = removed_lines(docs, limit_docs, limit_share)
-        joined = docs.join(listed, docs["source"].eqNullSafe(listed[HOST]), "left")
-
-    def words_in(line: Column) -> Column:
-        return F.when(F.array_contains(LINES, F.xxhash64(normalised(line))), F.lit(0)).otherwise(F.size(words_of(line)))
-
-    if limit_share is None:
-        left = found["n_words"] - F.col("__rule_lost")
-    else:
-        each = F.aggregate(F.split(text, "\n"), F.lit(0), lambda total, line: total + words_in(line)).cast("long")
-        left = F.when(F.col(LINES).isNotNull(), each)
-    base = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
-    out = joined.withColumns(found | {"__left": left})
-    out = out.withColumns({"base_failed": base, "n_words_left": F.coalesce("__left", "n_words")})
+    """The rows (columns of `keep`, by default all) with the measures, base_failed, n_words_left (outside removed lines) and kept."""
+    added = [*MEASURES, "base_failed", "n_words_left", "kept"]
+    keep = [name for name in (docs.columns if keep is None else keep) if name not in added]
+    rows = _measured(docs, keep, min_words, max_repeat_percent)
+    lost = lost_words(rows, limit_docs).drop("n_words")
+    joined = join_null_safe(rows.drop(LINES), lost, [HOST, DOC], "left")
+    joined = joined.withColumn("n_words_left", F.col("n_words") - F.coalesce("lost", F.lit(0)))
     kept = ~F.col("base_failed") & (F.col("n_words_left") >= min_left * F.col("n_words"))
-    return out.select(
-        *[docs[c] for c in docs.columns if c not in (*found, "base_failed", "n_words_left", "kept")],
-        *found,
-        "base_failed",
-        "n_words_left",
-        kept.alias("kept"),
+    return joined.select(
+        *[F.col(ROW)[name].alias(name) for name in keep], *MEASURES, "base_failed", "n_words_left", kept.alias("kept")
     )
+
+
+def keep_good(
+    docs: DataFrame, min_words: int = 20, max_repeat_percent: int = 30, limit_docs: int = 10, min_left: float = 0.3
+) -> DataFrame:
+    """The rows that `judge` keeps, as they are."""
+    rows = _measured(docs, docs.columns, min_words, max_repeat_percent)
+    lost = lost_words(rows, limit_docs)
+    # narrow keys: while they are few, Spark broadcasts them and no text moves
+    depleted = lost.where(F.col("n_words") - F.col("lost") < min_left * F.col("n_words")).select(HOST, DOC)
+    good = rows.where(~F.col("base_failed")).select(ROW, HOST, DOC)
+    return join_null_safe(good, materialise(depleted), [HOST, DOC], "left_anti").select(f"{ROW}.*")

@@ -116,9 +116,7 @@ def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
                  '[\x20\x09-\x0D]+', ' ', 'g') AS plain FROM l),
     dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM n WHERE plain <> '' GROUP BY doc_id),
     f AS (SELECT source, plain, count(DISTINCT t) AS docs FROM n WHERE plain <> '' GROUP BY source, plain),
-    h AS (SELECT source, count(DISTINCT t) AS all_docs FROM d GROUP BY source),
-    x AS (SELECT f.source, plain FROM f JOIN h ON f.source IS NOT DISTINCT FROM h.source
-          WHERE docs > 10 AND docs > 0.1 * all_docs),
+    x AS (SELECT source, plain FROM f WHERE docs > 10),
     gone AS (SELECT doc_id, sum(len(string_split(n.plain, ' '))) AS lost
              FROM n JOIN x ON n.source IS NOT DISTINCT FROM x.source AND n.plain = x.plain GROUP BY doc_id),
     b AS (SELECT w.doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
@@ -132,8 +130,7 @@ def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality_rules.judge(read_table(spark, sf_dir, "documents"))
-    return judged.drop("text", "lang", "source", "n_chars")
+    return quality_rules.judge(read_table(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
 @query()
