@@ -1,15 +1,15 @@
 """Site-relative line dedup: lines that stand on a large part of a host's pages are boilerplate.
 
 For every host the pages that contain a line are divided by all pages of the host; lines above
-`ratio` (and on at least `min_pages` pages) are dropped from all pages of that host. Lines are
-compared without the blanks around them, by a 64-bit hash. With `few_pages`, hosts of fewer than
-2 * `min_pages` pages are cut too: there a line on half of the pages, and on at least `few_pages`, is boilerplate. A host cannot have more than (mean
+`ratio` are dropped from all pages of that host. A share says little over a few pages: a line must also
+stand on `few_pages`, and on a host of under 2 * `min_pages` pages on half of them. Lines are
+compared without the blanks around them, by a 64-bit hash. A host cannot have more than (mean
 lines of a page) / ratio such lines, so their list is a small value of the host; pages meet it by
 a join on the host, which moves no text where the list is small and is split where a host is hot.
 
 Edge cases: NULL hosts are one host; a NULL text stays NULL and counts as a page without lines;
 blank lines are never dropped; repeated rows are pages of their own; a page whose lines all go
-keeps an empty text; an empty table gives no rows. Other columns pass through.
+keeps an empty text; hosts of under `few_pages` pages lose no line; an empty table gives no rows. Other columns pass through.
 """
 
 from __future__ import annotations
@@ -28,17 +28,16 @@ def line_hash(line: Column) -> Column:
     return F.xxhash64(F.btrim(line, F.lit(BLANKS)))
 
 
-def host_boilerplate(docs: DataFrame, ratio: float, min_pages: int, few_pages: int | None) -> DataFrame:
+def host_boilerplate(docs: DataFrame, ratio: float, min_pages: int, few_pages: int) -> DataFrame:
     """(host, hashes of its boilerplate lines), for hosts that have any."""
     bare = F.transform(F.split("text", "\n"), lambda line: F.btrim(line, F.lit(BLANKS)))
     lines = F.array_distinct(F.filter(bare, lambda line: line != ""))
     pages = docs.select(F.col("source").alias(HOST), F.transform(lines, lambda line: F.xxhash64(line)).alias(LINES))
     counts = pages.select(HOST, F.explode(LINES).alias("line")).groupBy(HOST, "line").agg(F.count("*").alias("pages"))
     totals = docs.groupBy(F.col("source").alias(HOST)).agg(F.count("*").alias("all_pages"))
-    few = min_pages if few_pages is None else min(few_pages, min_pages)
-    common = join_null_safe(counts.where(F.col("pages") >= few), totals, [HOST], "inner")
+    common = join_null_safe(counts.where(F.col("pages") >= few_pages), totals, [HOST], "inner")
     # half of a small host's pages, until that is more than min_pages
-    least = F.least(F.lit(min_pages), F.col("all_pages") / 2) if few < min_pages else F.lit(min_pages)
+    least = F.least(F.lit(min_pages), F.col("all_pages") / 2)
     common = common.where((F.col("pages") > ratio * F.col("all_pages")) & (F.col("pages") >= least))
     return materialise(common.groupBy(HOST).agg(F.collect_list("line").alias(LINES)))
 
@@ -48,7 +47,7 @@ def dedup_lines(
     ratio: float = 0.1,
     min_pages: int = 10,
     count: str | None = "n_dropped",
-    few_pages: int | None = None,
+    few_pages: int = 3,
 ) -> DataFrame:
     """The rows with boilerplate lines taken out of `text`, and how many went in a column named by `count`.
 

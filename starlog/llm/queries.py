@@ -166,7 +166,7 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     f AS (SELECT source, bare, count(DISTINCT doc_id) AS pages FROM n WHERE bare <> '' GROUP BY source, bare),
     h AS (SELECT source, count(*) AS all_pages FROM documents GROUP BY source),
     x AS (SELECT f.source, list(bare) AS common FROM f JOIN h ON f.source IS NOT DISTINCT FROM h.source
-          WHERE pages >= 10 AND pages > 0.1 * all_pages GROUP BY f.source),
+          WHERE pages >= 3 AND pages >= least(10, all_pages / 2) AND pages > 0.1 * all_pages GROUP BY f.source),
     k AS (SELECT d.doc_id, d.source, d.lang, d.text AS old, string_split(d.text, chr(10)) AS lines,
           list_filter(string_split(d.text, chr(10)), lambda s: NOT coalesce(list_contains(common,
             trim(s, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))), false)) AS kept
