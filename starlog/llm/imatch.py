@@ -40,9 +40,9 @@ def terms(text: Column) -> Column:
     return F.array_distinct(F.transform(found, lambda term: F.xxhash64(term)))
 
 
-def lexicon(docs: DataFrame, common: float, rare: float) -> DataFrame:
-    """(part, terms) of the lexicon: term hashes in a share of `rare` to `common` of the documents of `docs` (text)."""
-    total = docs.count()
+def lexicon(docs: DataFrame, common: float, rare: float, total: int | None = None) -> DataFrame:
+    """(part, terms) of the lexicon: term hashes in a share of `rare` to `common` of the `total` documents of `docs` (text)."""
+    total = docs.count() if total is None else total
     counts = docs.select(F.explode(terms(whole_text("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("docs"))
     band = counts.where((F.col("docs") >= max(2, rare * total)) & (F.col("docs") <= common * total))
     return band.groupBy(F.pmod("term", F.lit(PARTS)).alias("part")).agg(F.collect_list("term").alias("terms"))
@@ -125,7 +125,8 @@ def in_blocks(rows: DataFrame, blocks: int) -> DataFrame:
     before = spark.createDataFrame(list(zip(present, present[-1:] + present[:-1])), "block int, into int")
     carry = first.join(F.broadcast(before), "block").select("doc_id", "text", F.col("into").alias("block"))
     marked = placed.withColumn("carry", F.lit(False)).unionByName(carry.withColumn("carry", F.lit(True)))
-    return marked.repartition("block")
+    # each block is a task of its own, whatever the number of blocks
+    return marked.repartitionById(blocks, F.col("block").cast("int"))
 
 
 def _fingerprinted(rows: DataFrame, text: str, name: str, words: Column, least: int) -> DataFrame:
@@ -134,16 +135,19 @@ def _fingerprinted(rows: DataFrame, text: str, name: str, words: Column, least:
     return wide.withColumn(name, fingerprint(F.col(text), F.col("words"), least)).drop("words")
 
 
-def compare_edited(docs: DataFrame, common: float = 0.5, rare: float = 0.005, least: int = 4) -> DataFrame:
+def compare_edited(
+    docs: DataFrame, common: float = 0.5, rare: float = 0.005, least: int = 4, block_chars: int = 32 << 20
+) -> DataFrame:
     """Fingerprint every row of `docs` (doc_id, text), its edited text and its successor's.
 
     The edited text is the text with its last half replaced by as much of the start of the next
     document's, in descending order of doc_id. Returns doc_id, n_chars, edited, fingerprint,
-    edited_fingerprint, near_edited and near_next.
+    edited_fingerprint, near_edited and near_next. A task holds a block of about `block_chars` characters.
     """
     plain = docs.select("doc_id", whole_text("text").alias("text"))
-    words = lookup(materialise(lexicon(plain, common, rare)))
-    blocks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total, chars = plain.agg(F.count("*"), F.coalesce(F.sum(F.length("text").cast("long")), F.lit(0))).first()
+    words = lookup(materialise(lexicon(plain, common, rare, total)))
+    blocks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-chars // block_chars))
     rows = _fingerprinted(in_blocks(plain, blocks), "text", "hashes", words, least)
     order = Window.partitionBy("block").orderBy("carry", F.col("doc_id").desc_nulls_last(), "text")
     chained = rows.withColumn("next", F.lead(F.struct("text", "hashes")).over(order)).where(~F.col("carry"))
