@@ -32,6 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starlog.llm.common import gray_rank, map_arrow, text_batches, whole_text
+from starlog.operators.dedupe import first_row_per_key
+from starlog.operators.joins import join_null_safe
 from starlog.session import materialise
 
 DISTANCE = 3
@@ -181,41 +183,108 @@ def connected(values: np.ndarray, starts: np.ndarray, distance: int) -> tuple[np
     return values[order[:-1][same]], values[order[1:][same]]
 
 
-def links(nodes: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """(a, b): links between mixed fingerprints that connect all of `nodes` (fp) within the distance."""
-    if distance > DISTANCE:
-        raise ValueError(f"the bands find links of at most {DISTANCE} bits")
-    keys = [F.struct(F.lit(i).alias("pair"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(_masks())]
-    rows = nodes.select("fp", F.explode(F.array(*keys)).alias("bucket")).select("fp", "bucket.*")
+def whole_buckets(
+    batches: Iterator[pa.RecordBatch], limit: float
+) -> Iterator[tuple[list[np.ndarray], np.ndarray | None]]:
+    """The columns of whole buckets and where each begins, from rows that are sorted by all columns but the last.
+
+    A bucket of more than `limit` rows comes alone and in parts, without beginnings.
+    """
+    held: list[list[np.ndarray]] = []
+    size, passing, key = 0, False, None
+    for batch in batches:
+        columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(batch.num_columns)]
+        if not len(columns[0]):
+            continue
+        change = np.zeros(len(columns[0]) - 1, bool)
+        for column in columns[:-1]:
+            change |= column[1:] != column[:-1]
+        starts = np.append(0, np.flatnonzero(change) + 1)
+        if key == tuple(column[0] for column in columns[:-1]):  # the open bucket goes on
+            stop = starts[1] if len(starts) > 1 else len(columns[0])
+            held.append([column[:stop] for column in columns])
+            size += stop
+            if passing or size > limit:
+                yield _joined(held), None
+                held, passing = [], True
+            if len(starts) == 1:
+                continue
+            columns, starts = [column[stop:] for column in columns], starts[1:] - stop
+        if held:
+            yield _joined(held), np.zeros(1, np.int64)
+        last = starts[-1]
+        if last:
+            sizes = np.diff(starts)
+            for at in np.flatnonzero(sizes > limit).tolist():
+                yield [column[starts[at] : starts[at + 1]] for column in columns], None
+            kept = np.repeat(sizes <= limit, sizes)
+            small = sizes[sizes <= limit]
+            if len(small):
+                yield [column[:last][kept] for column in columns], np.cumsum(small) - small
+        held, size = [[column[last:] for column in columns]], len(columns[0]) - last
+        key, passing = tuple(column[last] for column in columns[:-1]), size > limit
+        if passing:
+            yield _joined(held), None
+            held = []
+    if held:
+        yield _joined(held), np.zeros(1, np.int64)
+
+
+def _joined(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
+    return [np.concatenate(columns) for columns in zip(*parts)]
+
+
+def _linked(rows: DataFrame, keys: list[str], distance: int, limit: float) -> DataFrame:
+    """(a, b) links within the buckets of `rows` (keys, fp), and as (a, NULL, pair, key) the members of buckets beyond the limit."""
     # the sign is turned so that signed order is the order of the unsigned ranks
     rank = gray_rank(F.col("fp")).bitwiseXOR(F.lit(-(1 << 63)))
-    dealt = rows.repartition("pair", "key").sortWithinPartitions("pair", "key", rank)
+    dealt = rows.select(*keys, "fp").repartition(*keys).sortWithinPartitions(*keys, rank)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(0, np.int64)] * 3
-        for batch in _with_end(batches):
-            if batch is not None:
-                new = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("pair", "key", "fp")]
-                held = [np.concatenate(x) for x in zip(held, new)]
-            pair, key, fp = held
-            if not len(fp):
+        names = ["a", "b", "pair", "key"]
+        for columns, starts in whole_buckets(batches, limit):
+            if starts is None:
+                pair, key, fp = columns[0], columns[1], columns[-1]
+                none = pa.nulls(len(fp), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(fp), none, pa.array(pair, pa.int32()), pa.array(key)], names)
                 continue
-            starts = np.flatnonzero(np.append(True, (pair[1:] != pair[:-1]) | (key[1:] != key[:-1])))
-            # the last bucket may go on in the next batch
-            stop = len(fp) if batch is None else starts[-1]
-            held = [x[stop:] for x in held]
-            a, b = connected(fp[:stop].view(np.uint64), starts[starts < stop], distance)
+            a, b = connected(columns[-1].view(np.uint64), starts, distance)
             if len(a):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(mixed(a).view(np.int64)), pa.array(mixed(b).view(np.int64))], ["a", "b"]
-                )
+                ends = [pa.array(mixed(x).view(np.int64)) for x in (a, b)]
+                yield pa.RecordBatch.from_arrays([*ends, pa.nulls(len(a), pa.int32()), pa.nulls(len(a), pa.int64())], names)
+
+    return map_arrow(dealt, run, "a long, b long, pair int, key long")
 
-    return map_arrow(dealt, run, "a long, b long")
 
+def _quarters() -> list[list[int]]:
+    """For every pair of bands the other bits, in four parts, as signed 64-bit numbers."""
+    found = []
+    for mask in _masks():
+        others = [bit for bit in range(64) if not mask >> bit & 1]
+        parts = [sum(1 << bit for bit in others[at::4]) for at in range(4)]
+        found.append([part - (1 << 64) if part >> 63 else part for part in parts])
+    return found
 
-def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
-    yield from batches
-    yield None
+
+def links(nodes: DataFrame, distance: int = DISTANCE, limit: int = 1 << 20) -> DataFrame:
+    """(a, b): links between mixed fingerprints that connect all of `nodes` (fp) within the distance.
+
+    The members of a bucket of more than `limit` are dealt out once more by each of four parts of the bits that the bucket does not
+    fix: two that differ in at most 3 bits agree on one of the four, so no link is lost.
+    """
+    if distance > DISTANCE:
+        raise ValueError(f"the bands find links of at most {DISTANCE} bits")
+    keys = [F.struct(F.lit(i).alias("pair"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(_masks())]
+    rows = nodes.select("fp", F.explode(F.array(*keys)).alias("bucket")).select("fp", "bucket.*")
+    found = materialise(_linked(rows, ["pair", "key"], distance, limit))
+    large = found.where("b IS NULL").select("pair", "key", F.col("a").alias("fp"))
+    linked = found.where("b IS NOT NULL").select("a", "b")
+    if large.isEmpty():
+        return linked
+    masks = F.get(F.array(*[F.array(*[F.lit(m) for m in masks]) for masks in _quarters()]), F.col("pair"))
+    parts = F.transform(masks, lambda mask, at: F.struct(at.alias("part"), F.col("fp").bitwiseAND(mask).alias("bits")))
+    again = large.select("pair", "key", "fp", F.inline(parts))
+    return linked.unionByName(_linked(again, ["pair", "key", "part", "bits"], distance, float("inf")).select("a", "b"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -273,12 +342,22 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = DISTANCE,
 
 
 def keep_first(docs: DataFrame, shingle: int = 3, distance: int = DISTANCE) -> DataFrame:
-    """One row of `docs` for each component, its least (doc_id, text hash); all columns stay."""
-    firsts = near_duplicates(docs, shingle, distance).where("first").select("doc_id", "version").distinct()
-    key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("version"))
-    firsts = materialise(firsts.select(key.alias("__key")))
-    keyed = docs.withColumn("__version", F.xxhash64(whole_text(docs["text"])))
-    own = F.concat_ws(":", F.coalesce(docs["doc_id"].cast("string"), F.lit("")), F.col("__version"))
-    kept = keyed.withColumn("__key", own).join(firsts, "__key", "left_semi")
-    # rows repeated under one doc id and text are equal up to other columns
-    return kept.dropDuplicates(["__key"]).select(*docs.columns)
+    """One row of `docs` for each component, its least (doc_id, text hash); all columns stay.
+
+    Of rows repeated under one doc_id and text the first in the order of all columns stays. Rows go by the keys of
+    those that do not stand for their component; while these keys are few, Spark broadcasts them and no text moves.
+    """
+    found = materialise(near_duplicates(docs, shingle, distance).select("doc_id", "version", "first"))
+    found = found.withColumnsRenamed({"doc_id": "__doc", "version": "__version"})
+    key = ["__doc", "__version"]
+    others = materialise(found.where(~F.col("first")).select(*key).distinct())
+    # rows are kept whole in a struct, so that their columns cannot clash with the keys
+    keyed = docs.select(
+        F.struct(*docs.columns).alias("__row"), docs["doc_id"].alias("__doc"), F.xxhash64(whole_text(docs["text"])).alias("__version")
+    )
+    kept = join_null_safe(keyed, others, key, "left_anti")
+    repeated = materialise(found.where("first").groupBy(*key).count().where("count > 1").select(*key))
+    if not repeated.isEmpty():
+        several = first_row_per_key(join_null_safe(kept, repeated, key, "left_semi"), key, [])
+        kept = join_null_safe(kept, repeated, key, "left_anti").unionByName(several)
+    return kept.select("__row.*")
