@@ -14,7 +14,6 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 def word_ids(texts, end_id=2):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    tokenizer.encode_special_tokens = True
     return [np.array(tokenizer.encode(t or "", add_special_tokens=False).ids + [end_id], "<u4") for t in texts]
 
 
@@ -122,3 +121,92 @@ def top_segments(scores):
         return [*best(low, a), (a, b, total), *best(b, high)]
 
     return best(0, len(scores))
+
+
+def signed(number):
+    return number - (1 << 64) if number >> 63 else number
+
+
+def imatch(texts, subsets, common, rare, least):
+    """I-Match of each text: its hashes as text, under the lexicon of all texts."""
+    import regex
+
+    found = [{signed(xxhash.xxh64_intdigest(w.encode(), 42)) for w in regex.findall(r"[\p{L}\p{M}\p{N}]+", t.lower())} for t in texts]
+    counts = {}
+    for terms in found:
+        for term in terms:
+            counts[term] = counts.get(term, 0) + 1
+    lexicon = {term for term, n in counts.items() if max(2, rare * len(texts)) <= n <= common * len(texts)}
+
+    def hashes(terms):
+        known = terms & lexicon
+        used = sorted(known if len(known) >= least else terms)
+        out = []
+        for size, count, bit in subsets:
+            for subset in range(count):
+                h, held = 42, [t for t in used if (t % (1 << 64)) >> bit & (size - 1) == subset]
+                for term in held:
+                    h = xxhash.xxh64_intdigest((term % (1 << 64)).to_bytes(8, "little"), h)
+                out.append(h if held else 0)
+        return out
+
+    return lexicon, lambda text: hashes({signed(xxhash.xxh64_intdigest(w.encode(), 42)) for w in regex.findall(r"[\p{L}\p{M}\p{N}]+", text.lower())})
+
+
+def likeness(one, other):
+    judged = [(a, b) for a, b in zip(one, other) if a or b]
+    return sum(a == b for a, b in judged) / len(judged) if judged else 1.0
+
+
+def toxic_forms(text):
+    """The distinct words of a text, marked, and their beginnings of 3 to 8 letters."""
+    import regex
+
+    words = set(regex.findall(r"[\p{L}\p{M}]+", text.lower()))
+    return {"=" + w for w in words} | {w[:n] for w in words for n in range(3, 9) if n <= len(w)}
+
+
+def toxic_weights(texts, prior, clarity):
+    """Weights from (text, toxic): {form: (bound, clarity)}."""
+    import math
+
+    n_toxic = sum(toxic for _, toxic in texts)
+    n_clean = len(texts) - n_toxic
+    counts = {}
+    for text, toxic in texts:
+        for form in toxic_forms(text):
+            t, seen = counts.get(form, (0, 0))
+            counts[form] = t + toxic, seen + 1
+    weights = {}
+    for form, (t, seen) in counts.items():
+        if seen < 3:
+            continue
+        c, share = seen - t, prior * seen / len(texts) + 0.5
+        delta = math.log((t + share) / (n_toxic + prior - t)) - math.log((c + share) / (n_clean + prior - c))
+        spread = math.sqrt(1 / (t + share) + 1 / (c + share))
+        gain = sum(n * math.log(n / (seen * total / len(texts))) for n, total in ((t, n_toxic), (c, n_clean)) if n)
+        clear = math.copysign(math.sqrt(max(2 * gain, 0.0)), delta)
+        if abs(clear) >= clarity:
+            weights[form] = math.copysign(max(abs(delta) - spread, 0.0), delta), clear
+    return weights
+
+
+def toxic_score(model, text):
+    """Score and passages (first word, behind last) of a text, from the definition of its segments."""
+    import math
+    import re as plain_re
+
+    words = plain_re.findall(r"[^\W\d_]+", text.lower())
+
+    def entry(word):
+        forms = ["=" + word, *(word[:n] for n in range(3, 9) if n <= len(word))]
+        known = [model.weights[f] for f in forms if f in model.weights]
+        return model.drift + (max(known, key=lambda k: abs(k[1]))[0] if known else 0.0)
+
+    found = sorted(top_segments([entry(w) for w in words]))
+    rarity = [model.rate * s - math.log(model.scale * max(len(words), 1)) for _, _, s in found]
+    best = max(-20.0, min(20.0, max(rarity, default=-20.0)))
+    base, first, second = model.curve
+    x = base + first * best + second * math.log1p(sum(r for r in rarity if r > 0))
+    passages = [(a, b) for (a, b, _), r in zip(found, rarity) if math.exp(-max(r, -700)) < model.max_expected]
+    return 1 / (1 + math.exp(-max(-30, min(30, x)))), passages

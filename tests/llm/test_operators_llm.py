@@ -37,6 +37,14 @@ def test_pack_keeps_every_id_once(odd):
     assert padding < 0.05
 
 
+def test_pack_special_strings(spark):
+    texts = ["hello <|endoftext|> world", "a<|startoftext|><|endoftext|>b.\nC", "<|ENDOFTEXT|> <|endof text|>"]
+    rows = packing.pack(spark.createDataFrame([row(i, t) for i, t in enumerate(texts)], COLUMNS), WORD_TOKENIZER, 2).collect()
+    plain.check_pieces(rows, dict(enumerate(plain.word_ids(texts))))
+    first = b"".join(bytes(r.ids) for r in sorted(rows, key=lambda r: r.start) if r.doc_id == 0)
+    assert np.frombuffer(first, "<u4").tolist() == [3306, 49407, 1002, 2]
+
+
 def test_pack_odd_ids_and_nothing(odd, nothing):
     rows = packing.pack(odd, WORD_TOKENIZER, 2).collect()
     assert sum(r.length for r in rows) == sum(map(len, plain.word_ids(TEXTS)))
@@ -152,19 +160,32 @@ def test_depleted_documents_go(spark, host):
 
 
 @pytest.mark.parametrize("host", ["h", None])
-def test_document_limit_alone(spark, host):
+def test_document_limit_on_a_large_host(spark, host):
     shared = "a  line that stands on twelve of very many documents of this host"
     rows = [row(i, f"{shared}\n {shared} \nown words {prose(i, 6)}", host) for i in range(12)]
     rows += [row(50 + i, f"{shared}\n{prose(50, 80)}", host) for i in range(3)]  # copies are judged too
     rows += [row(100 + i, prose(100 + i, 80), host) for i in range(300)]
     rows += [row(500 + i, f"{shared}\n{shared}\n{prose(i, 6)}", "small") for i in range(10)]
     docs = spark.createDataFrame(rows, COLUMNS)
-    judged = quality_rules.judge(docs, limit_share=None).collect()
+    judged = quality_rules.judge(docs).collect()
     assert len(judged) == len(rows)
     assert {r.doc_id for r in judged if r.kept == (r.doc_id < 12)} == {r.doc_id for r in judged if r.base_failed and r.doc_id >= 12}
     assert {r.n_words_left for r in judged if r.doc_id < 12} == {8}
     assert all(r.n_words - r.n_words_left == (13 if r.doc_id < 100 else 0) for r in judged if r.doc_id >= 12)
-    assert quality_rules.judge(docs.limit(0), limit_share=None).collect() == []
+    good = quality_rules.keep_good(docs)
+    assert good.columns == docs.columns
+    assert sorted(r.doc_id for r in good.collect()) == sorted(r.doc_id for r in judged if r.kept)
+    assert quality_rules.keep_good(docs.limit(0)).collect() == []
+    narrow = quality_rules.judge(docs, keep=["doc_id"])
+    assert narrow.columns == ["doc_id", *quality_rules.MEASURES, "base_failed", "n_words_left", "kept"]
+
+
+def test_good_rows_of_odd_ones(odd, nothing):
+    judged = [r.doc_id for r in quality_rules.judge(odd).collect() if r.kept]
+    good = quality_rules.keep_good(odd).collect()
+    assert sorted(map(str, judged)) == sorted(str(r.doc_id) for r in good)
+    assert {(r.kept, r.n_dropped) for r in good} <= {("y", "z"), (None, None)}
+    assert quality_rules.keep_good(nothing).collect() == []
 
 
 # 4 HTML
@@ -234,6 +255,60 @@ def test_data_in_and_below_a_constant_slot(spark):
     assert texts == {n: f"Review: T {n} real {n}" for n in range(6)}
 
 
+def test_words_in_class_names_within_an_article(spark):
+    body = (
+        "<article><h1>Title {n}</h1><p class='share-price'>Price of {n}</p><section id='search'>How we searched {n}</section>"
+        "<div class='related-work'>Earlier work {n}</div><div class='related'><a href='/a{n}'>Story {n}</a> <a href='/b'>more</a></div>"
+        "<div class='share'>Share this</div><div class='comments'><p>user{n} said no</p></div><p>Text {n}</p></article>"
+    )
+    texts = extracted(spark, on_host([body.format(n=n) for n in range(8)]))
+    assert texts == {n: f"Title {n} Price of {n} How we searched {n} Earlier work {n} Text {n}" for n in range(8)}
+    outside = "<div class='share-bar'>Sent {n} times</div><article><p>Text {n}</p></article>"
+    assert extracted(spark, on_host([outside.format(n=n) for n in range(8)])) == {n: f"Text {n}" for n in range(8)}
+
+
+def test_teasers_and_reader_comments_without_an_article(spark):
+    body = (
+        "<div id='x'><h2><a href='/s{n}'>Title {n}</a></h2><div class='txt'><p>{long}</p><p>It ends with <a href='/q'>a link {n}</a> here.</p></div>"
+        "<div class='nx'><a href='/r{n}'>Read next: story {n}</a></div>{said}</div>"
+    )
+    said = "<div class='c'><b>user{i}</b> said: nice {n} {i}</div>"
+    bodies = [body.format(n=n, long=f"word{n} " * 60, said="".join(said.format(n=n, i=i) for i in range(2 + n % 4))) for n in range(12)]
+    texts = extracted(spark, on_host(bodies))
+    assert texts == {n: " ".join(f"Title {n} {f'word{n} ' * 60} It ends with a link {n} here.".split()) for n in range(12)}
+    # paragraphs that are elements of one class are the text itself
+    paras = ["<h2>Head {n}</h2>" + "".join(f"<div class='para'>long words {n} {i}</div>" for i in range(5)) for n in range(8)]
+    texts = extracted(spark, on_host([p.replace("{n}", str(n)) for n, p in enumerate(paras)]))
+    assert texts == {n: " ".join([f"Head {n}", *(f"long words {n} {i}" for i in range(5))]) for n in range(8)}
+
+
+def test_classes_equal_plain_deduction(spark):
+    """Occurrence vectors as hash sums group tokens as the vectors themselves do, and so do constant slots."""
+    pick = random.Random(11)
+    pages = []
+    for n in range(30):
+        parts = [f"<div class='{c}'>{'same' if c in 'ab' else pick.random()}</div>" for c in pick.choices("abcdef", k=pick.randint(0, 8))]
+        pages.append(PAGE.format(n=n, article=f"<article><h1>T{n}</h1>{''.join(parts)}<ul>{'<li>x' * pick.randint(0, 3)}</ul></article>"))
+    rows = [(n, "h", text) for n, text in enumerate(pages)]
+    found = html_extract.host_tokens(spark.createDataFrame(rows, "page long, host string, html string").repartition(4), 0.2).toPandas()
+    vectors, said = {}, {}
+    for n, page in enumerate(pages):
+        for token, *_, count, _, _, _, own, _ in html_extract.tokens_of(page):
+            vectors.setdefault(token, [0] * len(pages))[n] = count
+            said.setdefault(token, []).append(own)
+    common = {token: tuple(v) for token, v in vectors.items() if sum(map(bool, v)) >= 0.2 * len(pages)}
+    assert set(found["token"]) == set(common)
+    got, want = {}, {}
+    for token, family in zip(found["token"], html_extract.classes(found)):
+        got.setdefault(family, set()).add(token)
+    for token, vector in common.items():
+        want.setdefault(vector, set()).add(token)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values())) and len(want) > 5
+    for row in found.itertuples():
+        assert (row.pages, row.n) == (sum(map(bool, common[row.token])), sum(common[row.token]))
+        assert bool(row.varies) == (len({x for x in said[row.token] if x is not None}) > 1)
+
+
 def test_odd_pages(spark):
     rows = [
         (1, None, None, None, None),
@@ -337,6 +412,33 @@ def test_imatch_chains_and_compares(odd, nothing):
     assert imatch.compare_edited(nothing).collect() == []
 
 
+def test_imatch_equals_plain_version(spark):
+    pick = random.Random(3)
+    vocabulary = ["".join(pick.choices("abdeilnorstéü", k=pick.randint(2, 6))) for _ in range(300)]
+    texts = [" ".join(pick.choices(vocabulary, weights=[1 / (i + 1) for i in range(300)], k=pick.randint(0, 60))) for _ in range(150)]
+    for text in texts[:50]:  # near copies
+        words = text.split()
+        texts.append(" ".join(["Other" if pick.random() < 0.1 else w for w in words]))
+    ids = list(range(len(texts)))
+    pick.shuffle(ids)
+    docs = spark.createDataFrame([row(i, t) for i, t in zip(ids, texts)], COLUMNS).repartition(4)
+    rows = {r.doc_id: r for r in imatch.compare_edited(docs, common=0.4, rare=0.02).collect()}
+    lexicon, hashes = plain.imatch(texts, imatch.SUBSETS, 0.4, 0.02, 4)
+    found = imatch.lexicon(docs.select("text"), 0.4, 0.02).select(F.explode("terms").alias("t")).collect()
+    assert {r.t for r in found} == lexicon and len(lexicon) > 50
+    text_of = dict(zip(ids, texts))
+    order = sorted(ids, reverse=True)
+    for i, j in zip(order, order[1:] + order[:1]):
+        text, half = text_of[i], len(text_of[i]) // 2
+        edited = text[: len(text) - half] + text_of[j][:half]
+        one, changed, other = hashes(text), hashes(edited), hashes(text_of[j])
+        assert rows[i].edited == edited
+        assert rows[i].fingerprint == "".join(f"{h:016x}" for h in one)
+        assert rows[i].edited_fingerprint == "".join(f"{h:016x}" for h in changed)
+        assert rows[i].near_edited == pytest.approx(plain.likeness(one, changed))
+        assert rows[i].near_next == pytest.approx(plain.likeness(one, other))
+
+
 # 8 line dedup
 
 
@@ -345,9 +447,20 @@ def test_line_dedup(spark, odd, nothing):
     rows += [row(100 + i, "Read more\nx", None) for i in range(9)]
     cut = line_dedup.dedup_lines(spark.createDataFrame(rows, COLUMNS))
     got = {r.doc_id: (r.text, r.n_dropped) for r in cut.collect()}
-    assert {got[i] for i in range(100, 109)} == {("Read more\nx", 0)}
+    assert {got[i] for i in range(100, 109)} == {("", 2)}  # a host of nine pages
     assert got[50] == (None, 0) and got[51] == ("", 1)
     assert all(got[i] == (f"body {i}\n\nbody {i}", 1) for i in range(12))
+    few = [row(i, f"foot\n{'half' if i < 2 else 'x'}\nown {i}", "four") for i in range(4)]
+    few += [row(10 + i, "foot\nboth", "two") for i in range(2)]
+    few += [row(20 + i, "half of the pages\n" * (i < 5) + f"own {i}", "ten") for i in range(10)]
+    few += [row(40 + i, "not half\n" * (i < 4) + f"own {i}", "nine") for i in range(9)]
+    cut = {r.doc_id: r.text for r in line_dedup.dedup_lines(spark.createDataFrame(few, COLUMNS)).collect()}
+    assert cut == {
+        **{i: f"{'half' if i < 2 else 'x'}\nown {i}" for i in range(4)},
+        **{10 + i: "foot\nboth" for i in range(2)},
+        **{20 + i: f"own {i}" for i in range(10)},
+        **{40 + i: "not half\n" * (i < 4) + f"own {i}" for i in range(9)},
+    }
     same = line_dedup.dedup_lines(odd)
     assert sorted((r.doc_id, r.text) for r in same.collect() if r.doc_id) == sorted((r[0], r[1]) for r in odd_rows() if r[0])
     assert sorted(same.columns) == sorted(odd.columns)  # their own n_dropped is replaced
@@ -380,6 +493,63 @@ def test_near_duplicates_equal_brute_force(spark, nothing):
     assert simhash.near_duplicates(nothing).collect() == []
 
 
+@pytest.mark.parametrize("limit", [1, 6, 40])
+def test_large_buckets_lose_no_link(spark, limit):
+    pick = random.Random(limit)
+    base = [pick.getrandbits(64) for _ in range(3)]
+    values = set(base)
+    while len(values) < 150:
+        value = pick.choice(sorted(values))
+        for _ in range(pick.choice([1, 2, 3, 5])):
+            value ^= 1 << pick.randrange(64)
+        values.add(value)
+    values = sorted(values)
+    nodes = spark.createDataFrame([(v - (1 << 64) if v >> 63 else v,) for v in values], "fp long").repartition(4)
+    found = {(r.a % (1 << 64), r.b % (1 << 64)) for r in simhash.links(nodes, limit=limit).collect()}
+    place = {int(m): i for i, m in enumerate(simhash.mixed(np.array(values, np.uint64)))}
+    least = list(range(len(values)))
+    for _ in values:
+        for a, b in found:
+            i, j = place[a], place[b]
+            least[i] = least[j] = min(least[i], least[j])
+    assert least == plain.groups(values, plain.close)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(1, 9), max_size=12), st.integers(1, 20), st.integers(0, 1 << 20))
+def test_buckets_come_whole(sizes, limit, seed):
+    import pyarrow as pa
+
+    pick = random.Random(seed)
+    rows = [(0, k, 10 * k + i) for k, n in enumerate(sizes) for i in range(n)]
+    batches, at = [], 0
+    while at < len(rows):
+        stop = at + pick.randint(1, 7)
+        batches.append(pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[at:stop])], ["pair", "key", "fp"]))
+        at = stop
+    whole, large = {}, {}
+    for columns, starts in simhash.whole_buckets(iter(batches), limit):
+        if starts is None:
+            assert len(set(columns[1].tolist())) == 1
+            large.setdefault(columns[1][0], []).extend(columns[2].tolist())
+            continue
+        for a, b in zip(starts.tolist(), [*starts.tolist()[1:], len(columns[0])]):
+            assert len(set(columns[1][a:b].tolist())) == 1 and columns[1][a] not in whole
+            whole[columns[1][a]] = columns[2][a:b].tolist()
+    assert not set(whole) & set(large)
+    assert whole == {k: [10 * k + i for i in range(n)] for k, n in enumerate(sizes) if n <= limit}
+    assert large == {k: [10 * k + i for i in range(n)] for k, n in enumerate(sizes) if n > limit}
+
+
+def test_keep_first_of_repeated_rows(spark):
+    text, other = prose(1, 50), prose(2, 50)
+    rows = [(7, text, "en", s, len(text), "x", 7, 7, "y", "z") for s in ("b", "a", "c")]
+    rows += [row(9, text, "a"), row(8, other, None), row(8, other, "b"), row(None, None), row(None, None)]
+    for _ in range(2):
+        kept = simhash.keep_first(spark.createDataFrame(rows, COLUMNS).repartition(3)).collect()
+        assert sorted(((r.doc_id, r.source) for r in kept), key=str) == [(7, "a"), (8, None), (None, "a")]
+
+
 def test_keep_first_keeps_one_of_each(spark, odd, nothing):
     kept = simhash.keep_first(odd)
     assert kept.columns == odd.columns
@@ -474,3 +644,62 @@ def test_toxicity_of_odd_rows(spark, odd, nothing):
     untrained = toxicity.fit(docs, labels.limit(0))
     assert {r.score for r in toxicity.score(odd, untrained).collect()} == {0.0}
     assert {r.score for r in toxicity.score(odd, toxicity.fit(nothing, labels)).collect()} == {0.0}
+
+
+def labelled(spark, n=240):
+    """Texts of which a third holds insults of a made-up kind, some of them without."""
+    pick = random.Random(9)
+    rows = []
+    for i in range(n):
+        words = prose(i, 30, sentence=50).split()
+        if i % 3 == 0:
+            for _ in range(4):
+                words.insert(pick.randrange(len(words)), pick.choice(["vilegrub", "vilegrubs", "Snotwort", "mudhead"]))
+        if pick.random() < 0.1:
+            words.insert(0, "mudhead")
+        rows.append((i, " ".join(words), int(i % 3 == 0)))
+    docs = spark.createDataFrame([row(i, t) for i, t, _ in rows], COLUMNS)
+    return docs, spark.createDataFrame([(i, k) for i, _, k in rows], "doc_id long, toxic int"), rows
+
+
+def test_toxicity_weights_and_scores_equal_plain_version(spark):
+    docs, labels, rows = labelled(spark)
+    model = toxicity.fit(docs, labels, prior=5.0, clarity=3.0)
+    want = plain.toxic_weights([(t, k) for _, t, k in rows], 5.0, 3.0)
+    assert set(model.weights) == set(want) and len(want) > 5
+    for form, pair in want.items():
+        assert model.weights[form] == pytest.approx(pair, rel=1e-9, abs=1e-9)
+    scored = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    for i, text, _ in rows:
+        score, passages = plain.toxic_score(model, text)
+        assert scored[i].score == pytest.approx(score, rel=1e-9)
+        words = [m.span() for m in toxicity.WORD.finditer(text)]
+        assert [(p.start, p.end) for p in scored[i].passages] == [(words[a][0], words[b - 1][1]) for a, b in passages]
+    right = sum((scored[i].score >= 0.5) == bool(k) for i, _, k in rows)
+    assert right >= 0.95 * len(rows)
+
+
+def test_curve_is_the_most_likely(spark):
+    draw = np.random.default_rng(2)
+    x, weight = draw.normal(size=(200, 2)), draw.uniform(0.5, 3, 200)
+    y = (draw.random(200) < 1 / (1 + np.exp(-(0.3 + x @ np.array([1.5, -0.7]))))).astype(float)
+
+    def loss(beta):
+        z = beta[0] + x @ np.array(beta[1:])
+        return (weight * (np.log1p(np.exp(z)) - y * z)).sum() + 0.5e-3 * np.square(beta).sum()
+
+    best = toxicity._fit_curve(x, y, weight)
+    for at in range(3):
+        for step in (-1e-3, 1e-3):
+            other = list(best)
+            other[at] += step
+            assert loss(other) > loss(best)
+
+
+def test_passages_stand_in_the_text_as_given():
+    model = toxicity.Model({"=bad": (8.0, 9.0)}, curve=(0.0, 1.0, 1.0), rate=1.0, scale=1e-4)
+    text = "\u0130\u0130\u0130\u0130 good BAD end"
+    scorer = toxicity.Scorer(model)
+    scores, found = scorer.scan(text)
+    [(first, last, *_)] = scorer.passages(text, len(scores), found)
+    assert text[first:last] == "BAD"

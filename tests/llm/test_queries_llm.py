@@ -25,7 +25,7 @@ def texts(spark):
 def test_every_operator_has_a_query():
     names = driver.queries()
     assert "pipeline" in names
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names if re.match(r"op\d+_", n)) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names if re.match(r"op\d+_", n)) == list(range(1, 14))
 
 
 def test_packing(spark, texts):
@@ -175,3 +175,12 @@ def test_a_group_of_copies_keeps_one(spark):
     text = prose(1, 200)
     docs = spark.createDataFrame([row(i, text) for i in range(50)] + [row(99, prose(2, 200))], COLUMNS)
     assert sorted(r.doc_id for r in simhash.keep_first(docs).collect()) == [0, 99]
+
+
+def test_languages_of_held_out_documents(spark):
+    langs = {r.doc_id: r.lang for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
+    rows = queries.op12_language_id(spark, SF_DIR).collect()
+    assert {r.doc_id for r in rows} == set(langs)
+    held_out = [r for r in rows if r.held_out]
+    assert {r.doc_id for r in held_out} == {i for i in langs if zlib.crc32(str(i).encode()) % 4 == 2}
+    assert sum(r.lang_pred == langs[r.doc_id] for r in held_out) >= 0.95 * len(held_out)
