@@ -72,7 +72,7 @@ def word_table(path: str, end_id: int) -> PieceTable:
             lengths[at] = 1
         return ids, lengths
 
-    return PieceTable(encode, closing_kind)
+    return PieceTable(encode, closing_kind, limit=600_000)
 
 
 def plan_cuts(

@@ -9,8 +9,8 @@ a copied document is not taken for boilerplate.
 
 Everything is built-in functions. The measures and line hashes of all rows are worked out once and stored
 with the columns to keep; after that only hashes and counts move. Lines meet the removed ones in a join on host and line that Spark can
-split. `keep_good` removes rows by the keys (host, text hash) of what is depleted, so that texts stay where they
-are while those keys are few.
+split. `keep_good` removes rows by the keys (host, text hash) of what is rejected, so that texts stay where they
+are while Spark can broadcast those keys, and are shuffled once beyond that.
 
 Edge cases: a NULL text is an empty one (no words: base_failed); NULL hosts are one host; repeated
 rows are judged each by itself; an empty table gives no rows; other columns pass through.
@@ -77,14 +77,14 @@ def measures(text: Column) -> dict[str, Column]:
 
 
 def _measured(docs: DataFrame, keep: list[str], min_words: int, max_repeat_percent: int) -> DataFrame:
-    """The stored rows: a struct of the columns to keep, measures, base_failed, host, text hash and the lines' (hash, words)."""
+    """The stored rows: a struct of the columns to keep if there are any, measures, base_failed, host, text hash and the lines' (hash, words)."""
     text = whole_text("text")
     found = measures(text)
     bare = F.filter(F.transform(F.split(text, "\n"), normalised), lambda line: line != "")
     lines = F.transform(bare, lambda line: F.struct(F.xxhash64(line).alias("line"), F.size(words_of(line)).alias("words")))
     base = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
     rows = docs.select(
-        F.struct(*[docs[name] for name in keep]).alias(ROW),
+        *([F.struct(*[docs[name] for name in keep]).alias(ROW)] if keep else []),
         docs["source"].alias(HOST),
         F.xxhash64(text).alias(DOC),
         lines.alias(LINES),
@@ -128,9 +128,11 @@ def keep_good(
     docs: DataFrame, min_words: int = 20, max_repeat_percent: int = 30, limit_docs: int = 10, min_left: float = 0.3
 ) -> DataFrame:
     """The rows that `judge` keeps, as they are."""
-    rows = _measured(docs, docs.columns, min_words, max_repeat_percent)
+    rows = _measured(docs, [], min_words, max_repeat_percent)
     lost = lost_words(rows, limit_docs)
-    # narrow keys: while they are few, Spark broadcasts them and no text moves
-    depleted = lost.where(F.col("n_words") - F.col("lost") < min_left * F.col("n_words")).select(HOST, DOC)
-    good = rows.where(~F.col("base_failed")).select(ROW, HOST, DOC)
-    return join_null_safe(good, materialise(depleted), [HOST, DOC], "left_anti").select(f"{ROW}.*")
+    depleted = lost.where(F.col("n_words") - F.col("lost") < min_left * F.col("n_words"))
+    rejected = depleted.select(HOST, DOC).unionByName(rows.where("base_failed").select(HOST, DOC)).distinct()
+    keyed = docs.select(
+        F.struct(*docs.columns).alias(ROW), docs["source"].alias(HOST), F.xxhash64(whole_text(docs["text"])).alias(DOC)
+    )
+    return join_null_safe(keyed, materialise(rejected), [HOST, DOC], "left_anti").select(f"{ROW}.*")
