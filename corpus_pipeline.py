@@ -23,15 +23,13 @@ def _as_documents(cut: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep; lines go by the document limit alone."""
-    # the row goes along whole, so that its columns cannot clash with the measures
-    rows = docs.select(F.struct(*docs.columns).alias("__row"), "text", "source")
-    return quality_rules.judge(rows, limit_share=None).where("kept").select("__row.*")
+    """Documents that the quality rules keep."""
+    return quality_rules.keep_good(docs)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without their hosts' boilerplate lines, on hosts of three pages and more."""
-    return _as_documents(line_dedup.dedup_lines(docs, count=None, few_pages=3), docs)
+    """All documents, without their hosts' boilerplate lines."""
+    return _as_documents(line_dedup.dedup_lines(docs, count=None), docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
