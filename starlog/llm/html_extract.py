@@ -8,11 +8,15 @@ nest as the paths of their tokens do. The valid classes whose tokens mostly stan
 host's templates. Their slots are the places where text stands; a slot that stands wherever its parent does and says
 the same on all of its pages is part of the template, the others hold data. Pages of one content count once for
 that, and fewer than three contents tell nothing. The articles are the frames' `article` elements and then their
-`main` elements, those with most data first; a page is extracted by the first that stands on it, but for blocks that
-their tag, class or id names as menu, notice, advert, form or the like.
+`main` elements, those with most data first; a page is extracted by the first that stands on it, but for elements
+whose tag, role, class or id names them as menu, advert, reader comments, form or the like. Words such as "share" or "related"
+in a class or id tell so outside an article only; within one, the element must also recur on the host's pages
+and consist of links or say the same on all of them.
 
 A page without any of them falls back to its own `article` and `main` or else its body. On a host whose frames have
-neither, all text is taken but for the template's slots and what stands outside the smallest element around all data
+neither, all text is taken but for the template's slots, slots that consist of links, elements of one class that stand
+twice and more on a page if half of the data or more stands elsewhere (teasers, reader comments), and what stands outside the smallest
+element around all data
 on a fifth of the pages or more (a page's own `article` or `main` is taken there if it is the only one).
 
 Edge cases: a NULL or empty html has no tokens and an empty text; NULL urls are one host; unclosed tags
@@ -24,7 +28,8 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
@@ -70,45 +75,54 @@ NOISE_TAGS = frozenset(
     "video".split()
 )
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
+# Words of classes and ids that name what is not the article (fixed values): wherever they stand, and outside articles.
 NOISE_WORDS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay"
-    r"|newsletter|subscri\w*|signup|login|sidebar|widgets?|nav\w*|menus?|breadcrumbs?|footer|masthead|topbar"
-    r"|comments?|disqus|replies|respond|share|sharing|social|related|recommended|pagination|pager|search)(?=$|[\s_-])",
+    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|newsletter|sidebar|comments?|disqus|replies|respond)(?=$|[\s_-])", re.IGNORECASE
+)
+DOUBTFUL_WORDS = re.compile(
+    r"(?:^|[\s_-])(?:promo\w*|banner|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay"
+    r"|subscri\w*|signup|login|widgets?|nav\w*|menus?|breadcrumbs?|footer|masthead|topbar"
+    r"|share|sharing|social|related|recommended|pagination|pager|search)(?=$|[\s_-])",
     re.IGNORECASE,
 )
 ARTICLE_TAGS = ("article", "main")
 HEADING = re.compile("h[1-6]")
+REPEATING = re.compile("(?:div|section|li|dl|dd|table|tr|blockquote|figure)[.#]")  # as signs: with a class or id
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
 
 class Element:
     """An open element: its token, and what its ancestors and itself say about the text in it."""
 
-    __slots__ = ("name", "token", "parent", "sign", "noise", "link", "article")
+    __slots__ = ("name", "token", "parent", "sign", "noise", "doubt", "link", "article")
 
-    def __init__(self, name: str, above: Element | None, sign: str, noise: bool):
+    def __init__(self, name: str, above: Element | None, sign: str, noise: bool, doubt: bool):
         import xxhash
 
         self.name, self.sign = name, sign
         self.parent = above.token if above else 0
         self.token = xxhash.xxh64_intdigest(f"{self.parent}/{sign}") - (1 << 63)
         self.noise = noise or (above.noise if above else False)
+        self.doubt = doubt or (above.doubt if above else False)
         self.link = name == "a" or (above.link if above else False)
         self.article = name in ARTICLE_TAGS or (above.article if above else False)
 
 
 def _element(name: str, rest: str, above: Element | None) -> Element:
-    sign, noise = name, name in NOISE_TAGS or (name == "header" and not (above and above.article))
+    inside = above is not None and above.article
+    sign, noise, doubt = name, name in NOISE_TAGS or (name == "header" and not inside), False
     for key, value in ATTRIBUTE.findall(rest) if rest else ():
         key, value = key.lower(), value.strip("\"' ").lower()
         if key in ("class", "id") and value:
             sign += ("." if key == "class" else "#") + DIGITS.sub("0", " ".join(sorted(value.split())))
-            noise = noise or (name not in ("html", "body", *ARTICLE_TAGS) and bool(NOISE_WORDS.search(value)))
+            if name not in ("html", "body", *ARTICLE_TAGS):
+                noise = noise or bool(NOISE_WORDS.search(value))
+                doubt = doubt or bool(DOUBTFUL_WORDS.search(value))
         elif key == "role":
             noise = noise or value in NOISE_ROLES
         elif key == "hidden" or key == "style" and HIDDEN.search(value):
             noise = True
-    return Element(name, above, sign, noise)
+    return Element(name, above, sign, noise or (doubt and not inside), doubt and inside)
 
 
 def read(page: str) -> Iterator[tuple[str, Element | None, str]]:
@@ -147,7 +161,7 @@ def read(page: str) -> Iterator[tuple[str, Element | None, str]]:
         yield "text", stack[-1] if stack else None, html.unescape(text) if "&" in text else text
 
 
-TOKENS = "host string, page long, token long, parent long, sign string, noise boolean, n long, place long, chars long, linked long, said long, content long"
+TOKENS = "host string, page long, token long, parent long, sign string, noise boolean, doubt boolean, n long, place long, chars long, linked long, said long, content long"
 
 
 def host_of(url: str | Column) -> Column:
@@ -157,7 +171,7 @@ def host_of(url: str | Column) -> Column:
 
 
 def tokens_of(page: str) -> list[tuple]:
-    """(token, parent, sign, noise, count, place, chars, linked chars, hash of its own text, hash of the page's content).
+    """(token, parent, sign, noise, doubt, count, place, chars, linked chars, hash of its own text, hash of the page's content).
 
     The content is the text outside noise, in the page's own `article` or `main` if any stands there.
     """
@@ -171,13 +185,15 @@ def tokens_of(page: str) -> list[tuple]:
         if kind == "open":
             row = found.get(element.token)
             if row is None:
-                found[element.token] = [element.token, element.parent, element.sign, element.noise, 1, len(found), 0, 0]
+                found[element.token] = [
+                    element.token, element.parent, element.sign, element.noise, element.doubt, 1, len(found), 0, 0
+                ]
             else:
-                row[4] += 1
+                row[5] += 1
         elif kind == "text" and element is not None and (bare := " ".join(text.split())):
             row = found[element.token]
-            row[6] += len(bare)
-            row[7] += len(bare) if element.link else 0
+            row[7] += len(bare)
+            row[8] += len(bare) if element.link else 0
             texts.setdefault(element.token, []).append(bare)
             if not element.noise:
                 (own if element.article else rest).append(bare)
@@ -192,7 +208,7 @@ def page_tokens(pages: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema(
             [("host", pa.string()), ("page", pa.int64()), ("token", pa.int64()), ("parent", pa.int64())]
-            + [("sign", pa.string()), ("noise", pa.bool_())]
+            + [("sign", pa.string()), ("noise", pa.bool_()), ("doubt", pa.bool_())]
             + [(name, pa.int64()) for name in ("n", "place", "chars", "linked", "said", "content")]
         )
         for batch in batches:
@@ -221,6 +237,7 @@ def host_tokens(pages: DataFrame, support: float) -> DataFrame:
         F.min("parent").alias("parent"),
         F.min("sign").alias("sign"),
         F.max("noise").alias("noise"),
+        F.max("doubt").alias("doubt"),
         F.count("*").alias("pages"),
         F.sum("n").alias("n"),
         F.sum((F.col("n") == 1).cast("long")).alias("once"),
@@ -275,6 +292,13 @@ def deduce(tokens: pd.DataFrame, few: int = 3) -> dict[str, list[int]]:
         for token, row in rows.items()
         if row.chars and (at := block(token)) not in loose and not constant.isdisjoint(_path(at, parent))
     }
+    # a doubtful element of an article is none of it if it consists of links or its slots are template
+    for top, row in rows.items():
+        if row.doubt and not (row.parent in rows and rows[row.parent].doubt):
+            below = [token for token in rows if rows[token].chars and top in _path(token, parent)]
+            linked = sum(rows[token].linked for token in below)
+            if 2 * linked >= sum(rows[token].chars for token in below) or all(still(rows[block(token)]) for token in below):
+                fixed.update(below)
     # data of an element: what varies in it and below it, without noise and without links but those of headings
     data = dict.fromkeys(rows, 0)
     total = 0
@@ -294,6 +318,15 @@ def deduce(tokens: pd.DataFrame, few: int = 3) -> dict[str, list[int]]:
                 best[key] = token
     chosen = [best[key] for key in sorted(best, key=lambda key: (key[0], -data[best[key]]))]
     if not chosen and total:
+        listed = _lists(rows, parent, block, data, total)
+        for token in listed - fixed:
+            row = rows[token]
+            own = row.chars - (0 if HEADING.fullmatch(name[block(token)]) else row.linked)
+            if not row.noise:
+                total -= own
+                for above in _path(token, parent):
+                    data[above] -= own
+        fixed |= listed
         # the last in page order is the deepest, as all lie on one path
         around = [token for token in usable if data[token] == total][-1:]
         if around:
@@ -301,6 +334,28 @@ def deduce(tokens: pd.DataFrame, few: int = 3) -> dict[str, list[int]]:
     return {"article": [int(t) for t in chosen], "fixed": [int(t) for t in fixed]}
 
 
+def _lists(rows: dict, parent: dict[int, int], block: Callable[[int], int], data: dict[int, int], total: int) -> set[int]:
+    """Tokens whose text is in slots that consist of links, or in elements of one class that repeat on a page.
+
+    The latter if no less data stands outside them. Headings are no such slots.
+    """
+    chars: dict[int, int] = defaultdict(int)
+    linked: dict[int, int] = defaultdict(int)
+    for token, row in rows.items():
+        chars[block(token)] += row.chars
+        linked[block(token)] += row.linked
+    links = {at for at in chars if chars[at] and 2 * linked[at] >= chars[at] and not HEADING.match(rows[at].sign)}
+    several = {token for token, row in rows.items() if row.n >= 2 * row.pages and REPEATING.match(row.sign) and not row.noise}
+    tops = [token for token in several if several.isdisjoint(_path(token, parent)[1:])]
+    if 2 * sum(data[token] for token in tops) > total:
+        several = set()
+    return {
+        token
+        for token, row in rows.items()
+        if row.chars and (block(token) in links or not several.isdisjoint(_path(token, parent)))
+    }
+
+
 def _path(token: int, parent: dict[int, int]) -> list[int]:
     """The token and those above it, as far as they are known."""
     path: list[int] = []
