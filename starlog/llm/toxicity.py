@@ -106,9 +106,13 @@ class Scorer:
         rare = [segment for segment in rare if segment[3] < self.model.max_expected]
         if not rare:
             return []
-        # places count in the lowered text, which differs only by letters that lower to two
-        spans = [m.span() for m in WORD.finditer(text.lower())]
-        return [(spans[a][0], spans[b - 1][1], s, e) for a, b, s, e in rare]
+        lowered = text.lower()
+        spans = [m.span() for m in WORD.finditer(lowered)]
+        places = [(spans[a][0], spans[b - 1][1] - 1) for a, b, *_ in rare]
+        if len(lowered) != len(text):  # some letters lower to two
+            of = [at for at, letter in enumerate(text) for _ in letter.lower()]
+            places = [(of[first], of[last]) for first, last in places]
+        return [(first, last + 1, s, e) for (first, last), (_, _, s, e) in zip(places, rare)]
 
 
 def features(text: Column) -> Column:
