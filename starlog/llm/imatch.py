@@ -21,6 +21,8 @@ rows; other columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +32,8 @@ from starlog.session import materialise
 #: Random subsets of the lexicon in groups (one in how many terms, subsets, lowest bit of the draw). The subsets of a
 #: group are disjoint; a term's hash is random, so the draws are bits of it that no other group takes.
 SUBSETS = ((2, 2, 10), (8, 4, 12), (32, 8, 16), (64, 8, 24), (128, 10, 32))
+#: Ranges of ids that rows are dealt to, at most; a range is sorted in one task, which can spill.
+MOST_BLOCKS = 10_000
 #: Parts of the lexicon, by hash, so that looking a term up is looking through a short list.
 PARTS = 1 << 10
 
@@ -107,14 +111,25 @@ def in_blocks(rows: DataFrame, blocks: int) -> DataFrame:
     """The rows (doc_id, text) dealt out by `block`, ranges of ids in descending order.
 
     Each block ends with a row marked `carry`: the first row of the block behind it, or of the
-    first block for the last. Rows are shuffled once. The bounds are one number for each block.
+    first block for the last. Rows are shuffled once. The bounds are one number for each block, at most MOST_BLOCKS.
     """
     spark = rows.sparkSession
+    blocks = min(blocks, MOST_BLOCKS)
     points = F.array(*[F.lit(at / blocks) for at in range(1, blocks)]).cast("array<double>")
-    bounds = rows.agg(F.percentile_approx("doc_id", points)).first()[0] if blocks > 1 else None
-    listed = F.array(*[F.lit(cut) for cut in sorted(set(bounds or []))]).cast("array<long>")
-    above = F.size(F.filter(listed, lambda cut: cut >= F.col("doc_id")))
-    placed = rows.withColumn("block", F.when(F.col("doc_id").isNull(), F.size(listed)).otherwise(above))
+    bounds = rows.agg(F.percentile_approx("doc_id", points, 10 * MOST_BLOCKS)).first()[0] if blocks > 1 else None
+    cuts = sorted(set(bounds or []))
+    # the bounds in lists of equal length, of which a row looks through one and the lists' ends
+    length = max(1, math.isqrt(len(cuts)))
+    lists = [cuts[at : at + length] for at in range(0, len(cuts), length)]
+    ends = F.array(*[F.lit(one[-1]) for one in lists]).cast("array<long>")
+    inner = F.array(*[F.array(*map(F.lit, one)) for one in lists]).cast("array<array<long>>")
+
+    def below(found: Column) -> Column:
+        return F.size(F.filter(found, lambda cut: cut < F.col("doc_id")))
+
+    of_list = below(ends)
+    before = F.least(of_list * length, F.lit(len(cuts))) + F.coalesce(below(F.get(inner, of_list)), F.lit(0))
+    placed = rows.withColumn("block", F.when(F.col("doc_id").isNull(), len(cuts)).otherwise(len(cuts) - before))
 
     # the first row of each block: its highest id, and of rows with that id the least text
     tops = placed.groupBy("block").agg(F.max("doc_id").alias("top")).withColumnRenamed("block", "at")

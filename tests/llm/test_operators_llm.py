@@ -412,6 +412,26 @@ def test_imatch_chains_and_compares(odd, nothing):
     assert imatch.compare_edited(nothing).collect() == []
 
 
+@pytest.mark.parametrize("blocks", [1, 2, 7, 30])
+def test_blocks_are_ranges_of_descending_ids(spark, blocks):
+    pick = random.Random(blocks)
+    ids = [None, None] + [pick.randrange(-50, 500) for _ in range(200)]
+    rows = spark.createDataFrame([(i, f"t{at}") for at, i in enumerate(ids)], "doc_id long, text string").repartition(3)
+    found = imatch.in_blocks(rows, blocks).withColumn("task", F.spark_partition_id()).collect()
+    own = [r for r in found if not r.carry]
+    assert sorted(r.text for r in own) == sorted(f"t{at}" for at in range(len(ids)))
+    of_block = {}
+    for r in own:
+        of_block.setdefault(r.block, []).append(r.doc_id)
+    present = sorted(of_block)
+    assert len(present) >= min(blocks, 20) and len({r.task for r in found}) == len({r.block for r in found})
+    for a, b in zip(present, present[1:]):  # NULL ids come last
+        assert min(x for x in of_block[a] if x is not None) > max((x for x in of_block[b] if x is not None), default=-99)
+    carried = {r.block: r.doc_id for r in found if r.carry}
+    firsts = {b: max((x for x in of_block[b] if x is not None), default=None) for b in present}
+    assert carried == {a: firsts[b] for a, b in zip(present, present[1:] + present[:1])}
+
+
 def test_imatch_equals_plain_version(spark):
     pick = random.Random(3)
     vocabulary = ["".join(pick.choices("abdeilnorstéü", k=pick.randint(2, 6))) for _ in range(300)]
