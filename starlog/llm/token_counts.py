@@ -37,12 +37,14 @@ TASK_BYTES = 32 << 20
 def write_flat(docs: DataFrame, folder: str, path: str, pattern: str, end_id: int) -> DataFrame:
     """Write the documents of each partition as one flat file in `folder`; returns (file, place, doc_id).
 
-    A task writes under a name of its own attempt and renames it when complete, so a repeated task
+    Ids must fit into 16 bits, else ValueError is raised. A task writes under a name of its own attempt and renames it when complete, so a repeated task
     replaces the file by an equal one and no reader sees half of it.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path, pattern)
+        if max(end_id, len(coder.tokens.lengths) - 1) >= 1 << 8 * WIDTH:
+            raise ValueError(f"ids of this vocabulary do not fit into {WIDTH} bytes")
         context = TaskContext.get()
         name = f"tokens-{context.partitionId():06d}.bin"
         place, out = 0, None
@@ -67,6 +69,8 @@ def write_flat(docs: DataFrame, folder: str, path: str, pattern: str, end_id: in
                 place += len(texts)
         if out is not None:
             out.close()
+            if system.get_file_info(f"{base}/{name}").type != fs.FileType.NotFound:
+                system.delete_file(f"{base}/{name}")  # an earlier attempt's; some stores do not replace it
             system.move(draft, f"{base}/{name}")
 
     doc_type = docs.schema["doc_id"].dataType.simpleString()
