@@ -91,15 +91,28 @@ def _lines(spark: SparkSession, path: str | list[str], files: str) -> DataFrame:
     return lines.where(F.trim("value") != "").select("value", F.col("_metadata.file_path").alias(FILE))
 
 
+def parsed_once(lines: DataFrame, name: str, parsed: Column) -> DataFrame:
+    """The lines with a parsed value beside them, which is worked out once a line.
+
+    As a mere column it would be put in place of each of its uses, when rows are filtered by what was parsed.
+    """
+    return lines.select("*", F.explode(F.array(parsed)).alias(name))
+
+
+def with_names(parsed: DataFrame) -> DataFrame:
+    """Parsed lines with the names of their `_fields` in lower case in `_names` and their values in `_values`."""
+    names, values = F.transform(F.map_keys("_fields"), lambda name: F.lower(name)), F.map_values("_fields")
+    found = F.struct(names.alias("names"), values.alias("values"))
+    return parsed_once(parsed, "_found", found).withColumns({"_names": F.col("_found.names"), "_values": F.col("_found.values")})
+
+
 def json_by_name(spark: SparkSession, path: str | list[str], contract: Contract, files: str = "*.json") -> DataFrame:
     """JSON lines whose fields go to the contract's columns of the same name in any case, checked.
 
     Of fields whose names differ only in case the first of the line counts.
     """
-    parsed = _lines(spark, path, files).withColumn("_fields", F.from_json("value", "map<string,string>"))
-    parsed = parsed.withColumns(
-        {"_names": F.transform(F.map_keys("_fields"), lambda name: F.lower(name)), "_values": F.map_values("_fields")}
-    )
+    parsed = parsed_once(_lines(spark, path, files), "_fields", F.from_json("value", "map<string,string>"))
+    parsed = with_names(parsed)
 
     def field(name: str) -> Column:
         return F.get("_values", F.array_position("_names", name).cast("int") - 1)
@@ -135,9 +148,9 @@ def json_mapped(
     # fields are read by their place, as names may differ only in case
     types = T.StructType([T.StructField(name, T.StringType()) for name in [*tops, bad]])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad}
-    parsed = _lines(spark, path, files).withColumn("_row", F.from_json("value", types, options))
     names = [f"_{at}" for at in range(len(tops) + 1)]
-    parsed = parsed.withColumn("_row", F.col("_row").cast(T.StructType([T.StructField(n, T.StringType()) for n in names])))
+    placed = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    parsed = parsed_once(_lines(spark, path, files), "_row", F.from_json("value", types, options).cast(placed))
 
     def value(step: list[str | int]) -> Column:
         found = F.col(f"_row._{tops.index(step[0])}")

@@ -85,6 +85,20 @@ def test_mapped_paths_reach_nested_and_hyphenated_fields(spark, path):
     assert sources.read_mapped(spark, path, mapping, ITEMS).count() == 1  # a broken line is no row of NULLs
 
 
+def test_lines_are_parsed_once(spark, path):
+    lines(path, '{"id": 1, "Title": "one"}', "broken {")
+    paths = ["id", "Title", "price", "size", "at", "ok"]
+    checked = sources.read_json_checked(spark, path, ITEMS.schema)
+    for loaded in (
+        loading.accepted(loading.json_mapped(spark, path, paths, ITEMS)),
+        loading.accepted(loading.json_by_name(spark, path, ITEMS)),
+        sources.read_by_name(spark, path, ITEMS),
+        sources.split_bad_records(checked)[0],
+    ):
+        assert [r.id for r in loaded.collect()] == [1]
+        assert loaded._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+
+
 def test_csv_lines_of_other_lengths(spark, path):
     lines(path, "id,title,price,size,at,ok", '1,"a ""b""",2.50,,,true', "2,x", "3,x,1,1,,,more", 'x,"a, b",,,,', name="a.csv")
     checked = loading.csv_rows(spark, path, ITEMS)
