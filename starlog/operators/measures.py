@@ -17,7 +17,7 @@ from starlog.operators.quality import _check
 from starlog.session import materialise
 from starlog.sinks.tables import VersionedTable
 
-PARTITION, FILES = "_partition", "_files"
+PARTITION, FILES, FILE = "_partition", "_files", "_measured_file"
 
 
 def _partition(path: Column) -> Column:
@@ -50,14 +50,19 @@ class PartitionMeasures:
         """Measures of the changed partitions, whose names reach the driver for the reader."""
         places = [f"{self.path}/{row[0]}".rstrip("/") for row in changed.select(PARTITION).collect()]
         rows = self.spark.read.option("basePath", self.path).parquet(*places)
-        rows = rows.withColumn(PARTITION, _partition(F.col("_metadata.file_path")))
+        rows = rows.withColumn(FILE, F.col("_metadata.file_path")).drop(PARTITION)
         null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in self.required], F.lit(False))
-        parts = [F.count("*").alias("rows"), F.count_if(null).alias("null_rows")]
+        parts = {"rows": (F.count("*"), F.sum), "null_rows": (F.count_if(null), F.sum)}
         for at, c in enumerate(self.columns):
-            parts += [F.count_if(F.col(c).isNull()).alias(f"nulls_{at}"), F.min(c).alias(f"low_{at}"), F.max(c).alias(f"high_{at}")]
-        measured = rows.groupBy(PARTITION).agg(*parts)
+            nulls = F.count_if(F.col(c).isNull())
+            parts |= {f"nulls_{at}": (nulls, F.sum), f"low_{at}": (F.min(c), F.min), f"high_{at}": (F.max(c), F.max)}
+        # measured by file and stored, so that the partition is cut out of a path once a file and not once a row
+        by_file = rows.groupBy(FILE).agg(*[found.alias(name) for name, (found, _) in parts.items()])
+        by_file = materialise(by_file.withColumn(PARTITION, _partition(F.col(FILE))))
+        measured = by_file.groupBy(PARTITION).agg(*[total(name).alias(name) for name, (_, total) in parts.items()])
         if self.key:
-            again = rows.groupBy(PARTITION, *self.key).count().where("count > 1").groupBy(PARTITION).agg(F.count("*").alias("repeated"))
+            keyed = rows.join(by_file.select(FILE, PARTITION), FILE)
+            again = keyed.groupBy(PARTITION, *self.key).count().where("count > 1").groupBy(PARTITION).agg(F.count("*").alias("repeated"))
             measured = measured.join(again, PARTITION, "left").fillna(0, ["repeated"])
         else:
             measured = measured.withColumn("repeated", F.lit(0).cast("bigint"))

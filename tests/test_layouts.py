@@ -6,7 +6,7 @@ import shutil
 import pytest
 from pyspark.sql import functions as F
 
-from starlog.operators import quality
+from starlog.operators import measures, quality
 from starlog.operators.measures import PartitionMeasures
 from starlog.plans import events
 from starlog.sinks.co_located import SHARE, join_co_located, write_co_located
@@ -129,6 +129,22 @@ def test_only_changed_partitions_are_measured(spark, path):
     assert [r.passed for r in kept.checks("t").collect()] == [True, True, False]
 
 
+def test_partitions_are_told_once_a_file(spark, path, monkeypatch):
+    told = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def directory(file):
+        told.add(1)
+        return file.split("/")[-2]
+
+    write_parquet(orders(spark, 0, 1000), f"{path}/t", by=("p",))
+    kept = PartitionMeasures(spark, f"{path}/t", f"{path}/m", ["k"], [], ["p", "k"])
+    monkeypatch.setattr(measures, "_partition", directory)
+    assert kept.refresh() == [f"p={i}" for i in range(5)]
+    assert totals(kept.totals()) == {"k": (1000, 0, "0", "999")}
+    assert told.value < 100  # and not for each of the rows
+
+
 def test_measures_of_a_table_without_partitions(spark, path):
     orders(spark, 0, 10).coalesce(1).write.parquet(f"{path}/t")
     kept = PartitionMeasures(spark, f"{path}/t", f"{path}/m", ["k"])
