@@ -1,5 +1,6 @@
 """Block-cut windows against brute force, with one group holding most rows and many ties."""
 
+import os
 import random
 
 import pytest
@@ -206,3 +207,15 @@ def test_range_lists_descend_and_place_ties(spark):
     assert win.expand_lists(*empty, ["dept"]).collect() == []
     with pytest.raises(ValueError):
         win.factorised_lists(frame, ["dept"], ["salary", "id"], "id", "groups")
+
+
+def test_equal_lists_are_stored_once(spark, path):
+    n = F.col("id")
+    frame = spark.range(60_000).select("id", F.lit("a").alias("dept"), F.abs(F.xxhash64(n)).alias("salary"))
+    rows, pieces = win.factorised_lists(frame, ["dept"], ["id"], "salary", "rows", piece_rows=100)
+    texts = pieces.withColumn("list", F.col("list").cast("array<string>"))
+    lists = win.expand_lists(rows.where(n % 500 == 499), texts, ["dept"], piece_rows=100)
+    lists.withColumn("list", F.concat_ws(",", "list")).write.parquet(path)
+    stored = spark.read.parquet(path).agg(F.sum(F.length("list")), F.count("*")).first()
+    assert stored[0] > 60_000_000 and stored[1] == sum(5 * i for i in range(1, 121))
+    assert sum(os.path.getsize(f"{path}/{name}") for name in os.listdir(path)) < 8_000_000
