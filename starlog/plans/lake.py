@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from starlog.operators.filters import PLAY_PAGE
 from starlog.plans import star
-from starlog.sinks.files import materialise_as, write_parquet
+from starlog.sinks.files import materialise_as, write_parquet, write_small_directories
 
 LAYOUTS = {"year_and_artist": ("year", "artist_id"), "year": ("year",)}
 
@@ -27,7 +27,8 @@ def write_lake(
         materialise_as(source, f"{out}/staging/{name}", f"staged_{name}")
         for name, source in (("log", log), ("songs", song_data))
     )
-    write_parquet(star.songs(song_data), f"{out}/songs", by=LAYOUTS[songs_layout])
+    write_songs = write_small_directories if songs_layout == "year_and_artist" else write_parquet
+    write_songs(star.songs(song_data), f"{out}/songs", by=LAYOUTS[songs_layout])
     write_parquet(star.artists(song_data), f"{out}/artists")
     write_parquet(star.users(log, page=page), f"{out}/users")
     write_parquet(star.time_lake(log, page), f"{out}/time", by=("year", "month"))

@@ -5,8 +5,11 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from starlog.operators.joins import join_null_safe
 from starlog.session import file_system
+from starlog.sinks.co_located import SHARE, SHARES, shares_of
 
 
 def write_parquet(df: DataFrame, path: str, by: tuple[str, ...] = (), mode: str = "overwrite") -> None:
@@ -21,6 +24,19 @@ def write_parquet(df: DataFrame, path: str, by: tuple[str, ...] = (), mode: str
         df.write.mode(mode).parquet(path)
 
 
+def write_small_directories(df: DataFrame, path: str, by: tuple[str, ...], hot_rows: int = 1_000_000) -> None:
+    """Write parquet in one directory per value of the `by` columns, where directories are many and hold few rows.
+
+    The time goes into opening files, which adaptive execution knows nothing of: by their bytes it would merge all into one
+    task. So the directories are dealt to `spark.sql.shuffle.partitions` tasks; one of more than `hot_rows` rows to several.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shared = join_null_safe(df, shares_of(df, list(by), hot_rows), list(by), "left")
+    share = F.pmod(F.xxhash64(*df.columns, F.monotonically_increasing_id()), F.coalesce(SHARES, F.lit(1)))
+    dealt = shared.withColumn(SHARE, share).drop(SHARES).repartition(tasks, *by, SHARE).drop(SHARE)
+    dealt.write.partitionBy(*by).mode("overwrite").parquet(path)
+
+
 def write_sorted(df: DataFrame, path: str, order: list[str]) -> None:
     """Write parquet in the given order over all files, so that a look-up reads few of them.
 

@@ -10,7 +10,7 @@ from starlog.operators import measures, quality
 from starlog.operators.measures import PartitionMeasures
 from starlog.plans import events
 from starlog.sinks.co_located import SHARE, join_co_located, write_co_located
-from starlog.sinks.files import write_parquet
+from starlog.sinks.files import write_parquet, write_small_directories
 from test_skew import settings
 
 KEYS = ["port", "day"]
@@ -152,3 +152,15 @@ def test_measures_of_a_table_without_partitions(spark, path):
     orders(spark, 10, 30).write.mode("append").parquet(f"{path}/t")
     assert kept.refresh() == [""] and totals(kept.totals()) == {"k": (30, 0, "0", "29")}
     assert os.path.isdir(f"{path}/m")
+
+
+def test_small_directories_are_dealt_to_many_tasks(spark, path):
+    n = F.col("id")
+    songs = spark.range(120).select(n, (n % 6).cast("int").alias("year"), F.when(n % 40 > 0, n % 40).alias("artist"))
+    with settings(spark, spark__sql__adaptive__coalescePartitions__enabled="true"):
+        write_small_directories(songs, f"{path}/all", ("year", "artist"))
+    assert len({name[:10] for _, _, names in os.walk(f"{path}/all") for name in names if name.startswith("part-")}) > 4
+    assert sorted(map(str, spark.read.parquet(f"{path}/all").collect())) == sorted(map(str, songs.collect()))
+    write_small_directories(songs, f"{path}/hot", ("year",), hot_rows=5)
+    assert len([name for name in os.listdir(f"{path}/hot/year=3") if name.startswith("part-")]) > 1
+    assert spark.read.parquet(f"{path}/hot").count() == 120

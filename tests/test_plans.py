@@ -1,3 +1,4 @@
+import os
 from datetime import datetime
 
 import pytest
@@ -7,6 +8,7 @@ from starlog import schemas
 from starlog.plans import events, immigration, lake, star, warehouse
 from starlog.operators.quality import QualityError, require
 from starlog.schemas import conform
+from test_skew import settings
 
 MS = 1541103205000  # the start of a second, so that times a little later share it
 
@@ -131,6 +133,16 @@ def test_lake_tables(spark, log, song_data, path):
     assert {n: spark.read.parquet(f"{path}/{n}").count() for n in ("artists", "users", "time")} == {"artists": 3, "users": 2, "time": 3}
 
 
+def test_lake_songs_are_written_by_many_tasks(spark, log, song_data, path):
+    many = song_data.limit(1).drop("artist_id", "song_id").crossJoin(
+        spark.range(60).select(F.concat(F.lit("A"), "id").alias("artist_id"), F.concat(F.lit("S"), "id").alias("song_id"))
+    )
+    with settings(spark, spark__sql__adaptive__coalescePartitions__enabled="true"):
+        lake.write_lake(log, many, path)
+    assert spark.read.parquet(f"{path}/songs").select("artist_id").distinct().count() == 60
+    assert len({name[:10] for _, _, names in os.walk(f"{path}/songs") for name in names if name.startswith("part-")}) > 1
+
+
 def test_scheduled_load_is_idempotent_and_gated(spark, log, song_data, path):
     for again in (False, True):
         results = warehouse.load_star(spark, log, song_data, path, datetime(2018, 11, 1), again=again)
