@@ -18,17 +18,19 @@ kept row by row; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
-from collections import deque
+import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from starlog.llm.common import PieceTable, map_arrow, only, text_batches
+from starlog.llm.common import PieceTable, binary_lists, map_arrow, only
 
 SCHEMA = (
     "doc_id long, start long, length long, ids binary, doc_tokens long, "
@@ -39,40 +41,99 @@ LINE = 32
 #: Sequence numbers of one partition start this far from those of the partition before.
 PARTITION_STEP = 1 << 40
 END = "\n\n"  # stands for the end of a document; a text never gives it, as line feeds are cut apart
+#: Characters of text that join the stream at once, and how many times as many are cut into pieces at once.
+CHARS, AT_ONCE = 1 << 20, 4
+#: The rules of a tokenizer whose words WORDS finds in lower-case text of U+0000 to U+00FF, and APART alone between pieces.
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLIT = {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}
+LETTERS, DIGITS = r"a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", r"0-9\xb2\xb3\xb9\xbc-\xbe"
+APART = "\ue000"
+WORDS = re.compile(
+    f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^\\t-\\r \\x85\\xa0{LETTERS}{DIGITS}{APART}]+|{APART}"
+)
 
 
-def closing_kind(piece: str) -> int:
-    """What kind of cut may follow the piece: none (0), SENTENCE or DOCUMENT."""
-    if piece == END:
-        return DOCUMENT
-    return SENTENCE if piece[-1:] in (".", "!", "?", "\n") else 0
+def words_apart(rules: dict) -> bool:
+    """Whether a tokenizer with these rules encodes each of the WORDS by itself."""
+    split, *others = (rules.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    return (
+        not any(token["normalized"] for token in rules["added_tokens"])
+        and (rules.get("normalizer") or {}).get("normalizers") == NORMALIZERS
+        and [split.get(k) for k in ("type", "pattern", "behavior", "invert")] == ["Split", SPLIT, "Removed", True]
+        and [[other.get(k) for k in ("type", "add_prefix_space", "use_regex")] for other in others] == [["ByteLevel", False, False]]
+    )
 
 
 @lru_cache(maxsize=2)
-def word_table(path: str, end_id: int) -> PieceTable:
-    """Ids of space-free pieces, one table per worker process, reused by its later tasks."""
+def word_table(path: str, end_id: int) -> tuple[PieceTable, str]:
+    """Ids of words, one table per worker process, reused by its later tasks; which pieces are one word whatever WORDS says."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
+    rules = json.loads(tokenizer.to_str())
+    added = [re.escape(token["content"]) for token in rules["added_tokens"]]
+    whole = "|".join([f"^{END}$", r"[^\x00-\xff]", *added]) if words_apart(rules) else ""
 
-    def encode(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Encoded in lines of a few pieces, which is faster than each alone; offsets tell them apart."""
-        lines = [" ".join(pieces[at : at + LINE]) for at in range(0, len(pieces), LINE)]
+    def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Encoded in lines of a few words, which is faster than each alone; offsets tell them apart."""
+        lines = [" ".join(words[at : at + LINE]) for at in range(0, len(words), LINE)]
         found = tokenizer.encode_batch(lines, add_special_tokens=False)
         ids = np.fromiter((i for line in found for i in line.ids), np.int32)
         begin = np.cumsum([0, *(len(line) + 1 for line in lines[:-1])])
         places = np.fromiter((at for line in found for at, _ in line.offsets), np.int64, len(ids))
         places += np.repeat(begin, [len(line) for line in found])
-        starts = np.cumsum([0, *(len(piece) + 1 for piece in pieces)])
-        lengths = np.bincount(np.searchsorted(starts, places, "right") - 1, minlength=len(pieces))
-        if END in pieces:  # it has no ids of its own
-            at = pieces.index(END)
+        starts = np.cumsum([0, *(len(word) + 1 for word in words)])
+        lengths = np.bincount(np.searchsorted(starts, places, "right") - 1, minlength=len(words))
+        if END in words:  # it has no ids of its own
+            at = words.index(END)
             ids = np.insert(ids, lengths[:at].sum(), end_id)
             lengths[at] = 1
         return ids, lengths
 
-    return PieceTable(encode, closing_kind, limit=600_000)
+    return PieceTable(encode, limit=600_000), whole
+
+
+def pieces_of(texts: pa.Array) -> pa.DictionaryArray:
+    """The texts cut at spaces and around line feeds, END after each; NULL texts are empty."""
+    kind = pa.large_string()  # as cutting at line feeds lengthens a text
+    cut = pc.replace_substring(pc.fill_null(texts.cast(kind), ""), "\n", " \n ")
+    spaced = pc.binary_join_element_wise(cut, pa.scalar(END, kind), pa.scalar(" ", kind))
+    return pc.list_flatten(pc.split_pattern(spaced, " ")).dictionary_encode()
+
+
+def closing_kinds(pieces: pa.Array) -> np.ndarray:
+    """What kind of cut may follow each piece: none (0), SENTENCE or DOCUMENT."""
+    kinds = SENTENCE * pc.match_substring_regex(pieces, r"[.!?\n]\z").to_numpy(zero_copy_only=False).astype(np.int8)
+    kinds[pc.equal(pieces, END).to_numpy(zero_copy_only=False)] = DOCUMENT
+    return kinds
+
+
+def ids_of(pieces: pa.Array, table: PieceTable, whole: str) -> pa.Array:
+    """The ids of each of the distinct pieces, which share words that differ in case or in what stands around them."""
+    alone = pc.match_substring_regex(pieces, whole)
+    order = np.argsort(alone.to_numpy(zero_copy_only=False), kind="stable")  # those that are one word last
+    rest = pieces.filter(alone).to_numpy(zero_copy_only=False).tolist()
+    found = WORDS.findall(APART.join(pieces.filter(pc.invert(alone)).to_numpy(zero_copy_only=False)).lower())
+    between = np.flatnonzero(np.fromiter(map(APART.__eq__, found), bool, len(found)))
+    counts = np.ones(len(order), np.int64)
+    if split := len(order) - len(rest):
+        counts[:split] = np.diff(between, prepend=-1, append=len(found)) - 1
+    ids, lengths = table.ids(table.numbers([*filter(APART.__ne__, found), *rest]))
+    before = np.concatenate(([0], np.cumsum(lengths)))[np.cumsum(counts)]
+    return binary_lists(ids, np.diff(before, prepend=0)).take(pa.array(np.argsort(order)))
+
+
+def stretches(texts: pa.Array) -> list[int]:
+    """Where the column is cut into stretches of about CHARS characters: the row after each."""
+    ends = np.cumsum(pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    stops, done = [], 0
+    while (stop := int(np.searchsorted(ends, done + CHARS)) + 1) <= len(texts):
+        stops.append(stop)
+        done = int(ends[stop - 1])
+    if len(texts) > (stops[-1] if stops else 0):
+        stops.append(len(texts))
+    return stops
 
 
 def plan_cuts(
@@ -97,21 +158,22 @@ def plan_cuts(
         for j, i in zip(hit.tolist(), at[hit].tolist()):
             exact.setdefault(j, []).append(i)
     best, came = [0.0] * len(x), [0] * len(x)
-    queue: deque[tuple[float, int]] = deque([(float(begin), 0)])  # (f + x, index), rising
+    queue, head = [(float(begin), begin, 0)], 0  # (f + x, x, index), rising; what lies before the head is out of reach
     for j in range(1, len(x)):
         here = x[j]
-        while x[queue[0][1]] < here - window:
-            queue.popleft()
-        value, came[j] = queue[0]
+        while queue[head][1] < here - window:
+            head += 1
+        value, _, came[j] = queue[head]
         value += window - here
-        for i in exact.get(j, ()):
-            if best[i] < value:
-                value, came[j] = best[i], i
+        if j in exact:
+            for i in exact[j]:
+                if best[i] < value:
+                    value, came[j] = best[i], i
         best[j] = value = value + cost[j]
         value += here
-        while queue and queue[-1][0] > value:
+        while len(queue) > head and queue[-1][0] > value:
             queue.pop()
-        queue.append((value, j))
+        queue.append((value, here, j))
     cuts, j = [], len(x) - 1
     while j:
         cuts.append(x[j])
@@ -246,22 +308,29 @@ def pack(
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = word_table(tokenizer, end_id)
+        table, whole = word_table(tokenizer, end_id)
         context = TaskContext.get()
         first = (context.partitionId() if context else 0) * PARTITION_STEP
         stream = _Stream(window, sentence_cost, hard_cost, unpadded, first)
         for batch in batches:
             doc_ids = batch.column("doc_id").to_pylist()
-            for at, texts in text_batches(batch, "text"):
-                pieces: list[str] = []
-                for text in texts:
-                    pieces.extend(text.replace("\n", " \n ").split(" "))
-                    pieces.append(END)
-                numbers = table.numbers(pieces)
-                ids, lengths = table.ids(numbers)
-                stream.add(doc_ids[at : at + len(texts)], ids, np.cumsum(lengths), table.marks[numbers])
-                if stream.end - stream.begin >= hold_tokens and (rows := stream.flush(final=False)):
-                    yield to_batch(rows)
+            texts, stops = batch.column("text"), stretches(batch.column("text"))
+            at = 0
+            for several in (stops[i : i + AT_ONCE] for i in range(0, len(stops), AT_ONCE)):
+                pieces = pieces_of(texts[at : several[-1]])
+                numbers, first_row = pieces.indices.to_numpy(), at
+                kinds = closing_kinds(pieces.dictionary)[numbers]
+                found = ids_of(pieces.dictionary, table, whole).take(pieces.indices)
+                ids, ends = found.flatten().to_numpy(), found.offsets.to_numpy()[1:].astype(np.int64)
+                closed = np.flatnonzero(kinds == DOCUMENT) + 1
+                begin, done = 0, 0  # the pieces and ids before
+                for stop in several:
+                    last = int(closed[stop - first_row - 1])
+                    size = int(ends[last - 1])
+                    stream.add(doc_ids[at:stop], ids[done:size], ends[begin:last] - done, kinds[begin:last])
+                    at, begin, done = stop, last, size
+                    if stream.end - stream.begin >= hold_tokens and (rows := stream.flush(final=False)):
+                        yield to_batch(rows)
         if rows := stream.flush(final=True):
             yield to_batch(rows)
 

@@ -2,17 +2,20 @@
 
 import base64
 import hashlib
+import json
 import random
 
 import numpy as np
 import plain_models as plain
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from odd_data import COLUMNS, odd_rows, prose, row
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from starlog.llm import byte_bpe, html_extract, imatch, line_dedup, packing, quality_rules, secret_scan, simhash, token_counts, toxicity
 from starlog.llm.queries import BYTE_RANKS, END_OF_DOCUMENT, WORD_TOKENIZER
@@ -51,6 +54,44 @@ def test_pack_odd_ids_and_nothing(odd, nothing):
     assert packing.pack(nothing, WORD_TOKENIZER, 2).collect() == []
 
 
+def test_pack_encodes_a_word_once():
+    """Pieces that differ in case or punctuation share their words."""
+    packing.word_table.cache_clear()
+    table, whole = packing.word_table(WORD_TOKENIZER, 2)
+    pieces = ["Été", "été,", "(ÉTÉ", "l'été!", "L'", "It's", "IT", "7", "77", "'S"]
+    ids = packing.ids_of(pa.array(pieces, pa.large_string()), table, whole).to_pylist()
+    assert [i + [2] for i in ids] == [i.tolist() for i in plain.word_ids(pieces)]
+    assert set(table.number) == {"été", ",", "(", "l", "'", "!", "it", "'s", "7"}
+
+
+def test_pack_words_as_the_tokenizer():
+    """Every pair of characters below U+0100, marked ones, other scripts, special strings, the separator."""
+    below = [chr(i) for i in range(256) if chr(i) not in " \n"]
+    pieces = [a + b for a in below for b in below] + ["", "\n", "e\u0301'S", "İ'LL", "ΣΑΣ", "ﬁ", "字7", packing.APART, f"a{packing.APART}b"]
+    pieces += ["x<|endoftext|>'s", "<|startOFtext|>", "we'LL'vex", "'re've", "A" * 9000]
+    table, whole = packing.word_table(WORD_TOKENIZER, 2)
+    ids = packing.ids_of(pa.array([*pieces, packing.END], pa.large_string()), table, whole).to_pylist()
+    assert ids[-1] == [2]
+    assert [i + [2] for i in ids[:-1]] == [i.tolist() for i in plain.word_ids(pieces)]
+
+
+def test_pack_other_rules_keep_pieces_whole():
+    rules = json.loads(Tokenizer.from_file(WORD_TOKENIZER).to_str())
+    assert packing.words_apart(rules)
+    for other in ({"normalizer": None}, {"pre_tokenizer": None}, {"pre_tokenizer": {"type": "Whitespace"}}):
+        assert not packing.words_apart({**rules, **other})
+
+
+def test_pack_stretches_of_long_texts(spark, monkeypatch):
+    """Texts on both sides of the length at which slices end, NULL and empty ones between."""
+    monkeypatch.setattr(packing, "CHARS", 30)
+    assert packing.stretches(pa.array(["a" * 30, None, "é" * 29, "", "b", "c"])) == [1, 5, 6]
+    assert packing.stretches(pa.array([], pa.string())) == []
+    texts = ["One. Two\nthree " * (packing.CHARS // 40 + i % 3) if i % 4 else None for i in range(60)]
+    rows = packing.pack(spark.createDataFrame([row(i, t) for i, t in enumerate(texts)], COLUMNS), WORD_TOKENIZER, 2).collect()
+    plain.check_pieces(rows, dict(enumerate(plain.word_ids(texts))))
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.tuples(st.integers(1, 16), st.sampled_from([0.0, 2.0, 9.0])), min_size=1, max_size=40))
 def test_cuts_cost_least(steps):
