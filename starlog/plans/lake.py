@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from starlog.operators.filters import PLAY_PAGE
 from starlog.plans import star
 from starlog.sinks.files import materialise_as, write_parquet, write_small_directories
+from starlog.sources.files import read_small_directories
 
 LAYOUTS = {"year_and_artist": ("year", "artist_id"), "year": ("year",)}
+TABLES = ("songs", "artists", "users", "time", "songplay")
 
 
 def write_lake(
@@ -33,3 +35,12 @@ def write_lake(
     write_parquet(star.users(log, page=page), f"{out}/users")
     write_parquet(star.time_lake(log, page), f"{out}/time", by=("year", "month"))
     write_parquet(star.plays_by_artist(log, song_data, page=page), f"{out}/songplay", by=("year", "month"))
+
+
+def read_lake(spark: SparkSession, out: str, songs_layout: str = "year_and_artist") -> dict[str, DataFrame]:
+    """The five tables by name, as `write_lake` left them below `out`."""
+    tables = {name: spark.read.parquet(f"{out}/{name}") for name in TABLES if name != "songs" or songs_layout != "year_and_artist"}
+    if songs_layout == "year_and_artist":
+        schema = spark.read.parquet(f"{out}/staging/songs").select(*star.SONG_COLUMNS).schema
+        tables["songs"] = read_small_directories(spark, f"{out}/songs", schema, LAYOUTS[songs_layout])
+    return {name: tables[name] for name in TABLES}

@@ -201,7 +201,7 @@ def _lake_rows(spark, d, layout):
     """All rows of the five lake tables, read from what was written."""
     out = scratch_path(spark, "lake")
     lake.write_lake(std.log(spark, d, with_songs=True), std.songs(spark, d), out, songs_layout=layout, page=std.PLAY)
-    return std.as_lines({name: spark.read.parquet(f"{out}/{name}") for name in ["songs", "artists", "users", "time", "songplay"]})
+    return std.as_lines(lake.read_lake(spark, out, layout))
 
 
 @query(_LAKE)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from starlog.operators.joins import join_null_safe
 from starlog.session import file_system
 from starlog.sinks.co_located import SHARE, SHARES, shares_of
+from starlog.sinks.directories import writable, write_directories
 
 
 def write_parquet(df: DataFrame, path: str, by: tuple[str, ...] = (), mode: str = "overwrite") -> None:
@@ -29,12 +30,16 @@ def write_small_directories(df: DataFrame, path: str, by: tuple[str, ...], hot_r
 
     The time goes into opening files, which adaptive execution knows nothing of: by their bytes it would merge all into one
     task. So the directories are dealt to `spark.sql.shuffle.partitions` tasks; one of more than `hot_rows` rows to several.
+    In a mounted folder the tasks' workers make the files, elsewhere Spark's writer does.
     """
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shared = join_null_safe(df, shares_of(df, list(by), hot_rows), list(by), "left")
     share = F.pmod(F.xxhash64(*df.columns, F.monotonically_increasing_id()), F.coalesce(SHARES, F.lit(1)))
-    dealt = shared.withColumn(SHARE, share).drop(SHARES).repartition(tasks, *by, SHARE).drop(SHARE)
-    dealt.write.partitionBy(*by).mode("overwrite").parquet(path)
+    dealt = shared.withColumn(SHARE, share).drop(SHARES)
+    if writable(df.drop(*by), path):
+        write_directories(dealt, path, list(by), tasks, [SHARE])
+    else:
+        dealt.repartition(tasks, *by, SHARE).drop(SHARE).write.partitionBy(*by).mode("overwrite").parquet(path)
 
 
 def write_sorted(df: DataFrame, path: str, order: list[str]) -> None:
